@@ -20,7 +20,7 @@ def count_before(
     start = F.struct(F.lit(0).alias("lo"), F.size(items).alias("hi"))
 
     def halve(span: Column, _: Column) -> Column:
-        mid = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        mid = F.shiftright(span["lo"] + span["hi"], 1)
         narrowed = F.when(
             before(F.get(items, mid)),
             F.struct((mid + 1).alias("lo"), span["hi"].alias("hi")),

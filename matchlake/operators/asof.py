@@ -150,12 +150,12 @@ def found(facts: DataFrame, mark: str) -> DataFrame:
     return facts.where(F.col(mark))
 
 
-def history(ranks: DataFrame, order: str) -> DataFrame:
-    """One version per player and millisecond; the later ``order`` overwrites."""
+def history(ranks: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One version per player and millisecond; the last by ``order`` overwrites."""
     rest = [c for c in ranks.columns if c != "player_id"]
     return (
         ranks.withColumn("_ms", epoch_ms(F.col("updated_at")))
         .groupBy("player_id", "_ms")
-        .agg(F.max_by(F.struct(*rest), F.col(order)).alias("_v"))
+        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_v"))
         .select("player_id", "_v.*")
     )

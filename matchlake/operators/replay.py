@@ -6,7 +6,7 @@ one log always gives one result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
@@ -89,12 +89,12 @@ def match_arrivals(
 _SESSION = ["match_id", "session_start"]
 
 
-def _session_values(quiet_ms: int) -> dict[str, object]:
+def _session_values() -> dict[str, Column]:
     is_event = F.col("event").isNotNull()
     return {
         "participants": F.count("participant"),
         "events": F.count("event"),
-        "fire_ms": F.max("arrival_ms") + quiet_ms,
+        "last_ms": F.max("arrival_ms"),
         "last_event": F.max_by(F.col("event"), F.when(is_event, F.col("arrival_ms"))),
     }
 
@@ -103,16 +103,20 @@ def quiet_sessions(
     arrivals: DataFrame, quiet_ms: int = QUIET_MS, roster_size: int = ROSTER_SIZE
 ) -> DataFrame:
     """One row per session: what it held when its timer fired, and whether it emits."""
-    values = _session_values(quiet_ms)
+    values = _session_values()
     return (
         arrivals.groupBy(*_SESSION)
         .agg(*[v.alias(n) for n, v in values.items() if n != "last_event"])
-        .withColumn(
-            "complete", (F.col("participants") == roster_size) & (F.col("events") > 0)
-        )
+        .withColumn("fire_ms", F.col("last_ms") + quiet_ms)
+        .withColumn("complete", _emits(roster_size))
+        .drop("last_ms")
     )
 
 
+def _emits(roster_size: int) -> Column:
+    return (F.col("participants") == roster_size) & (F.col("events") > 0)
+
+
 def emitted(
     arrivals: DataFrame,
     quiet_ms: int = QUIET_MS,
@@ -120,8 +124,8 @@ def emitted(
     hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     """Participants of the emitting sessions with their session's last event."""
-    values = _session_values(quiet_ms)
-    complete = (F.col("participants") == roster_size) & (F.col("events") > 0)
+    values = _session_values()
+    complete = _emits(roster_size)
     per_session = Window.partitionBy(*_SESSION)
     whole = (
         arrivals.where(~hot.is_hot(["match_id"]))
@@ -145,7 +149,8 @@ def emitted(
                 crowded_sessions,
             )
         )
-    return whole.select("participant.*", "last_event", "fire_ms").select(
+    fire = (F.col("last_ms") + quiet_ms).alias("fire_ms")
+    return whole.select("participant.*", "last_event", fire).select(
         "id",
         "match_id",
         *[
@@ -221,7 +226,7 @@ def rank_on_two_clocks(
     n = F.coalesce(F.col("_arrived.n"), F.lit(0))
     asked = counted.withColumn(
         "_level",
-        F.explode_outer(F.filter(levels, lambda b: F.expr("1") == _bit(n, b))),
+        F.explode_outer(F.filter(levels, lambda b: _bit(n, b) == 1)),
     ).select(
         *facts.columns,
         "_level",
@@ -232,7 +237,7 @@ def rank_on_two_clocks(
     whole_even = F.filter(
         F.sequence(F.lit(0), F.lit(MAX_LEVEL)),
         lambda b: (_bit(nth, b) == 0)
-        & ((_shift_right(nth, b) + 1) * F.pow(F.lit(2), b) <= total),
+        & (_shift_left(_shift_right(nth, b) + 1, b) <= total),
     )
     blocks = numbered.withColumn("_level", F.explode(whole_even)).select(
         "player_id",
@@ -255,11 +260,15 @@ def rank_on_two_clocks(
     return _with_rank(in_time.unionByName(late_facts), None)
 
 
-def _shift_right(value, bits):
-    return F.floor(value / F.pow(F.lit(2), bits)).cast("bigint")
+def _shift_right(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", value.cast("bigint"), bits)
+
+
+def _shift_left(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftleft", value, bits)
 
 
-def _bit(value, position):
+def _bit(value: Column, position: Column) -> Column:
     return _shift_right(value, position) % 2
 
 

@@ -67,7 +67,8 @@ def find_hot_keys(
 
     The sketch reports every key above one ``max_hot``-th of the rows.
     """
-    top = F.approx_top_k(key_hash(keys), F.lit(max_hot), F.lit(max(TRACKED_KEYS, max_hot)))
+    tracked = F.lit(max(TRACKED_KEYS, max_hot))
+    top = F.call_function("approx_top_k", key_hash(keys), F.lit(max_hot), tracked)
     seen = df.agg(top.alias("top"), F.count(F.lit(1)).alias("total")).first()
     limit = max(rows_per_task, seen["total"] // max_hot)
     rows = {t["item"]: t["count"] for t in seen["top"] or [] if t["count"] > limit}

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
-from matchlake.functions.time import epoch_ms, from_ms
+from matchlake.functions.time import from_ms
 from matchlake.operators.rank_history import rank_updates
-from matchlake.operators.skew import HotKeys, find_hot_keys
+from matchlake.operators.skew import HotKeys, Scan, find_hot_keys, running
+from matchlake.schemas import KEYS
 from matchlake.session import use_utc
+from matchlake.sources.cdc import envelope, topic
 
 CYCLE_MS = 20_000
 
@@ -182,42 +184,232 @@ class Inputs:
         arrival = F.floor(seq / ROSTER_SIZE) * CYCLE_MS + 9000 + (seq % 23) * 2000
         return self.ranks.withColumn("arrival_ts", from_ms(arrival))
 
+    # --- change log ---
+
+    @cached_property
+    def cdc_log(self) -> DataFrame:
+        """All four tables as change records, with deletes, tombstones and bad records.
+
+        A row with key k owns the offsets 5k (the row), 5k+1 (a delete), 5k+2 (a tombstone),
+        5k+3 (cut-off text) and 5k+4 (a row image without its required columns).
+        """
+        parts = [
+            _change_records(self.players, "players", "id"),
+            _change_records(self.ranks, "ranks", "seq"),
+            _change_records(self.match_events, "match_events", "id"),
+            _change_records(self.match_participants, "match_participants", "id"),
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
     # --- metric samples ---
 
     @cached_property
     def samples(self) -> DataFrame:
-        """A gauge per event of a series, and a counter that restarts every 50 samples."""
-        from matchlake.operators.skew import Scan, running
-
+        """Per event one gauge and one counter sample; counters restart every 50 samples."""
         series = self.events.select(
             "event_type",
             (F.col("user_id") % 5).cast("string").alias("shard"),
             "ts",
-            F.col("value").alias("gauge"),
-            F.col("event_id"),
+            "value",
+            "event_id",
             F.lit(1).alias("one"),
         )
+        keys = ["event_type", "shard"]
         numbered = running(
             series,
-            ["event_type", "shard"],
+            keys,
             "event_id",
             "one",
             {"n": Scan("sum", F.col("one"))},
-            find_hot_keys(series, ["event_type", "shard"]),
+            self.hot_series.renamed(*keys),
         )
-        return numbered.select(
-            "event_type",
-            "shard",
+        pair = F.array(
+            F.struct(F.lit(GAUGE).alias("name"), F.col("value").alias("value")),
+            F.struct(
+                F.lit(COUNTER).alias("name"),
+                ((F.col("n") - 1) % 50).cast("double").alias("value"),
+            ),
+        )
+        return numbered.withColumn("_s", F.explode(pair)).select(
+            "_s.name",
+            F.create_map(
+                F.lit("event_type"), "event_type", F.lit("shard"), "shard"
+            ).alias("labels"),
             "ts",
-            "event_id",
-            "gauge",
-            ((F.col("n") - 1) % 50).cast("double").alias("counter"),
+            "_s.value",
         )
 
+    @cached_property
+    def hot_series(self) -> HotKeys:
+        shard = (F.col("user_id") % 5).cast("string").alias("shard")
+        return find_hot_keys(self.events.select("event_type", shard), ["event_type", "shard"])
+
+    @cached_property
+    def alert_samples(self) -> DataFrame:
+        """Twenty series scraped every 15 seconds, twenty events to a scrape."""
+        n = len(ALERT_SERIES)
+        scrape = F.floor(F.col("event_id") / n)
+        table = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("name"),
+                    F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]).alias(
+                        "labels"
+                    ),
+                )
+                for name, labels, _ in ALERT_SERIES
+            ]
+        )
+        noise = F.floor("value")
+        values = [shape(scrape, noise).cast("double") for _, _, shape in ALERT_SERIES]
+        which = F.col("event_id") % n
+        value = F.when(which == 0, values[0])
+        for i in range(1, n):
+            value = value.when(which == i, values[i])
+        return self.events.select(
+            F.get(table, which.cast("int")).alias("s"),
+            F.timestamp_seconds(F.lit(1_704_067_200) + scrape * 15).alias("ts"),
+            value.alias("value"),
+        ).select("s.*", "ts", "value")
+
+
+GAUGE = "session_value"
+COUNTER = "session_total"
+
+
+def _in_turn(scrape, length, value, rest=0):
+    """``value`` in every second stretch of ``length`` scrapes."""
+    return F.when(F.floor(scrape / length) % 2 == 1, value).otherwise(rest)
 
-def bind(spark: SparkSession, folder: str) -> Inputs:
-    use_utc(spark)
-    return Inputs(spark, folder)
 
+# Metric, labels and the value of a sample as a function of scrape number and noise.
+ALERT_SERIES = [
+    (
+        "kafka_controller_kafkacontroller_value",
+        {"name": "OfflinePartitionsCount"},
+        lambda s, n: F.when(n > 200, 1).otherwise(0),
+    ),
+    (
+        "kafka_consumergroup_lag",
+        {"topic": "dbserver1.public.match_events", "partition": "0"},
+        lambda s, n: s % 200 * 100 + n,
+    ),
+    (
+        "kafka_consumergroup_lag",
+        {"topic": "dbserver1.public.ranks", "partition": "0"},
+        lambda s, n: s % 200 * 50 + n,
+    ),
+    (
+        "kafka_consumergroup_lag",
+        {"topic": "dbserver1.public.match_events", "partition": "1"},
+        lambda s, n: n,
+    ),
+    (
+        "flink_jobmanager_job_numberOfFailedCheckpoints",
+        {"job": "facts"},
+        lambda s, n: F.floor(s * s / 500) % 50,
+    ),
+    (
+        "flink_jobmanager_job_fullRestarts",
+        {"job": "facts"},
+        lambda s, n: F.floor(s / 35) % 7,
+    ),
+    (
+        "pg_debezium_slot_active",
+        {"slot": "lake"},
+        lambda s, n: F.when(s % 30 < 8, 0).otherwise(1),
+    ),
+    (
+        "kafka_server_replicamanager_value",
+        {"name": "UnderReplicatedPartitions"},
+        lambda s, n: F.when(n > 150, 1).otherwise(0),
+    ),
+    (
+        "flink_jobmanager_job_lastCheckpointDuration",
+        {"job": "facts"},
+        lambda s, n: _in_turn(s, 40, 12_000 + n, n),
+    ),
+    (
+        "flink_taskmanager_job_task_backPressuredTimeMsPerSecond",
+        {"task_name": "MatchJoin", "subtask": "0"},
+        lambda s, n: _in_turn(s, 100, 450 + n % 50, n % 50),
+    ),
+    (
+        "flink_taskmanager_job_task_backPressuredTimeMsPerSecond",
+        {"task_name": "MatchJoin", "subtask": "1"},
+        lambda s, n: _in_turn(s, 100, 100 + n, n % 50),
+    ),
+    (
+        "flink_taskmanager_job_task_backPressuredTimeMsPerSecond",
+        {"task_name": "Compaction", "subtask": "0"},
+        lambda s, n: 900 + n,
+    ),
+    (
+        "flink_taskmanager_Status_JVM_Memory_Heap_Used",
+        {"tm": "0"},
+        lambda s, n: _in_turn(s, 60, 900 + n % 50, 600),
+    ),
+    (
+        "flink_taskmanager_Status_JVM_Memory_Heap_Max",
+        {"tm": "0"},
+        lambda s, n: F.lit(1000),
+    ),
+    (
+        "debezium_lake_millisecondsbehindsource",
+        {"table": "ranks"},
+        lambda s, n: _in_turn(s, 30, 6000 + n, n),
+    ),
+    (
+        "debezium_lake_millisecondsbehindsource",
+        {"table": "players"},
+        lambda s, n: n * 20,
+    ),
+    (
+        "flink_taskmanager_job_task_operator_join_incomplete",
+        {"subtask": "0"},
+        lambda s, n: F.least(s % 150, F.lit(60)),
+    ),
+    (
+        "kafka_controller_kafkacontroller_value",
+        {"name": "ActiveControllerCount"},
+        lambda s, n: F.lit(1),
+    ),
+    (
+        "kafka_consumergroup_lag",
+        {"topic": "audit", "partition": "0"},
+        lambda s, n: s * 1000,
+    ),
+    ("up", {"job": "kafka"}, lambda s, n: F.lit(1)),
+]
 
-__all__ = ["Inputs", "bind", "epoch_ms"]
+
+def _change_records(df: DataFrame, table: str, key: str) -> DataFrame:
+    k = F.col(key)
+    image = F.when(k % 2 == 0, envelope(table)).otherwise(envelope(table, keep_nulls=False))
+    name = KEYS[table]
+
+    def record(kind: int, value, every: int = 1):
+        entry = F.struct((k * 5 + kind).alias("offset"), value.alias("value"))
+        return entry if every == 1 else F.when(k % every == 0, entry)
+
+    records = F.array(
+        record(0, image),
+        record(1, F.lit('{"payload":{"after":null}}'), 50),
+        record(2, F.lit(None).cast("string"), 61),
+        record(3, F.concat(F.lit('{"payload":{"after":{"id":'), k.cast("string")), 97),
+        record(
+            4,
+            F.concat(
+                F.lit('{"payload":{"after":{"%s":' % name), k.cast("string"), F.lit("}}}")
+            ),
+            89,
+        ),
+    )
+    return df.select(
+        F.lit(topic(table)).alias("topic"),
+        F.explode(F.filter(records, lambda r: r.isNotNull())).alias("r"),
+    ).select("topic", "r.*")
+
+
+def bind(spark: SparkSession, folder: str) -> Inputs:
+    return Inputs(use_utc(spark), folder)

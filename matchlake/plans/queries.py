@@ -18,17 +18,15 @@ from matchlake.sources import cdc
 from matchlake.sources.testdata import COUNTER, GAUGE, Inputs, bind
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {}
 
 DAY = 86_400
 HOUR = 3600
 
 
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(bind(spark, folder))
-
-    QUERIES[build.__name__] = run
+    """Register ``build`` under its name, less a trailing underscore."""
+    BUILDERS[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -173,14 +171,11 @@ def latest_player(t: Inputs) -> DataFrame:
 
 
 @query
-def rank_history_versions(t: Inputs) -> DataFrame:
+def rank_history_(t: Inputs) -> DataFrame:
     rows = asof.history(t.rank_log, ["arrival_ts", "seq"])
     return _clocks(rows, "updated_at", "arrival_ts")
 
 
-QUERIES["rank_history"] = QUERIES.pop("rank_history_versions")
-
-
 def _session_times(sessions: DataFrame) -> DataFrame:
     return sessions.select(
         "match_id",
@@ -449,3 +444,8 @@ def alert_report(t: Inputs) -> DataFrame:
     return _clocks(report, "first_firing")
 
 
+def _runner(build: Callable[[Inputs], DataFrame]) -> Query:
+    return lambda spark, folder: build(bind(spark, folder))
+
+
+QUERIES: dict[str, Query] = {name: _runner(build) for name, build in BUILDERS.items()}

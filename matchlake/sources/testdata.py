@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchlake.functions.ranks import ROSTER_SIZE
 from matchlake.functions.time import from_ms
 from matchlake.operators.rank_history import rank_updates
-from matchlake.operators.skew import HotKeys, Scan, find_hot_keys, running
+from matchlake.operators.skew import ROWS_PER_TASK, HotKeys, Scan, find_hot_keys, running
 from matchlake.schemas import KEYS
 from matchlake.session import use_utc
 from matchlake.sources.cdc import envelope, topic
@@ -25,6 +25,7 @@ class Inputs:
 
     spark: SparkSession
     folder: str
+    rows_per_task: int = ROWS_PER_TASK
 
     def read(self, table: str) -> DataFrame:
         return use_utc(self.spark).read.parquet(f"{self.folder}/{table}.parquet")
@@ -135,11 +136,11 @@ class Inputs:
 
     @cached_property
     def hot_players(self) -> HotKeys:
-        return find_hot_keys(self.match_participants, ["player_id"])
+        return find_hot_keys(self.match_participants, ["player_id"], self.rows_per_task)
 
     @cached_property
     def hot_matches(self) -> HotKeys:
-        return find_hot_keys(self.match_participants, ["match_id"])
+        return find_hot_keys(self.match_participants, ["match_id"], self.rows_per_task)
 
     # --- arrival clock, in milliseconds ---
 
@@ -242,7 +243,8 @@ class Inputs:
     @cached_property
     def hot_series(self) -> HotKeys:
         shard = (F.col("user_id") % 5).cast("string").alias("shard")
-        return find_hot_keys(self.events.select("event_type", shard), ["event_type", "shard"])
+        series = self.events.select("event_type", shard)
+        return find_hot_keys(series, ["event_type", "shard"], self.rows_per_task)
 
     @cached_property
     def alert_samples(self) -> DataFrame:
@@ -411,5 +413,5 @@ def _change_records(df: DataFrame, table: str, key: str) -> DataFrame:
     ).select("topic", "r.*")
 
 
-def bind(spark: SparkSession, folder: str) -> Inputs:
-    return Inputs(use_utc(spark), folder)
+def bind(spark: SparkSession, folder: str, rows_per_task: int = ROWS_PER_TASK) -> Inputs:
+    return Inputs(use_utc(spark), folder, rows_per_task)

@@ -5,7 +5,7 @@ A series is a metric name with one set of labels. Positions are bigint microseco
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from matchlake.operators.skew import (
     HotKeys,
     Scan,
     find_hot_keys,
+    merged_fit,
     running,
 )
 
@@ -104,21 +105,23 @@ def metric_ratio(part: DataFrame, whole: DataFrame) -> DataFrame:
 # --- sliding windows ---------------------------------------------------------
 
 
-def trailing_sums(
+def _trailing(
     samples: DataFrame,
     keys: Sequence[str],
     width: Column | int,
-    values: Mapping[str, Column],
-    hot: HotKeys = NO_HOT_KEYS,
+    scan: Callable[[Column], Scan],
+    hot: HotKeys,
 ) -> DataFrame:
-    """Sums of ``values`` over the rows of the last ``width`` microseconds, both ends in.
-
-    Time is cut into slices of that width, so a window reaches back into one earlier
-    slice at most. Each row counts in its own slice from its time on (a running sum
-    forwards), and in the next one until it falls out of the window (a running sum
-    backwards). The work per row does not depend on how many rows a window holds, and a
-    long series spreads over its slices. ``values`` may use ``_x``, the time since the
-    slice began.
+    """Add ``_came`` and ``_stays``, which together cover the last ``width`` microseconds.
+
+    Time is cut into slices of that width, so a window (both ends in) reaches back into
+    one earlier slice at most. Each row counts in its own slice from its time on, scanned
+    forwards as ``_came``, and in the next one until it falls out of the window, scanned
+    backwards as ``_stays``. Nothing is ever subtracted, the work per row does not depend
+    on how many rows a window holds, and a long series spreads over its slices.
+
+    ``scan`` is given the condition under which a row takes part, and may use ``_x``, the
+    time since the slice began.
     """
     width = (F.lit(width) if isinstance(width, int) else width).cast("bigint")
     pos = F.col("pos")
@@ -129,34 +132,52 @@ def trailing_sums(
             (own + 1).alias("slice"), (pos + width).alias("at"), F.lit(False).alias("own")
         ),
     )
-    columns = samples.columns
-    sliced = (
-        samples.withColumn("_half", F.explode(halves))
-        .select(
-            *columns,
-            F.col("_half.slice").alias("_slice"),
-            F.col("_half.at").alias("_at"),
-            (-F.col("_half.at")).alias("_back"),
-            F.col("_half.own").alias("_own"),
-            (pos - F.col("_half.slice") * width).alias("_x"),
-        )
-        .withColumns({f"_v_{n}": v for n, v in values.items()})
+    sliced = samples.withColumn("_half", F.explode(halves)).select(
+        *samples.columns,
+        F.col("_half.slice").alias("_slice"),
+        F.col("_half.at").alias("_at"),
+        (-F.col("_half.at")).alias("_back"),
+        F.col("_half.own").alias("_own"),
+        (pos - F.col("_half.slice") * width).alias("_x"),
     )
-    came = {
-        f"_came_{n}": Scan("sum", F.when(F.col("_own"), F.col(f"_v_{n}"))) for n in values
-    }
-    stays = {
-        f"_stays_{n}": Scan("sum", F.when(~F.col("_own"), F.col(f"_v_{n}"))) for n in values
-    }
     slice_keys = [*keys, "_slice"]
     hot_slices = find_hot_keys(sliced, slice_keys, hot.rows_per_task) if hot else NO_HOT_KEYS
-    summed = running(sliced, slice_keys, "_at", None, came, hot_slices)
-    summed = running(summed, slice_keys, "_back", None, stays, hot_slices).where("_own")
+    mine = F.col("_own")
+    came = running(sliced, slice_keys, "_at", None, {"_came": scan(mine)}, hot_slices)
+    both = running(came, slice_keys, "_back", None, {"_stays": scan(~mine)}, hot_slices)
+    return both.where(mine).select(*samples.columns, "_came", "_stays")
+
+
+def trailing_sum(
+    samples: DataFrame,
+    keys: Sequence[str],
+    width: Column | int,
+    value: str,
+    name: str,
+    hot: HotKeys = NO_HOT_KEYS,
+) -> DataFrame:
+    """Add the sum of ``value`` over the rows of the last ``width`` microseconds."""
+    both = _trailing(
+        samples, keys, width, lambda mine: Scan("sum", F.when(mine, F.col(value))), hot
+    )
+    total = F.coalesce("_came", F.lit(0.0)) + F.coalesce("_stays", F.lit(0.0))
+    return both.withColumn(name, total).drop("_came", "_stays")
 
-    def total(n: str) -> Column:
-        return F.coalesce(f"_came_{n}", F.lit(0.0)) + F.coalesce(f"_stays_{n}", F.lit(0.0))
 
-    return summed.select(*columns, *[total(n).alias(n) for n in values])
+def trailing_slope(
+    samples: DataFrame,
+    keys: Sequence[str],
+    width: Column | int,
+    hot: HotKeys = NO_HOT_KEYS,
+) -> DataFrame:
+    """Add the least-squares ``slope`` of ``value`` per second; null below two instants."""
+    point = F.struct(F.col("value").alias("y"), (F.col("_x") / SECOND).alias("x"))
+    both = _trailing(
+        samples, keys, width, lambda mine: Scan("fit", F.when(mine, point)), hot
+    )
+    fit = merged_fit(F.col("_came"), F.col("_stays"))
+    slope = F.when((fit["n"] >= 2) & (fit["sxx"] > 0), fit["sxy"] / fit["sxx"])
+    return both.withColumn("slope", slope).drop("_came", "_stays")
 
 
 def increments(
@@ -181,27 +202,10 @@ def increase(
     Growth is added up between samples; nothing is extrapolated to the window's ends.
     """
     grown = increments(samples, keys, hot)
-    summed = trailing_sums(
-        grown, keys, seconds * SECOND, {"increase": F.col("step")}, hot
-    )
+    summed = trailing_sum(grown, keys, seconds * SECOND, "step", "increase", hot)
     return summed.withColumn("rate", F.col("increase") / seconds).drop("step")
 
 
-def slope_sums() -> dict[str, Column]:
-    x = F.col("_x") / SECOND
-    y = F.col("value")
-    return {"_n": F.lit(1.0), "_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x}
-
-
-def slope() -> Column:
-    """Least-squares slope from the sums of ``slope_sums``; null below two instants."""
-    n, sx, sy = F.col("_n"), F.col("_sx"), F.col("_sy")
-    spread = n * F.col("_sxx") - sx * sx
-    return F.when(
-        (F.round(n) >= 2) & (spread > 0), (n * F.col("_sxy") - sx * sy) / spread
-    )
-
-
 def deriv(
     samples: DataFrame,
     seconds: int,
@@ -209,9 +213,7 @@ def deriv(
     hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     """Add ``slope``: the fitted change per second over the last ``seconds``."""
-    sums = slope_sums()
-    summed = trailing_sums(samples, keys, seconds * SECOND, sums, hot)
-    return summed.withColumn("slope", slope()).drop(*sums)
+    return trailing_slope(samples, keys, seconds * SECOND, hot)
 
 
 # --- holding -----------------------------------------------------------------

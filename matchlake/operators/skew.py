@@ -132,7 +132,8 @@ class Scan:
     """One running value: its kind and the column it runs over.
 
     ``sum``, ``min``, ``max`` and ``last`` (last non-null) include the current row,
-    ``lag`` is the previous row's value, ``total`` the sum over the whole key.
+    ``lag`` is the previous row's value, ``total`` the sum over the whole key. ``fit``
+    takes points ``struct(y, x)`` and gives their count, means and centred sums.
     """
 
     kind: str
@@ -153,6 +154,8 @@ class Scan:
                 return F.lag(F.struct(value.alias("v"))).over(ordered)
             case "total":
                 return F.sum(value).over(whole)
+            case "fit":
+                return F.struct(*[a.over(frame).alias(n) for n, a in _fit(value).items()])
         raise ValueError(f"unknown scan {self.kind!r}")
 
     def summary(self, order: Column) -> Column:
@@ -169,6 +172,8 @@ class Scan:
                 return F.max_by(value, F.when(value.isNotNull(), order))
             case "lag":
                 return F.max_by(F.struct(value.alias("v")), order)
+            case "fit":
+                return F.struct(*[a.alias(n) for n, a in _fit(value).items()])
         raise ValueError(f"unknown scan {self.kind!r}")
 
     def carry(self, summary: Column, earlier: WindowSpec, whole: WindowSpec) -> Column:
@@ -181,6 +186,8 @@ class Scan:
                 return F.max(summary).over(earlier)
             case "total":
                 return F.sum(summary).over(whole)
+            case "fit":
+                return _fit_of_fits(summary, earlier)
         return F.last(summary, ignorenulls=True).over(earlier)
 
     def merge(self, carry: Column, local: Column) -> Column:
@@ -193,12 +200,56 @@ class Scan:
                 return F.greatest(carry, local)
             case "total":
                 return carry
+            case "fit":
+                return merged_fit(carry, local)
         return F.coalesce(local, carry)
 
     def result(self, merged: Column) -> Column:
         return merged["v"] if self.kind == "lag" else merged
 
 
+def _fit(point: Column) -> dict[str, Column]:
+    y, x = point["y"], point["x"]
+    return {
+        "n": F.regr_count(y, x),
+        "mx": F.regr_avgx(y, x),
+        "my": F.regr_avgy(y, x),
+        "sxx": F.regr_sxx(y, x),
+        "sxy": F.regr_sxy(y, x),
+    }
+
+
+def _fit_of_fits(fit: Column, window: WindowSpec) -> Column:
+    def total(value: Column) -> Column:
+        return F.sum(value).over(window)
+
+    n = total(fit["n"])
+    mx, my = total(fit["n"] * fit["mx"]) / n, total(fit["n"] * fit["my"]) / n
+    return F.struct(
+        n.alias("n"),
+        mx.alias("mx"),
+        my.alias("my"),
+        (total(fit["sxx"] + fit["n"] * fit["mx"] * fit["mx"]) - n * mx * mx).alias("sxx"),
+        (total(fit["sxy"] + fit["n"] * fit["mx"] * fit["my"]) - n * mx * my).alias("sxy"),
+    )
+
+
+def merged_fit(a: Column, b: Column) -> Column:
+    """The fit of two disjoint sets of points together."""
+    n = a["n"] + b["n"]
+    dx, dy = b["mx"] - a["mx"], b["my"] - a["my"]
+    weight = a["n"] * b["n"] / n
+    joint = F.struct(
+        n.alias("n"),
+        ((a["n"] * a["mx"] + b["n"] * b["mx"]) / n).alias("mx"),
+        ((a["n"] * a["my"] + b["n"] * b["my"]) / n).alias("my"),
+        (a["sxx"] + b["sxx"] + dx * dx * weight).alias("sxx"),
+        (a["sxy"] + b["sxy"] + dx * dy * weight).alias("sxy"),
+    )
+    empty_a, empty_b = F.coalesce(a["n"], F.lit(0)) == 0, F.coalesce(b["n"], F.lit(0)) == 0
+    return F.when(empty_a, b).when(empty_b, a).otherwise(joint)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],

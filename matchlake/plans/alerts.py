@@ -15,9 +15,8 @@ from matchlake.operators.metrics import (
     increments,
     label_key,
     matches,
-    slope,
-    slope_sums,
-    trailing_sums,
+    trailing_slope,
+    trailing_sum,
 )
 from matchlake.operators.skew import NO_HOT_KEYS, HotKeys
 
@@ -225,7 +224,7 @@ def _measured(tagged: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> DataFra
     keys = ["alert", "name", "series"]
     grown = increments(tagged.where(is_counter), keys, hot)
     width = _per_rule(counters, lambda r: r.window_seconds * SECOND).cast("bigint")
-    summed = trailing_sums(grown, keys, width, {"growth": F.col("step")}, hot)
+    summed = trailing_sum(grown, keys, width, "step", "growth", hot)
     per = _per_rule(counters, lambda r: r.window_seconds if r.measure == "rate" else 1)
     return tagged.where(~is_counter).unionByName(
         summed.withColumn("value", F.col("growth") / per).drop("growth", "step")
@@ -280,12 +279,11 @@ def _sloped(grouped: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> DataFram
         return grouped.withColumn("slope", F.lit(None).cast("double"))
     climbs = F.col("alert").isin([r.alert for r in climbing])
     width = _per_rule(climbing, lambda r: r.slope_seconds * SECOND).cast("bigint")
-    sums = slope_sums()
-    fitted = trailing_sums(grouped.where(climbs), _GROUP, width, sums, hot)
+    fitted = trailing_slope(grouped.where(climbs), _GROUP, width, hot)
     return (
         grouped.where(~climbs)
         .withColumn("slope", F.lit(None).cast("double"))
-        .unionByName(fitted.withColumn("slope", slope()).drop(*sums))
+        .unionByName(fitted)
     )
 
 

@@ -39,19 +39,19 @@ def as_of(
     the very position of a row is used. One shuffle and one sort, whatever the number
     of versions: both sides are merged and the last version is carried forward.
     """
-    nothing = versions.schema[picked].dataType
+    kept = [c for c in rows.columns if c not in (*keys, "_pos")]
     tie = F.lit(0) if spread_by is None else F.pmod(F.xxhash64(spread_by), F.lit(2**62))
-    merged = rows.withColumns(
-        {
-            "_is_row": F.lit(True),
-            "_tie": tie.cast("bigint"),
-            "_seen": F.lit(None).cast(nothing),
-        }
+    # The row travels as one struct, so that a version does not carry a null per column.
+    merged = rows.select(
+        *keys,
+        "_pos",
+        tie.cast("bigint").alias("_tie"),
+        F.struct(*kept).alias("_row"),
+        F.lit(None).cast(versions.schema[picked].dataType).alias("_seen"),
     ).unionByName(
         versions.select(
             *keys,
             "_pos",
-            F.lit(False).alias("_is_row"),
             (F.col("_version").cast("bigint") - F.lit(2**62)).alias("_tie"),
             F.col(picked).alias("_seen"),
         ),
@@ -60,7 +60,10 @@ def as_of(
     scanned = running(
         merged, keys, "_pos", "_tie", {picked: Scan("last", F.col("_seen"))}, hot
     )
-    return scanned.where("_is_row").drop("_is_row", "_tie", "_seen", "_pos")
+    return scanned.where(F.col("_row").isNotNull()).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in rows.columns if c != "_pos"],
+        picked,
+    )
 
 
 def _versions(ranks: DataFrame, order: str | None) -> DataFrame:

@@ -191,6 +191,7 @@ def _tagged(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Each sample once per rule and role it serves, in a single pass."""
     labels = F.col("labels")
     uses = []
+    conditions = []
     for rule in rules:
         kept = labels if rule.by is None else _only(labels, rule.by)
         roles = [(rule.selects(), "part")]
@@ -203,8 +204,11 @@ def _tagged(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 label_key(kept).alias("group"),
             )
             uses.append(F.when(wanted, use))
+            conditions.append(wanted)
+    wanted_at_all = reduce(Column.__or__, conditions)
     return (
-        samples.withColumn("_use", F.explode(F.filter(F.array(*uses), lambda u: u.isNotNull())))
+        samples.where(wanted_at_all)
+        .withColumn("_use", F.explode(F.array_compact(F.array(*uses))))
         .select(
             "_use.*",
             "name",
@@ -216,37 +220,22 @@ def _tagged(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _measured(tagged: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> DataFrame:
-    """Replace counters by their growth in the rule's window."""
-    counters = [r for r in rules if r.measure != "value"]
-    if not counters:
-        return tagged
-    is_counter = F.col("alert").isin([r.alert for r in counters])
+    """Counters by their growth in the rule's window."""
+    grown = increments(tagged, ["alert", "name", "series"], hot)
+    width = _per_rule(rules, lambda r: r.window_seconds * SECOND).cast("bigint")
     keys = ["alert", "name", "series"]
-    grown = increments(tagged.where(is_counter), keys, hot)
-    width = _per_rule(counters, lambda r: r.window_seconds * SECOND).cast("bigint")
     summed = trailing_sum(grown, keys, width, "step", "growth", hot)
-    per = _per_rule(counters, lambda r: r.window_seconds if r.measure == "rate" else 1)
-    return tagged.where(~is_counter).unionByName(
-        summed.withColumn("value", F.col("growth") / per).drop("growth", "step")
-    )
+    per = _per_rule(rules, lambda r: r.window_seconds if r.measure == "rate" else 1)
+    return summed.withColumn("value", F.col("growth") / per)
 
 
-def evaluate(
-    samples: DataFrame,
-    rules: Sequence[Rule] = tuple(RULES),
-    every_seconds: int = EVALUATE_SECONDS,
-    hot: HotKeys = NO_HOT_KEYS,
-) -> DataFrame:
-    """Every group of every rule at every instant: value, breach and state.
-
-    ``samples`` holds scrapes ``every_seconds`` apart; a missing one interrupts a hold.
-    """
-    measured = _measured(_tagged(samples, rules), rules, hot)
+def _grouped(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One value per alert, group and instant."""
     part = F.when(F.col("role") == "part", F.col("value"))
     whole = F.sum(F.when(F.col("role") == "whole", F.col("value")))
     highest = F.col("alert").isin([r.alert for r in rules if r.combine == "max"])
     divided = F.col("alert").isin([r.alert for r in rules if r.divide_by])
-    grouped = (
+    return (
         measured.groupBy(*_GROUP, "pos")
         .agg(F.sum(part).alias("sum"), F.max(part).alias("max"), whole.alias("whole"))
         .select(
@@ -259,9 +248,40 @@ def evaluate(
         )
         .where(F.col("value").isNotNull())
     )
-    judged = _sloped(grouped, rules, hot).withColumn("breach", _breach(rules))
+
+
+def _valued(samples: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> list[DataFrame]:
+    """Values of all rules; each kind of rule reads only the samples it names."""
+    counters = [r for r in rules if r.measure != "value"]
+    climbing = [r for r in rules if r.measure == "value" and r.min_slope is not None]
+    plain = [r for r in rules if r not in counters and r not in climbing]
+    parts = []
+    if counters:
+        measured = _measured(_tagged(samples, counters), counters, hot)
+        parts.append(_grouped(measured, counters))
+    if plain:
+        parts.append(_grouped(_tagged(samples, plain), plain))
+    parts = [p.withColumn("slope", F.lit(None).cast("double")) for p in parts]
+    if climbing:
+        width = _per_rule(climbing, lambda r: r.slope_seconds * SECOND).cast("bigint")
+        grouped = _grouped(_tagged(samples, climbing), climbing)
+        parts.append(trailing_slope(grouped, _GROUP, width, hot))
+    return parts
+
+
+def evaluate(
+    samples: DataFrame,
+    rules: Sequence[Rule] = tuple(RULES),
+    every_seconds: int = EVALUATE_SECONDS,
+    hot: HotKeys = NO_HOT_KEYS,
+) -> DataFrame:
+    """Every group of every rule at every instant: value, slope and state.
+
+    ``samples`` holds scrapes ``every_seconds`` apart; a missing one interrupts a hold.
+    """
+    valued = reduce(DataFrame.unionByName, _valued(samples, rules, hot))
     seconds = _per_rule(rules, lambda r: r.hold_seconds).cast("bigint")
-    held = hold(judged, F.col("breach"), seconds, _GROUP, every_seconds, hot)
+    held = hold(valued, _breach(rules), seconds, _GROUP, every_seconds, hot)
     return held.select(
         "alert",
         _per_rule(rules, lambda r: r.severity).alias("severity"),
@@ -273,20 +293,6 @@ def evaluate(
     )
 
 
-def _sloped(grouped: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> DataFrame:
-    climbing = [r for r in rules if r.min_slope is not None]
-    if not climbing:
-        return grouped.withColumn("slope", F.lit(None).cast("double"))
-    climbs = F.col("alert").isin([r.alert for r in climbing])
-    width = _per_rule(climbing, lambda r: r.slope_seconds * SECOND).cast("bigint")
-    fitted = trailing_slope(grouped.where(climbs), _GROUP, width, hot)
-    return (
-        grouped.where(~climbs)
-        .withColumn("slope", F.lit(None).cast("double"))
-        .unionByName(fitted)
-    )
-
-
 def _breach(rules: Sequence[Rule]) -> Column:
     tests = []
     for rule in rules:

@@ -386,31 +386,21 @@ ALERT_SERIES = [
 
 
 def _change_records(df: DataFrame, table: str, key: str) -> DataFrame:
-    k = F.col(key)
-    image = F.when(k % 2 == 0, envelope(table)).otherwise(envelope(table, keep_nulls=False))
-    name = KEYS[table]
-
-    def record(kind: int, value, every: int = 1):
-        entry = F.struct((k * 5 + kind).alias("offset"), value.alias("value"))
-        return entry if every == 1 else F.when(k % every == 0, entry)
-
-    records = F.array(
-        record(0, image),
-        record(1, F.lit('{"payload":{"after":null}}'), 50),
-        record(2, F.lit(None).cast("string"), 61),
-        record(3, F.concat(F.lit('{"payload":{"after":{"id":'), k.cast("string")), 97),
-        record(
-            4,
-            F.concat(
-                F.lit('{"payload":{"after":{"%s":' % name), k.cast("string"), F.lit("}}}")
-            ),
-            89,
-        ),
-    )
-    return df.select(
+    k, name = F.col(key), KEYS[table]
+    every = [(0, 1), (1, 50), (2, 61), (3, 97), (4, 89)]
+    kinds = F.array(*[F.when(k % n == 0, kind) for kind, n in every])
+    whole = F.when(k % 2 == 0, envelope(table)).otherwise(envelope(table, keep_nulls=False))
+    text = k.cast("string")
+    kind = F.col("kind")
+    return df.withColumn("kind", F.explode(F.array_compact(kinds))).select(
         F.lit(topic(table)).alias("topic"),
-        F.explode(F.filter(records, lambda r: r.isNotNull())).alias("r"),
-    ).select("topic", "r.*")
+        (k * 5 + kind).alias("offset"),
+        F.when(kind == 0, whole)
+        .when(kind == 1, '{"payload":{"after":null}}')
+        .when(kind == 3, F.concat(F.lit('{"payload":{"after":{"id":'), text))
+        .when(kind == 4, F.concat(F.lit(f'{{"payload":{{"after":{{"{name}":'), text, F.lit("}}}")))
+        .alias("value"),
+    )
 
 
 def bind(spark: SparkSession, folder: str, rows_per_task: int = ROWS_PER_TASK) -> Inputs:

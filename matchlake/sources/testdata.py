@@ -185,6 +185,26 @@ class Inputs:
         arrival = F.floor(seq / ROSTER_SIZE) * CYCLE_MS + 9000 + (seq % 23) * 2000
         return self.ranks.withColumn("arrival_ts", from_ms(arrival))
 
+    @cached_property
+    def arrival_log(self) -> DataFrame:
+        """The four logs above as change records with their arrival times."""
+        logs = {
+            "players": (self.player_log, "id"),
+            "match_participants": (self.participant_log, "id"),
+            "match_events": (self.event_log, "id"),
+            "ranks": (self.rank_log, "seq"),
+        }
+        parts = [
+            log.select(
+                F.lit(topic(table)).alias("topic"),
+                F.col(key).alias("offset"),
+                "arrival_ts",
+                envelope(table).alias("value"),
+            )
+            for table, (log, key) in logs.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
     # --- change log ---
 
     @cached_property

@@ -42,16 +42,17 @@ def complete_rosters(
     event join needs them. A hot match is counted with map-side partial counts instead,
     and only if it is exactly full do its few rows go on.
     """
+    hot.check(["match_id"])
     per_match = Window.partitionBy("match_id")
     full = (
-        looked.where(~hot.is_hot(["match_id"]))
+        looked.where(~hot.is_hot())
         .withColumn("_n", F.count(F.lit(1)).over(per_match))
         .where(F.col("_n") == roster_size)
         .drop("_n")
     )
     if not hot:
         return full
-    crowded = looked.where(hot.is_hot(["match_id"]))
+    crowded = looked.where(hot.is_hot())
     exact = (
         crowded.groupBy("match_id")
         .agg(F.count(F.lit(1)).alias("_n"))

@@ -124,16 +124,17 @@ def emitted(
     hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     """Participants of the emitting sessions with their session's last event."""
+    hot.check(["match_id"])
     values = _session_values()
     complete = _emits(roster_size)
     per_session = Window.partitionBy(*_SESSION)
     whole = (
-        arrivals.where(~hot.is_hot(["match_id"]))
+        arrivals.where(~hot.is_hot())
         .withColumns({n: v.over(per_session) for n, v in values.items()})
         .where(complete & F.col("participant").isNotNull())
     )
     if hot:
-        crowded = pinned(arrivals.where(hot.is_hot(["match_id"])))
+        crowded = pinned(arrivals.where(hot.is_hot()))
         sessions = (
             crowded.groupBy(*_SESSION)
             .agg(*[v.alias(n) for n, v in values.items()])

@@ -43,14 +43,14 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.rows)
 
-    def renamed(self, *keys: str) -> HotKeys:
-        """The same key values under other column names."""
-        return HotKeys(tuple(keys), self.rows, self.rows_per_task)
-
-    def is_hot(self, keys: Sequence[str] | None = None) -> Column:
+    def is_hot(self) -> Column:
         if not self.rows:
             return F.lit(False)
-        return key_hash(keys or self.keys).isin(list(self.rows))
+        return key_hash(self.keys).isin(list(self.rows))
+
+    def check(self, keys: Sequence[str]) -> None:
+        if self.rows and tuple(keys) != self.keys:
+            raise ValueError(f"hot keys of {self.keys}, but the work is keyed by {tuple(keys)}")
 
     def pieces(self) -> dict[int, int]:
         """Into how many pieces each hot key is cut."""
@@ -67,12 +67,31 @@ def find_hot_keys(
 
     The sketch reports every key above one ``max_hot``-th of the rows.
     """
+    return find_all_hot_keys(df, [keys], rows_per_task, max_hot)[0]
+
+
+def find_all_hot_keys(
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    rows_per_task: int = ROWS_PER_TASK,
+    max_hot: int = MAX_HOT_KEYS,
+) -> list[HotKeys]:
+    """``find_hot_keys`` for several keys of one table, still in one pass."""
     tracked = F.lit(max(TRACKED_KEYS, max_hot))
-    top = F.call_function("approx_top_k", key_hash(keys), F.lit(max_hot), tracked)
-    seen = df.agg(top.alias("top"), F.count(F.lit(1)).alias("total")).first()
+    tops = [
+        F.call_function("approx_top_k", key_hash(keys), F.lit(max_hot), tracked).alias(f"_{i}")
+        for i, keys in enumerate(key_sets)
+    ]
+    seen = df.agg(F.count(F.lit(1)).alias("total"), *tops).first()
     limit = max(rows_per_task, seen["total"] // max_hot)
-    rows = {t["item"]: t["count"] for t in seen["top"] or [] if t["count"] > limit}
-    return HotKeys(tuple(keys), rows, limit)
+    return [
+        HotKeys(
+            tuple(keys),
+            {t["item"]: t["count"] for t in seen[f"_{i}"] or [] if t["count"] > limit},
+            limit,
+        )
+        for i, keys in enumerate(key_sets)
+    ]
 
 
 NO_HOT_KEYS = HotKeys(())
@@ -96,6 +115,7 @@ def spread_join(
     """
     if not hot:
         return many.join(one, list(keys), how)
+    hot.check(keys)
     pieces = F.broadcast(_per_hash(many.sparkSession, hot.pieces(), "_pieces int"))
     dealt = (
         many.withColumn("_hash", key_hash(keys))
@@ -266,8 +286,9 @@ def running(
     """
     if not hot:
         return _scan_plain(df, keys, pos, tie, scans)
-    light = df.where(~hot.is_hot(keys))
-    heavy = pinned(df.where(hot.is_hot(keys)))
+    hot.check(keys)
+    light = df.where(~hot.is_hot())
+    heavy = pinned(df.where(hot.is_hot()))
     return _scan_plain(light, keys, pos, tie, scans).unionByName(
         _scan_pieces(heavy, keys, pos, tie, scans, hot)
     )

@@ -18,7 +18,7 @@ from matchlake.operators.metrics import (
     trailing_slope,
     trailing_sum,
 )
-from matchlake.operators.skew import NO_HOT_KEYS, HotKeys
+from matchlake.operators.skew import ROWS_PER_TASK, HotKeys, find_all_hot_keys
 
 EVALUATE_SECONDS = 15
 
@@ -166,6 +166,7 @@ RULES = [
 ]
 
 _GROUP = ["alert", "group"]
+_COUNTER = ["alert", "name", "series"]
 _COMPARE = {
     ">": lambda a, b: a > b,
     ">=": lambda a, b: a >= b,
@@ -221,10 +222,9 @@ def _tagged(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def _measured(tagged: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> DataFrame:
     """Counters by their growth in the rule's window."""
-    grown = increments(tagged, ["alert", "name", "series"], hot)
+    grown = increments(tagged, _COUNTER, hot)
     width = _per_rule(rules, lambda r: r.window_seconds * SECOND).cast("bigint")
-    keys = ["alert", "name", "series"]
-    summed = trailing_sum(grown, keys, width, "step", "growth", hot)
+    summed = trailing_sum(grown, _COUNTER, width, "step", "growth", hot)
     per = _per_rule(rules, lambda r: r.window_seconds if r.measure == "rate" else 1)
     return summed.withColumn("value", F.col("growth") / per)
 
@@ -250,14 +250,16 @@ def _grouped(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def _valued(samples: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> list[DataFrame]:
+def _valued(
+    samples: DataFrame, rules: Sequence[Rule], hot_groups: HotKeys, hot_counters: HotKeys
+) -> list[DataFrame]:
     """Values of all rules; each kind of rule reads only the samples it names."""
     counters = [r for r in rules if r.measure != "value"]
     climbing = [r for r in rules if r.measure == "value" and r.min_slope is not None]
     plain = [r for r in rules if r not in counters and r not in climbing]
     parts = []
     if counters:
-        measured = _measured(_tagged(samples, counters), counters, hot)
+        measured = _measured(_tagged(samples, counters), counters, hot_counters)
         parts.append(_grouped(measured, counters))
     if plain:
         parts.append(_grouped(_tagged(samples, plain), plain))
@@ -265,7 +267,7 @@ def _valued(samples: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> list[Dat
     if climbing:
         width = _per_rule(climbing, lambda r: r.slope_seconds * SECOND).cast("bigint")
         grouped = _grouped(_tagged(samples, climbing), climbing)
-        parts.append(trailing_slope(grouped, _GROUP, width, hot))
+        parts.append(trailing_slope(grouped, _GROUP, width, hot_groups))
     return parts
 
 
@@ -273,15 +275,17 @@ def evaluate(
     samples: DataFrame,
     rules: Sequence[Rule] = tuple(RULES),
     every_seconds: int = EVALUATE_SECONDS,
-    hot: HotKeys = NO_HOT_KEYS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every group of every rule at every instant: value, slope and state.
 
     ``samples`` holds scrapes ``every_seconds`` apart; a missing one interrupts a hold.
     """
-    valued = reduce(DataFrame.unionByName, _valued(samples, rules, hot))
+    tagged = _tagged(samples, rules)
+    groups, counters = find_all_hot_keys(tagged, [_GROUP, _COUNTER], rows_per_task)
+    valued = reduce(DataFrame.unionByName, _valued(samples, rules, groups, counters))
     seconds = _per_rule(rules, lambda r: r.hold_seconds).cast("bigint")
-    held = hold(valued, _breach(rules), seconds, _GROUP, every_seconds, hot)
+    held = hold(valued, _breach(rules), seconds, _GROUP, every_seconds, groups)
     return held.select(
         "alert",
         _per_rule(rules, lambda r: r.severity).alias("severity"),

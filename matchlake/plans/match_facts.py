@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from matchlake.functions.ranks import ROSTER_SIZE
 from matchlake.operators.asof import rank_as_of
 from matchlake.operators.joins import fact_rows, player_lookup, roster_join
-from matchlake.operators.skew import NO_HOT_KEYS, HotKeys
+from matchlake.operators.skew import (
+    NO_HOT_KEYS,
+    ROWS_PER_TASK,
+    HotKeys,
+    find_all_hot_keys,
+)
 from matchlake.operators.versions import latest
 from matchlake.sources.cdc import decode, of_table
 from matchlake.sources.testdata import Inputs
@@ -53,13 +58,13 @@ def facts_from_logs(
     on_error: str = "quarantine",
     null_text: str = "null",
     dedup_participants: bool = False,
-    hot_players: HotKeys = NO_HOT_KEYS,
-    hot_matches: HotKeys = NO_HOT_KEYS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The fact table once everything in the log has arrived.
 
     Players and match events are upserts, ranks a version history; participants are a
-    bag unless ``dedup_participants`` keeps the last record per id.
+    bag unless ``dedup_participants`` keeps the last record per id. The participants are
+    read once beforehand to find players and matches too large for ``rows_per_task``.
     """
 
     def rows(table: str) -> DataFrame:
@@ -69,6 +74,8 @@ def facts_from_logs(
     participants = rows("match_participants")
     if dedup_participants:
         participants = latest(participants, ["id"], _ARRIVAL)
+    keys = [["player_id"], ["match_id"]]
+    hot_players, hot_matches = find_all_hot_keys(participants, keys, rows_per_task)
     ranks = rows("ranks").withColumn(
         # Milliseconds of arrival first, then the offset: one number to order versions by.
         "_order",

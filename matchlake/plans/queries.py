@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchlake.functions.ranks import rank_division, rank_tier
 from matchlake.functions.time import from_ms, wall_clock
 from matchlake.operators import asof, joins, metrics, quality, rank_history, replay
+from matchlake.operators.skew import HotKeys, find_hot_keys
 from matchlake.operators.versions import latest
 from matchlake.plans import alerts, reports
 from matchlake.plans.match_facts import facts_of
@@ -355,6 +356,10 @@ def _series(t: Inputs, name: str) -> DataFrame:
     return metrics.with_series(metrics.select(t.samples, name=name))
 
 
+def _hot_series(t: Inputs, series: DataFrame) -> HotKeys:
+    return find_hot_keys(series, metrics.SERIES, t.rows_per_task)
+
+
 def _labelled(df: DataFrame, *values: Column | str) -> DataFrame:
     return df.select(
         F.col("labels")["event_type"].alias("event_type"),
@@ -374,19 +379,22 @@ def metric_select(t: Inputs) -> DataFrame:
 
 @query
 def metric_increase(t: Inputs) -> DataFrame:
-    grown = metrics.increase(_series(t, COUNTER), DAY, hot=t.hot_series)
+    counter = _series(t, COUNTER)
+    grown = metrics.increase(counter, DAY, hot=_hot_series(t, counter))
     return _labelled(grown, "value", "increase")
 
 
 @query
 def metric_rate(t: Inputs) -> DataFrame:
-    grown = metrics.increase(_series(t, COUNTER), HOUR, hot=t.hot_series)
+    counter = _series(t, COUNTER)
+    grown = metrics.increase(counter, HOUR, hot=_hot_series(t, counter))
     return _labelled(grown, F.round("rate", 9).alias("rate"))
 
 
 @query
 def metric_deriv(t: Inputs) -> DataFrame:
-    fitted = metrics.deriv(_series(t, GAUGE), 2 * DAY, hot=t.hot_series)
+    gauge = _series(t, GAUGE)
+    fitted = metrics.deriv(gauge, 2 * DAY, hot=_hot_series(t, gauge))
     return _labelled(fitted, F.round("slope", 8).alias("slope"))
 
 
@@ -434,13 +442,15 @@ def alert_lag_climbing(t: Inputs) -> DataFrame:
 
 @query
 def alert_hold(t: Inputs) -> DataFrame:
-    held = metrics.hold(_series(t, GAUGE), F.col("value") > 5, DAY // 2, hot=t.hot_series)
+    gauge = _series(t, GAUGE)
+    held = metrics.hold(gauge, F.col("value") > 5, DAY // 2, hot=_hot_series(t, gauge))
     return _labelled(held, "value", "state")
 
 
 @query
 def alert_report(t: Inputs) -> DataFrame:
-    report = alerts.alert_report(alerts.evaluate(t.alert_samples))
+    evaluated = alerts.evaluate(t.alert_samples, rows_per_task=t.rows_per_task)
+    report = alerts.alert_report(evaluated)
     return _clocks(report, "first_firing")
 
 

@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from matchlake.functions.ranks import ROSTER_SIZE
 from matchlake.functions.time import from_ms
 from matchlake.operators.rank_history import rank_updates
-from matchlake.operators.skew import ROWS_PER_TASK, HotKeys, Scan, find_hot_keys, running
+from matchlake.operators.skew import (
+    ROWS_PER_TASK,
+    HotKeys,
+    Scan,
+    find_all_hot_keys,
+    find_hot_keys,
+    running,
+)
 from matchlake.schemas import KEYS
 from matchlake.session import use_utc
 from matchlake.sources.cdc import envelope, topic
@@ -135,12 +142,17 @@ class Inputs:
         return rank_updates(self.results, self.hot_players)
 
     @cached_property
+    def _hot(self) -> list[HotKeys]:
+        keys = [["player_id"], ["match_id"]]
+        return find_all_hot_keys(self.match_participants, keys, self.rows_per_task)
+
+    @property
     def hot_players(self) -> HotKeys:
-        return find_hot_keys(self.match_participants, ["player_id"], self.rows_per_task)
+        return self._hot[0]
 
-    @cached_property
+    @property
     def hot_matches(self) -> HotKeys:
-        return find_hot_keys(self.match_participants, ["match_id"], self.rows_per_task)
+        return self._hot[1]
 
     # --- arrival clock, in milliseconds ---
 
@@ -242,7 +254,7 @@ class Inputs:
             "event_id",
             "one",
             {"n": Scan("sum", F.col("one"))},
-            self.hot_series.renamed(*keys),
+            self.hot_series,
         )
         pair = F.array(
             F.struct(F.lit(GAUGE).alias("name"), F.col("value").alias("value")),

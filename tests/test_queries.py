@@ -24,6 +24,7 @@ SPLIT = [
     "metric_increase",
     "metric_deriv",
     "alert_hold",
+    "alert_report",
 ]
 
 

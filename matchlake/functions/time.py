@@ -1,4 +1,4 @@
-"""Clock helpers."""
+"""Clock and integer helpers."""
 
 from __future__ import annotations
 
@@ -11,6 +11,12 @@ def epoch_ms(ts: Column) -> Column:
     return F.unix_millis(ts)
 
 
+def floor_div(value: Column, by: Column | int) -> Column:
+    """Whole-number division rounding down, also below zero and beyond 2**53."""
+    by = F.lit(by).cast("bigint") if isinstance(by, int) else by
+    return F.call_function("div", value - F.pmod(value, by), by)
+
+
 def wall_clock(ts: Column) -> Column:
     """Zone-less UTC timestamp, the type of the fact table."""
     return ts.cast("timestamp_ntz")

@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.functions.time import floor_div
 from matchlake.operators.skew import (
     NO_HOT_KEYS,
     HotKeys,
@@ -125,7 +126,7 @@ def _trailing(
     """
     width = (F.lit(width) if isinstance(width, int) else width).cast("bigint")
     pos = F.col("pos")
-    own = F.floor(pos / width)
+    own = floor_div(pos, width)
     halves = F.array(
         F.struct(own.alias("slice"), pos.alias("at"), F.lit(True).alias("own")),
         F.struct(
@@ -236,20 +237,15 @@ def hold(
     judged = samples.withColumns(
         {"_true": F.coalesce(condition, F.lit(False)), "_tie": F.lit(0)}
     )
-    spaced = running(
-        judged,
-        keys,
-        "pos",
-        "_tie",
-        {"_was": Scan("lag", F.col("_true")), "_at": Scan("lag", F.col("pos"))},
-        hot,
-    )
     starts = ~F.coalesce("_was", F.lit(False))
     if max_gap_seconds is not None:
         gap = F.col("pos") - F.col("_at") > max_gap_seconds * SECOND
         starts = starts | F.coalesce(gap, F.lit(False))
-    since = Scan("last", F.when(F.col("_true") & starts, F.col("pos")))
-    held = running(spaced, keys, "pos", "_tie", {"_since": since}, hot)
+    scans = [
+        {"_was": Scan("lag", F.col("_true")), "_at": Scan("lag", F.col("pos"))},
+        {"_since": Scan("last", F.when(F.col("_true") & starts, F.col("pos")))},
+    ]
+    held = running(judged, keys, "pos", "_tie", scans, hot)
     long_enough = F.col("pos") - F.col("_since") >= seconds * SECOND
     return held.withColumn(
         "state",

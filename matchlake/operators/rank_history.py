@@ -22,23 +22,15 @@ def points_history(results: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
         {"_pos": epoch_ms(F.col("updated_at")), "_step": points_delta(F.col("result"))}
     )
     won = F.when(F.col("result") == "win", 1).otherwise(0)
-    sums = running(
-        steps,
-        ["player_id"],
-        "_pos",
-        "seq",
-        {
-            "_sum": Scan("sum", F.col("_step")),
-            "wins": Scan("sum", won),
-            "losses": Scan("sum", 1 - won),
-        },
-        hot,
-    )
-    floors = running(
-        sums, ["player_id"], "_pos", "seq", {"_low": Scan("min", F.col("_sum"))}, hot
-    )
+    sums = {
+        "_sum": Scan("sum", F.col("_step")),
+        "wins": Scan("sum", won),
+        "losses": Scan("sum", 1 - won),
+    }
+    floors = {"_low": Scan("min", F.col("_sum"))}
+    walked = running(steps, ["player_id"], "_pos", "seq", [sums, floors], hot)
     points = F.col("_sum") - F.least(F.lit(0), F.col("_low"))
-    return floors.withColumn("rank_points", points.cast("int")).drop(
+    return walked.withColumn("rank_points", points.cast("int")).drop(
         "_pos", "_step", "_sum", "_low"
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
-from matchlake.functions.time import epoch_ms, from_ms
+from matchlake.functions.time import epoch_ms, floor_div, from_ms
 from matchlake.operators.asof import RANK_COLUMNS, _with_rank, as_of
 from matchlake.operators.skew import (
     NO_HOT_KEYS,
@@ -73,17 +73,17 @@ def match_arrivals(
         ),
         allowMissingColumns=True,
     )
-    keys = ["match_id"]
-    spaced = running(
-        merged, keys, "arrival_ms", "_tie", {"_before": Scan("lag", F.col("arrival_ms"))}, hot
-    )
     opens = F.when(
         F.col("_before").isNull() | (F.col("arrival_ms") - F.col("_before") > quiet_ms),
         F.col("arrival_ms"),
     )
-    return running(
-        spaced, keys, "arrival_ms", "_tie", {"session_start": Scan("last", opens)}, hot
-    ).drop("_before", "_tie")
+    scans = [
+        {"_before": Scan("lag", F.col("arrival_ms"))},
+        {"session_start": Scan("last", opens)},
+    ]
+    return running(merged, ["match_id"], "arrival_ms", "_tie", scans, hot).drop(
+        "_before", "_tie"
+    )
 
 
 _SESSION = ["match_id", "session_start"]
@@ -202,6 +202,8 @@ def rank_on_two_clocks(
         {"_nth": Scan("sum", F.col("_one")), "_all": Scan("total", F.col("_one"))},
         hot,
     ).withColumn("_nth", F.col("_nth") - 1)
+    if hot:  # the split plans below would each compute it again
+        numbered = pinned(numbered)
     candidate = F.struct(
         F.col("_pos").alias("pos"), F.col("_nth").alias("nth"), "_arrival", "_rank"
     )
@@ -210,6 +212,8 @@ def rank_on_two_clocks(
     )
     started = facts.withColumn("_pos", epoch_ms(F.col("started_at")))
     tried = as_of(started, by_start, ["player_id"], "_pick", "id", hot)
+    if hot:
+        tried = pinned(tried)
     late = F.col("_pick._arrival") > F.col("fire_ms")
     in_time = tried.where(F.col("_pick").isNull() | ~late).select(
         *facts.columns, F.col("_pick._rank").alias("_rank")
@@ -303,9 +307,9 @@ def buffered_at_scrapes(
     )
     changes = (
         came.unionByName(left)
-        .groupBy(F.ceil(F.col("at") / every_ms).alias("scrape"))
+        .groupBy((-floor_div(-F.col("at"), every_ms)).alias("scrape"))
         .agg(F.sum("change").alias("change"))
-        .withColumn("day", F.floor(F.col("scrape") * every_ms / DAY_MS))
+        .withColumn("day", floor_div(F.col("scrape") * every_ms, DAY_MS))
     )
     # Summed inside each day, then over the days: the only window without a key sees one
     # row per calendar day.

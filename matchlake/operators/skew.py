@@ -228,6 +228,9 @@ class Scan:
         return merged["v"] if self.kind == "lag" else merged
 
 
+Scans = Mapping[str, Scan]
+
+
 def _fit(point: Column) -> dict[str, Column]:
     y, x = point["y"], point["x"]
     return {
@@ -275,23 +278,27 @@ def running(
     keys: Sequence[str],
     pos: str,
     tie: str | None,
-    scans: Mapping[str, Scan],
+    scans: Scans | Sequence[Scans],
     hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
     """Add running values per key, in the order of the bigint columns ``pos, tie``.
 
-    Without ``tie``, rows of equal ``pos`` are peers and see each other's values.
-    Hot keys are cut at quantiles of their own order, scanned piece by piece, and the
-    pieces' summaries (one row each) are scanned and added back.
+    Given several groups of scans, later ones may use the values of earlier ones. Without
+    ``tie``, rows of equal ``pos`` are peers and see each other's values. Hot keys are cut
+    at quantiles of their own order, scanned piece by piece, and the pieces' summaries (one
+    row each) are scanned and added back.
     """
+    steps = [scans] if isinstance(scans, Mapping) else list(scans)
+    light = df.where(~hot.is_hot()) if hot else df
+    for step in steps:
+        light = _scan_plain(light, keys, pos, tie, step)
     if not hot:
-        return _scan_plain(df, keys, pos, tie, scans)
+        return light
     hot.check(keys)
-    light = df.where(~hot.is_hot())
-    heavy = pinned(df.where(hot.is_hot()))
-    return _scan_plain(light, keys, pos, tie, scans).unionByName(
-        _scan_pieces(heavy, keys, pos, tie, scans, hot)
-    )
+    heavy = _cut(pinned(df.where(hot.is_hot())), keys, pos, tie, hot)
+    for step in steps:
+        heavy = _scan_pieces(heavy, keys, pos, tie, step)
+    return light.unionByName(heavy.drop("_piece"))
 
 
 def _windows(
@@ -312,7 +319,7 @@ def _scan_plain(
     keys: Sequence[str],
     pos: str,
     tie: str | None,
-    scans: Mapping[str, Scan],
+    scans: Scans,
 ) -> DataFrame:
     windows = _windows(keys, pos, tie)
     return df.select(
@@ -321,14 +328,8 @@ def _scan_plain(
 
 
 def _scan_pieces(
-    heavy: DataFrame,
-    keys: Sequence[str],
-    pos: str,
-    tie: str | None,
-    scans: Mapping[str, Scan],
-    hot: HotKeys,
+    cut: DataFrame, keys: Sequence[str], pos: str, tie: str | None, scans: Scans
 ) -> DataFrame:
-    cut = _cut(heavy, keys, pos, tie, hot)
     windows = _windows([*keys, "_piece"], pos, tie)
     order = F.struct(pos) if tie is None else F.struct(pos, tie)
     local = cut.select(
@@ -352,7 +353,7 @@ def _scan_pieces(
     same.append(F.col("_piece") == F.col("_k_piece"))
     joined = local.join(F.broadcast(carried), reduce(Column.__and__, same), "left")
     return joined.select(
-        *heavy.columns,
+        *cut.columns,
         *[
             s.result(s.merge(F.col(f"_carry_{n}"), F.col(f"_local_{n}"))).alias(n)
             for n, s in scans.items()

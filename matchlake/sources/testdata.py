@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
-from matchlake.functions.time import from_ms
+from matchlake.functions.time import floor_div, from_ms
 from matchlake.operators.rank_history import rank_updates
 from matchlake.operators.skew import (
     ROWS_PER_TASK,
@@ -42,7 +42,7 @@ class Inputs:
         """Twelve consecutive events make a match."""
         return self.read("events").select(
             "event_id",
-            F.floor(F.col("event_id") / ROSTER_SIZE).alias("match_id"),
+            floor_div(F.col("event_id"), ROSTER_SIZE).alias("match_id"),
             (F.col("event_id") % ROSTER_SIZE).cast("int").alias("slot"),
             F.col("ts").cast("timestamp").alias("ts"),
             "user_id",
@@ -194,7 +194,7 @@ class Inputs:
     @cached_property
     def rank_log(self) -> DataFrame:
         seq = F.col("seq")
-        arrival = F.floor(seq / ROSTER_SIZE) * CYCLE_MS + 9000 + (seq % 23) * 2000
+        arrival = floor_div(seq, ROSTER_SIZE) * CYCLE_MS + 9000 + (seq % 23) * 2000
         return self.ranks.withColumn("arrival_ts", from_ms(arrival))
 
     @cached_property
@@ -282,7 +282,7 @@ class Inputs:
     def alert_samples(self) -> DataFrame:
         """Twenty series scraped every 15 seconds, twenty events to a scrape."""
         n = len(ALERT_SERIES)
-        scrape = F.floor(F.col("event_id") / n)
+        scrape = floor_div(F.col("event_id"), n)
         table = F.array(
             *[
                 F.struct(
@@ -313,7 +313,7 @@ COUNTER = "session_total"
 
 def _in_turn(scrape, length, value, rest=0):
     """``value`` in every second stretch of ``length`` scrapes."""
-    return F.when(F.floor(scrape / length) % 2 == 1, value).otherwise(rest)
+    return F.when(floor_div(scrape, length) % 2 == 1, value).otherwise(rest)
 
 
 # Metric, labels and the value of a sample as a function of scrape number and noise.
@@ -341,12 +341,12 @@ ALERT_SERIES = [
     (
         "flink_jobmanager_job_numberOfFailedCheckpoints",
         {"job": "facts"},
-        lambda s, n: F.floor(s * s / 500) % 50,
+        lambda s, n: floor_div(s * s, 500) % 50,
     ),
     (
         "flink_jobmanager_job_fullRestarts",
         {"job": "facts"},
-        lambda s, n: F.floor(s / 35) % 7,
+        lambda s, n: floor_div(s, 35) % 7,
     ),
     (
         "pg_debezium_slot_active",

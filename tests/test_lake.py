@@ -45,6 +45,19 @@ def test_scan_reads_only_what_a_report_needs(spark, small):
     assert "PushedFilters: [IsNotNull(winning_team), EqualTo(winning_team,1)]" in plan
 
 
+def test_table_by_day(spark, small):
+    lake.ensure_table(spark, "demo.daily", by_day=True)
+    facts = fact_rows(facts_of(bind(spark, small)))
+    lake.append_facts(facts, "demo.daily")
+    landed = lake.read_facts(spark, "demo.daily")
+    assert landed.count() == 192
+    assert landed.where("started_on <> cast(started_at as date)").count() == 0
+    first = landed.where("started_on = date'2024-01-03'")
+    assert "PartitionFilters: [isnotnull(started_on" in (
+        first._jdf.queryExecution().executedPlan().toString()
+    )
+
+
 def test_snapshots_follow_the_changes(spark):
     path = tempfile.mkdtemp(prefix="matchlake-snapshots-")
     write = snapshot_writer(path, ["player_id"], ["updated_at", "seq"])

@@ -1,4 +1,9 @@
-"""Current rows kept up to date by a stream of changes."""
+"""Current rows kept up to date by a stream of changes, on plain files.
+
+Every batch adds one folder with its last change per key, so a batch costs what it changes
+and running it again after a failure replaces its own folder. ``compact`` folds the folders
+into a base from time to time. A table format with MERGE can do the same in place.
+"""
 
 from __future__ import annotations
 
@@ -6,60 +11,46 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchlake.operators.versions import latest
 
 
-def upserted(
-    current: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """``current`` with the last change per key put in its place."""
-    newest = latest(changes, keys, order)
-    if current is None:
-        return newest
-    return latest(current.unionByName(newest), keys, order)
-
-
-def snapshot_writer(
+def changes_writer(
     path: str, keys: Sequence[str], order: Sequence[str]
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes one full snapshot per batch.
-
-    Batch n is built from snapshot n-1 and its own changes, so running it again after a
-    failure replaces its own half-written folder and nothing else. On a table format with
-    MERGE, use ``merge_writer``, which rewrites only what changed.
-    """
+    """A ``foreachBatch`` function that adds one batch of changes."""
 
     def write(changes: DataFrame, batch: int) -> None:
-        before = snapshot(changes.sparkSession, path, batch - 1)
-        upserted(before, changes, keys, order).write.mode("overwrite").parquet(
-            f"{path}/batch={batch}"
-        )
+        newest = latest(changes, keys, order)
+        newest.write.mode("overwrite").parquet(f"{path}/changes/batch={batch}")
 
     return write
 
 
-def snapshot(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
-    """The current rows after ``batch``, or None before the first one."""
-    if batch < 0:
-        return None
-    try:
-        return spark.read.parquet(f"{path}/batch={batch}")
-    except AnalysisException:
-        return None
+def current_rows(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The last row per key over the newest base and the batches after it."""
+    changes = spark.read.parquet(f"{path}/changes")
+    upto = _newest_base(spark, path)
+    if upto is not None:
+        base = spark.read.parquet(f"{path}/base/upto={upto}")
+        changes = changes.where(F.col("batch") > upto).drop("batch").unionByName(base)
+    else:
+        changes = changes.drop("batch")
+    return latest(changes, keys, order)
 
 
-def merge_writer(
-    table: str, keys: Sequence[str], order: Sequence[str]
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges into a table whose format has MERGE."""
-    same = " AND ".join(f"t.{k} = c.{k}" for k in keys)
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Fold everything written so far into a new base; earlier folders are no longer read."""
+    upto = spark.read.parquet(f"{path}/changes").agg(F.max("batch")).first()[0]
+    if upto is not None and upto != _newest_base(spark, path):
+        current_rows(spark, path, keys, order).write.parquet(f"{path}/base/upto={upto}")
 
-    def write(changes: DataFrame, batch: int) -> None:
-        latest(changes, keys, order).createOrReplaceTempView("_changes")
-        changes.sparkSession.sql(
-            f"MERGE INTO {table} t USING _changes c ON {same} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-        )
 
-    return write
+def _newest_base(spark: SparkSession, path: str) -> int | None:
+    try:
+        return spark.read.parquet(f"{path}/base").agg(F.max("upto")).first()[0]
+    except AnalysisException:
+        return None

@@ -11,7 +11,7 @@ from matchlake.plans.match_facts import facts_of
 from matchlake.schemas import MATCH_FACTS, struct
 from matchlake.sources import lake
 from matchlake.sources.testdata import bind
-from matchlake.streaming.upsert import snapshot, snapshot_writer
+from matchlake.streaming.upsert import changes_writer, compact, current_rows
 
 
 def test_table_life(spark, small):
@@ -58,9 +58,10 @@ def test_table_by_day(spark, small):
     )
 
 
-def test_snapshots_follow_the_changes(spark):
-    path = tempfile.mkdtemp(prefix="matchlake-snapshots-")
-    write = snapshot_writer(path, ["player_id"], ["updated_at", "seq"])
+def test_current_rows_follow_the_changes(spark):
+    path = tempfile.mkdtemp(prefix="matchlake-upsert-")
+    keys, order = ["player_id"], ["updated_at", "seq"]
+    write = changes_writer(path, keys, order)
     t0 = datetime(2026, 1, 1)
 
     def changes(*rows):
@@ -69,13 +70,37 @@ def test_snapshots_follow_the_changes(spark):
             full, "player_id bigint, rank_points int, updated_at timestamp, seq bigint"
         )
 
-    def state(batch):
-        rows = snapshot(spark, path, batch).select("player_id", F.col("rank_points")).collect()
-        return dict(tuple(r) for r in rows)
+    def state():
+        rows = current_rows(spark, path, keys, order).select("player_id", "rank_points")
+        return dict(tuple(r) for r in rows.collect())
 
-    assert snapshot(spark, path, -1) is None
     write(changes((1, 30, 1), (2, 0, 1), (1, 60, 2)), 0)
-    assert state(0) == {1: 60, 2: 0}
+    assert state() == {1: 60, 2: 0}
     for _ in range(2):  # the second run stands for a retry after a failure
         write(changes((2, 30, 3), (3, 30, 3), (1, 15, 0)), 1)
-        assert state(1) == {1: 60, 2: 30, 3: 30}
+        assert state() == {1: 60, 2: 30, 3: 30}
+    for _ in range(2):
+        compact(spark, path, keys, order)
+        assert state() == {1: 60, 2: 30, 3: 30}
+    write(changes((3, 0, 4)), 2)
+    assert state() == {1: 60, 2: 30, 3: 0}
+
+
+def test_stream_keeps_current_rows(spark):
+    folder = tempfile.mkdtemp(prefix="matchlake-upsert-")
+    keys, order = ["player_id"], ["seq"]
+    rows = spark.range(100).select(
+        (F.col("id") % 7).alias("player_id"), F.col("id").alias("seq")
+    )
+    rows.write.parquet(f"{folder}/in")
+    query = (
+        spark.readStream.schema(rows.schema)
+        .parquet(f"{folder}/in")
+        .writeStream.foreachBatch(changes_writer(f"{folder}/out", keys, order))
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(120)
+    found = current_rows(spark, f"{folder}/out", keys, order).collect()
+    assert {r.player_id: r.seq for r in found} == {i % 7: i for i in range(100)}

@@ -5,6 +5,7 @@ A series is a metric name with one set of labels. Positions are bigint microseco
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -39,10 +40,22 @@ def with_series(samples: DataFrame) -> DataFrame:
 # --- selection and aggregation -----------------------------------------------
 
 
+LABELS = "array<struct<key:string,value:string>>"
+
+
 def _whole(pattern: str) -> str:
     return f"^(?:{pattern})$"
 
 
+def _prefix(pattern: str) -> str:
+    """Text every match begins with; unlike a pattern, a scan can skip files by it."""
+    if "|" in pattern:
+        return ""
+    plain = re.match(r"[A-Za-z0-9_]*", pattern).group()
+    optional = pattern[len(plain) : len(plain) + 1] in ("*", "?", "{")
+    return plain[:-1] if optional else plain
+
+
 def matches(
     name: str | None = None,
     name_like: str | None = None,
@@ -54,6 +67,7 @@ def matches(
     if name is not None:
         wanted = wanted & (F.col("name") == name)
     if name_like is not None:
+        wanted = wanted & F.col("name").startswith(_prefix(name_like))
         wanted = wanted & F.col("name").rlike(_whole(name_like))
     for label, value in (equal or {}).items():
         wanted = wanted & (F.coalesce(F.col("labels")[label], F.lit("")) == value)
@@ -71,12 +85,14 @@ def at_steps(samples: DataFrame, step_seconds: int) -> DataFrame:
     step = F.col("pos") - F.pmod(F.col("pos"), F.lit(step_seconds * SECOND))
     return (
         samples.groupBy(*SERIES, step.alias("step"))
-        .agg(
-            F.any_value("labels").alias("labels"),
-            F.max_by("value", "pos").alias("value"),
+        .agg(F.max_by("value", "pos").alias("value"))
+        .select(
+            *SERIES,
+            F.map_from_entries(F.from_json("series", LABELS)).alias("labels"),
+            F.timestamp_micros("step").alias("ts"),
+            F.col("step").alias("pos"),
+            "value",
         )
-        .withColumnRenamed("step", "pos")
-        .withColumn("ts", F.timestamp_micros("pos"))
     )
 
 

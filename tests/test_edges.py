@@ -471,6 +471,23 @@ def test_selectors_match_the_whole_text(spark):
     assert metrics.select(df, like={"a": "[bc]", "missing": ""}).count() == 1
 
 
+@pytest.mark.parametrize(
+    "pattern, prefix",
+    [("kafka_.*", "kafka_"), ("kafka_lags?", "kafka_lag"), ("a|b", ""), (".*x", ""), ("up", "up")],
+)
+def test_prefix_of_a_pattern(pattern, prefix):
+    assert metrics._prefix(pattern) == prefix
+
+
+def test_scan_skips_other_metrics(spark, tmp_path):
+    series(spark, [1.0, 2.0], name="kafka_lag").write.parquet(str(tmp_path / "samples"))
+    stored = spark.read.parquet(str(tmp_path / "samples"))
+    plan = metrics.select(stored, name="up")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(name,up)" in plan
+    plan = metrics.select(stored, name_like="kafka_.*")._jdf.queryExecution().executedPlan()
+    assert "StringStartsWith(name,kafka_)" in plan.toString()
+
+
 def test_or_zero(spark):
     empty = series(spark, [1.0]).where("false")
     assert metrics.or_zero(empty).first().value == 0.0

@@ -4,6 +4,7 @@ import pytest
 from oracle import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from matchlake.operators import joins
 from matchlake.plans.queries import BUILDERS
 from matchlake.sources.testdata import bind
 
@@ -72,6 +73,43 @@ def test_known_sizes(spark, medium, name, rows):
     assert queries()[name](spark, medium).count() == rows
 
 
+def test_rosters_of_orders_and_lines(spark, medium):
+    """A second binding: an order is a match, its lines are the participants."""
+    read = lambda t: spark.read.parquet(f"{medium}/{t}.parquet")
+    lines = read("lineitem").selectExpr(
+        "l_orderkey * 100 + l_linenumber AS id",
+        "l_orderkey AS match_id",
+        "cast(l_suppkey AS bigint) AS player_id",
+        "0 AS team",
+        "l_linestatus AS hero_played",
+        "1 AS kills",
+        "2 AS deaths",
+        "3 AS healing",
+        "l_returnflag AS result",
+    )
+    orders = read("orders").selectExpr(
+        "o_orderkey AS id",
+        "o_orderpriority AS map_name",
+        "500 AS match_duration_seconds",
+        "cast(o_orderdate AS timestamp) AS started_at",
+        "cast(o_orderdate AS timestamp) AS ended_at",
+        "1 AS winning_team",
+    )
+    names = read("supplier").selectExpr(
+        "cast(s_suppkey AS bigint) AS id", "s_name AS account_name"
+    )
+    con = connect(medium)
+    for size in (12, 5):
+        looked = joins.player_lookup(lines, names)
+        found = joins.roster_join(looked, orders, size).groupBy("match_id").count()
+        expected = con.sql(
+            "SELECT l_orderkey, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey "
+            f"JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey HAVING n = {size}"
+        ).fetchall()
+        assert expected
+        assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+
+
 def test_every_rule_is_exercised(spark, medium):
     rows = queries()["alert_report"](spark, medium).collect()
     fired = {r.alert for r in rows if r.firings}

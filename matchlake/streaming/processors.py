@@ -36,6 +36,13 @@ RANKED = (
 )
 
 
+VERSION = (
+    "updated_ms: bigint, arrival_ms: bigint, log_offset: bigint, rank_tier: string, "
+    "rank_division: int, rank_points: int"
+)
+DAY_MS = 86_400_000
+
+
 def _names(ddl: str) -> list[str]:
     return [part.split()[0] for part in ddl.split(",")]
 
@@ -45,6 +52,7 @@ EVENT_FIELDS = _names(EVENT)
 LOOKED_UP_FIELDS = _names(LOOKED_UP)
 EMITTED_FIELDS = _names(EMITTED)
 RANKED_FIELDS = _names(RANKED)
+VERSION_FIELDS = _names(VERSION.replace(":", ""))
 
 
 def _row(fields: list[str], values: dict) -> Row:
@@ -158,39 +166,57 @@ class RosterGate(StatefulProcessor):
 
 
 class RankAsOf(StatefulProcessor):
-    """Finds each fact's rank in the player's history as it stood when the match fired."""
+    """Finds each fact's rank in the player's history as it stood when the match fired.
+
+    The history is kept by day, so a call touches the days it needs and not a whole career.
+    """
 
     def __init__(self, ttl_ms: int | None = None) -> None:
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.days = handle.getValueState("days", "days array<bigint>", self.ttl_ms)
         self.history = handle.getMapState(
-            "history",
-            "updated_ms bigint, arrival_ms bigint, log_offset bigint",
-            "rank_tier string, rank_division int, rank_points int",
-            self.ttl_ms,
+            "history", "day bigint", f"versions array<struct<{VERSION}>>", self.ttl_ms
         )
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        facts = []
+        facts, fresh = [], {}
         for r in rows:
             if r.kind == "rank":
-                self.history.updateValue(
-                    (r.updated_ms, r.arrival_ms, r.log_offset),
-                    (r.rank_tier, r.rank_division, r.rank_points),
-                )
+                version = tuple(r[f] for f in VERSION_FIELDS)
+                fresh.setdefault(r.updated_ms // DAY_MS, []).append(version)
             else:
                 facts.append(r)
-        if not facts:
-            return
-        versions = sorted((tuple(at), tuple(rank)) for at, rank in self.history.iterator())
-        times = [at[0] for at, _ in versions]
+        days = list(self.days.get()[0]) if self.days.exists() else []
+        loaded: dict[int, list[tuple]] = {}
+        for day, versions in fresh.items():
+            loaded[day] = sorted(self._versions(day) + versions)
+            self.history.updateValue((day,), (loaded[day],))
+        if fresh:
+            days = sorted({*days, *fresh})
+            self.days.update((days,))
         for fact in facts:
+            version = self._as_of(fact.started_us // 1000, fact.fire_ms, days, loaded)
             values = fact.asDict()
-            found = bisect_right(times, fact.started_us // 1000) - 1
-            while found >= 0 and versions[found][0][1] > fact.fire_ms:
-                found -= 1
-            values["found"] = found >= 0
-            names = ("rank_tier", "rank_division", "rank_points")
-            rank = versions[found][1] if found >= 0 else (None, None, None)
-            yield _row(RANKED_FIELDS, values | dict(zip(names, rank)))
+            values["found"] = version is not None
+            if version is not None:
+                values |= dict(zip(VERSION_FIELDS, version))
+            yield _row(RANKED_FIELDS, values)
+
+    def _versions(self, day: int) -> list[tuple]:
+        if not self.history.containsKey((day,)):
+            return []
+        return [tuple(v) for v in self.history.getValue((day,))[0]]
+
+    def _as_of(self, started_ms, fire_ms, days, loaded) -> tuple | None:
+        """The last version by then that had arrived when the match fired."""
+        for n in range(bisect_right(days, started_ms // DAY_MS) - 1, -1, -1):
+            day = days[n]
+            if day not in loaded:
+                loaded[day] = self._versions(day)
+            versions = loaded[day]
+            for i in range(bisect_right(versions, (started_ms + 1,)) - 1, -1, -1):
+                if versions[i][1] <= fire_ms:
+                    return versions[i]
+        return None

@@ -41,7 +41,7 @@ def _clocks(df: DataFrame, *names: str) -> DataFrame:
 def _unwrapped(t: Inputs) -> DataFrame:
     parts = []
     for table in cdc.PUBLISHED:
-        rows = cdc.unwrap(cdc.of_table(t.cdc_log, table), table)
+        rows = cdc.unwrap(t.cdc_log(table), table)
         key = F.col("after")[_log_key(table)].try_cast("bigint")
         parts.append(rows.withColumn("key", key).drop("after", "value"))
     return reports.union_all(parts)
@@ -54,7 +54,7 @@ def _log_key(table: str) -> str:
 @query
 def cdc_source_counts(t: Inputs) -> DataFrame:
     return (
-        cdc.published(t.cdc_log)
+        cdc.published(t.cdc_log())
         .groupBy("topic")
         .agg(
             F.count(F.lit(1)).alias("messages"),
@@ -77,12 +77,12 @@ def cdc_drop_deletes(t: Inputs) -> DataFrame:
 @query
 def cdc_rejects(t: Inputs) -> DataFrame:
     return reports.union_all(
-        [cdc.rejects(cdc.of_table(t.cdc_log, table), table) for table in cdc.PUBLISHED]
+        [cdc.rejects(t.cdc_log(table), table) for table in cdc.PUBLISHED]
     ).select("topic", "offset", "reason")
 
 
 def _decoded(t: Inputs, table: str) -> DataFrame:
-    return cdc.decode(cdc.of_table(t.cdc_log, table), table)
+    return cdc.decode(cdc.of_table(t.cdc_log(table), table), table)
 
 
 @query

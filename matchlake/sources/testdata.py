@@ -21,7 +21,7 @@ from matchlake.operators.skew import (
 )
 from matchlake.schemas import KEYS
 from matchlake.session import use_utc
-from matchlake.sources.cdc import envelope, topic
+from matchlake.sources.cdc import PUBLISHED, envelope, topic
 
 CYCLE_MS = 20_000
 
@@ -219,18 +219,15 @@ class Inputs:
 
     # --- change log ---
 
-    @cached_property
-    def cdc_log(self) -> DataFrame:
-        """All four tables as change records, with deletes, tombstones and bad records.
+    def cdc_log(self, *tables: str) -> DataFrame:
+        """Tables as change records, with deletes, tombstones and bad records.
 
         A row with key k owns the offsets 5k (the row), 5k+1 (a delete), 5k+2 (a tombstone),
         5k+3 (cut-off text) and 5k+4 (a row image without its required columns).
         """
         parts = [
-            _change_records(self.players, "players", "id"),
-            _change_records(self.ranks, "ranks", "seq"),
-            _change_records(self.match_events, "match_events", "id"),
-            _change_records(self.match_participants, "match_participants", "id"),
+            _change_records(getattr(self, table), table, "seq" if table == "ranks" else "id")
+            for table in tables or PUBLISHED
         ]
         return reduce(DataFrame.unionByName, parts)
 

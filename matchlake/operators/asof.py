@@ -75,7 +75,7 @@ def _versions(ranks: DataFrame, order: str | None) -> DataFrame:
     )
 
 
-def _with_rank(found: DataFrame, mark: str | None) -> DataFrame:
+def with_rank(found: DataFrame, mark: str | None) -> DataFrame:
     """Spread the picked struct over the fact columns; defaults only where none matched."""
     hit = F.col("_rank").isNotNull()
     ranks = {
@@ -101,7 +101,7 @@ def rank_as_of(
     """
     rows = facts.withColumn("_pos", epoch_ms(F.col("started_at")))
     found = as_of(rows, _versions(ranks, order), ["player_id"], "_rank", spread_by, hot)
-    return _with_rank(found, mark)
+    return with_rank(found, mark)
 
 
 def rank_as_of_broadcast(
@@ -141,7 +141,7 @@ def rank_as_of_broadcast(
         )
         .drop("_all")
     )
-    return _with_rank(found, mark)
+    return with_rank(found, mark)
 
 
 def defaulted(facts: DataFrame, mark: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
 from matchlake.functions.time import epoch_ms, floor_div, from_ms
-from matchlake.operators.asof import RANK_COLUMNS, _with_rank, as_of
+from matchlake.operators.asof import RANK_COLUMNS, with_rank, as_of
 from matchlake.operators.skew import (
     NO_HOT_KEYS,
     HotKeys,
@@ -262,7 +262,7 @@ def rank_on_two_clocks(
         .select("id", "_fact.*", F.col("_best._rank").alias("_rank"))
         .select(*facts.columns, "_rank")
     )
-    return _with_rank(in_time.unionByName(late_facts), None)
+    return with_rank(in_time.unionByName(late_facts), None)
 
 
 def _shift_right(value: Column, bits: Column) -> Column:

@@ -337,7 +337,10 @@ def _replay(source: str, *more: str, then: str) -> str:
 
 
 _MS = "make_timestamp({} * 1000)"
-_BY_SERIES = "PARTITION BY event_type, shard ORDER BY ts RANGE BETWEEN INTERVAL {} PRECEDING AND CURRENT ROW"
+_BY_SERIES = (
+    "PARTITION BY event_type, shard ORDER BY ts "
+    "RANGE BETWEEN INTERVAL {} PRECEDING AND CURRENT ROW"
+)
 _SEC = "(epoch_us(ts) - 1704067200000000) / 1000000.0"
 
 _FACT_COLUMNS = """match_id, map_name, match_duration_seconds, started_at, ended_at,

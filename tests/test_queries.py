@@ -55,6 +55,32 @@ def test_query_with_every_key_hot(spark, duck, small, name):
     assert compare(BUILDERS[name](inputs), duck, oracle_sql()[name]) == []
 
 
+@pytest.fixture(scope="module")
+def skewed(small, tmp_path_factory):
+    """The small tables, but a third of all events belong to one known player."""
+    folder = tmp_path_factory.mktemp("skewed")
+    con = connect(small)
+    con.execute(
+        "COPY (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id) "
+        f"FROM events) TO '{folder}/events.parquet'"
+    )
+    con.execute(
+        "COPY (SELECT * REPLACE (CASE WHEN c_custkey = 7 THEN 1.0 ELSE c_acctbal END "
+        f"AS c_acctbal) FROM customer) TO '{folder}/customer.parquet'"
+    )
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["player_lookup", "match_facts", "rank_as_of_broadcast", "arrival_replay", "current_rank"],
+)
+def test_one_player_holds_a_third_of_all_rows(spark, skewed, name):
+    inputs = bind(spark, skewed, rows_per_task=100)
+    assert len(inputs.hot_players.rows) == 1
+    assert compare(BUILDERS[name](inputs), connect(skewed), oracle_sql()[name]) == []
+
+
 @pytest.mark.parametrize(
     "name, rows",
     [

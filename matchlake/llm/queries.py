@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import dart_minhash, line_runs, mixing, simple8b, trie_bpe, zstd_langid
+from matchlake.llm import (
+    ads_search,
+    dart_minhash,
+    html_crf,
+    license_scan,
+    line_runs,
+    mixing,
+    nn_descent,
+    simple8b,
+    trie_bpe,
+    zstd_langid,
+)
 from matchlake.llm.shared import Scratch, small_batches, table
 
 END_ID = 2
@@ -22,6 +33,47 @@ def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    pages = table(spark, sf_dir, "pages")
+    text = html_crf.main_text(F.col("html"), html_crf.trained())
+    return pages.select("page_id", "url", text.alias("text")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    scanned = table(spark, sf_dir, "documents").select(
+        "doc_id", license_scan.licences(F.col("text")).alias("s")
+    )
+    base = F.filter("s.hits", lambda h: h["base"])
+    places = F.transform(base, lambda h: h["word"])
+
+    def joined(hits):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["label"]))), ",")
+
+    closest = F.array_max(F.transform("s.hits", lambda h: h["closeness"]))
+    return scanned.select(
+        "doc_id",
+        F.col("s.n_words").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.col("s.hits")).alias("labels"),
+        F.coalesce(closest, F.lit(0.0)).alias("score"),
+    )
+
+
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_runs.drop_repeated_lines(docs).select(
@@ -85,6 +137,10 @@ QUERIES = {
     for f in (
         op1_sainte_lague_mixing,
         op2_dart_minhash,
+        op3_html_crf,
+        op4_license_scan,
+        op5_nn_descent,
+        op6_adaptive_scan,
         op7_line_runs,
         op8_simple8b,
         op9_trie_bpe,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from matchlake.llm.html_pages import labelled_pages
 
 #: The bound of the training set: so many labelled pages, and steps over all of them.
-TRAINING_PAGES = 600
+TRAINING_PAGES = 800
 STEPS = 120
 SEED = 29
 #: Paths of elements whose weights a worker remembers.
@@ -157,12 +157,10 @@ def path_features(path: tuple[tuple[str, str], ...]) -> set[str]:
 def text_features(block: Block) -> list[str]:
     words = len(_WORDS.findall(block.text))
     link = "none" if not block.linked else "some" if block.linked < 0.5 else "most"
-    low = block.text.lower()
     return [
         f"words:{min(6, int(words).bit_length())}",
         f"link:{link}",
         f"end:{block.text[-1] in '.!?:;…'}",
-        f"right:{'©' in low or 'copyright' in low or 'all rights reserved' in low}",
     ]
 
 

@@ -139,7 +139,7 @@ def labelled_page(rng: random.Random) -> list[tuple[str, bool | None]]:
         for _ in range(rng.randint(low, high)):
             parts.append((_other(rng, rng.choice(kinds)), False))
 
-    others(1, 4)
+    others(0, 4)
     wrapped = rng.random() < 0.3
     if wrapped:
         parts.append((rng.choice(["<div>", '<div class="container">', "<section>"]), None))
@@ -164,7 +164,7 @@ def labelled_page(rng: random.Random) -> list[tuple[str, bool | None]]:
     parts.append((end, None))
     if wrapped:
         parts.append(("</div>", None))
-    others(1, 4)
+    others(0, 4)
     parts.append(("</body></html>", None))
     return parts
 

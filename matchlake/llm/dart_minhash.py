@@ -27,9 +27,15 @@ THRESHOLD = 0.8
 BANDS, BAND_ROWS = 24, 5
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** 5) ** 24 < 1e-4.
 COORDINATES = BANDS * BAND_ROWS
+#: Rounds of leaders go on while they link this share of what is left.
+FAIR_SHARE = 0.05
+#: Documents of a chunk, and columns of a matrix, when chunks are compared.
+CHUNK = 128
+COLUMNS = 1 << 14
 #: Cells thrown at a time, which bounds the memory of a task whatever the texts.
 CELLS = 1 << 18
 REMEMBERED_WORDS = 200_000
+REMEMBERED_BAGS = 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -188,15 +194,22 @@ def similarity(
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = WordHashes()
-    last = (None, None)
+    known, bags = WordHashes(), {}
+
+    def bag(doc: int, text: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of a document; leaders come again and again, so a few are remembered."""
+        if doc not in bags:
+            if len(bags) >= REMEMBERED_BAGS:
+                bags.pop(next(iter(bags)))
+            bags[doc] = shingles(text.as_py(), known)
+        return bags[doc]
+
     for batch in batches:
         good = []
         left, right = batch.column("text_a"), batch.column("text_b")
-        for i, a in enumerate(batch.column("a").to_pylist()):
-            if last[0] != a:
-                last = (a, shingles(left[i].as_py(), known))
-            good.append(similarity(last[1], shingles(right[i].as_py(), known)) >= THRESHOLD)
+        ends = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
+        for i, (a, b) in enumerate(ends):
+            good.append(similarity(bag(a, left[i]), bag(b, right[i])) >= THRESHOLD)
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
@@ -208,60 +221,167 @@ def _exact(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_similar, "a long, b long")
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = WordHashes()
+    for batch in batches:
+        made = [shingles(x.as_py(), known) for x in batch.column("text")]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("id"),
+                pa.array([b[0].view(np.int64) for b in made], pa.list_(pa.int64())),
+                pa.array([b[1] for b in made], pa.list_(pa.int64())),
+            ],
+            names=["id", "codes", "counts"],
+        )
+
+
+def overlaps(left: list[tuple], right: list[tuple]) -> np.ndarray:
+    """Sum of the lesser weights of every bag of ``left`` with every bag of ``right``.
+
+    The lesser of two weights is the sum over levels of whether both reach it, so each distinct
+    level is one matrix product, over columns taken ``COLUMNS`` at a time.
+    """
+    total = np.zeros((len(left), len(right)))
+    sides = []
+    for side in (left, right):
+        rows = np.repeat(np.arange(len(side)), [len(b[0]) for b in side])
+        sides.append((rows, np.concatenate([b[0] for b in side]), np.concatenate([b[1] for b in side])))
+    common = np.intersect1d(sides[0][1], sides[1][1])
+    for start in range(0, len(common), COLUMNS):
+        part = common[start : start + COLUMNS]
+        grids = []
+        for (rows, codes, counts), side in zip(sides, (left, right)):
+            at = np.searchsorted(part, codes)
+            hit = (at < len(part)) & (part[np.minimum(at, len(part) - 1)] == codes)
+            grid = np.zeros((len(side), len(part)), np.float32)
+            grid[rows[hit], at[hit]] = counts[hit]
+            grids.append(grid)
+        before = 0.0
+        for level in np.unique(np.concatenate([np.unique(g[g > 0]) for g in grids])):
+            used = (grids[0] >= level).any(axis=0) & (grids[1] >= level).any(axis=0)
+            if not used.any():
+                break
+            a, b = ((g[:, used] >= level).astype(np.float32) for g in grids)
+            total += (level - before) * (a @ b.T)
+            before = level
+    return total
+
+
+def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Similar pairs (a < b) of two chunks of one bucket."""
+    sides = []
+    for table, names in ((left, ("id", "codes", "counts")), (right, ("other", "keys", "times"))):
+        columns = [table.column(c).to_pylist() for c in names]
+        bags = [(np.array(k, np.int64), np.array(n, np.int64)) for k, n in zip(*columns[1:])]
+        sides.append((np.array(columns[0], np.int64), bags))
+    (a, bags_a), (b, bags_b) = sides
+    if not len(a) or not len(b):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    shared = overlaps(bags_a, bags_b)
+    weight_a = np.array([x[1].sum() for x in bags_a])[:, None]
+    weight_b = np.array([x[1].sum() for x in bags_b])
+    similar = (shared >= THRESHOLD * (weight_a + weight_b - shared)) & (a[:, None] != b)
+    i, j = np.nonzero(similar)
+    return pa.table({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j])})
+
+
+def _chunked_links(member: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every similar pair within the buckets of ``member`` (band, id), chunk against chunk.
+
+    What leaves a task are the similar pairs alone.
+    """
+    ids = member.select("id").distinct()
+    bags = scratch.put(
+        texts.join(ids, "id", "left_semi").mapInArrow(
+            _bags, "id long, codes array<long>, counts array<long>"
+        ),
+        "bags",
+    )
+    sizes = member.groupBy("band").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks")
+    )
+    dealt = (
+        member.select("band", "id")
+        .join(sizes, "band")
+        .withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+        .join(bags, "id")
+    )
+    # The two sides come from one table, so each names its columns anew.
+    left = dealt.select(
+        F.col("band").alias("g"),
+        F.col("chunk").alias("i"),
+        F.explode(F.expr("sequence(chunk, chunks - 1)")).alias("j"),
+        F.col("id").alias("id"),
+        F.col("codes").alias("codes"),
+        F.col("counts").alias("counts"),
+    )
+    right = dealt.select(
+        F.col("band").alias("h"),
+        F.explode(F.expr("sequence(0, chunk)")).alias("i"),
+        F.col("chunk").alias("j"),
+        F.col("id").alias("other"),
+        F.col("codes").alias("keys"),
+        F.col("counts").alias("times"),
+    )
+    return (
+        left.groupBy("g", "i", "j")
+        .cogroup(right.groupBy("h", "i", "j"))
+        .applyInArrow(_compare, "a long, b long")
+        .distinct()
+    )
+
+
 def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Verified links (a, b) between representatives, from rounds of leaders per bucket.
-
-    A bucket is the set of documents with one band key. In a round, its lowest ids lead: every
-    other member is compared with each leader. Members that are similar to a leader are linked
-    and leave the bucket, others stay for the next round, which has twice as many leaders, until
-    every bucket is empty. A bucket of copies of one text is done in one round with one pair per
-    member; only texts that share a key without being similar are compared further. No pairs
-    are made between followers, and none is left out because a bucket is large.
+    """Verified links (a, b) between representatives that share a band key.
+
+    A bucket is the set of documents with one band key. In a round, its most central members
+    lead: those that share most keys with others, such as the text that near copies were made
+    from. Every other member is compared with each leader; members that are similar to one are
+    linked and leave the bucket. A bucket of copies of one text is done in one round, with one
+    pair per member. Rounds go on while they link a fair share of what is left; then only texts
+    remain that share a key with others without being copies of their centre, and they are
+    compared chunk against chunk. No bucket is cut short: every pair that shares a key is
+    compared, or both have left to a leader.
     """
     near = F.least("weight", "w") >= THRESHOLD * F.greatest("weight", "w")
-    member = reps.select("id", "weight", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    member = scratch.put(member.join(shared, "band"), "members-0")
-    texts, links, tried, step, leads = None, [], None, 0, 1
-    while True:
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("id"))
-        leader = scratch.put(
-            member.withColumn("k", rank)
-            .where(F.col("k") <= leads)
-            .select("band", F.col("id").alias("a"), F.col("weight").alias("w"), "k"),
-            f"leaders-{step}",
+    every = reps.select("id", "weight", F.explode("bands").alias("band"))
+    shared = scratch.put(
+        every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared"
+    )
+    every = scratch.put(every.join(shared, "band"), "members")
+    central = every.groupBy("id").agg(F.sum("n").alias("central"))
+    member = scratch.put(every.drop("n").join(central, "id"), "members-0")
+    texts = scratch.put(docs.join(central.select("id"), "id", "left_semi"), "texts")
+    links, step, left = None, 0, member.count()
+    order = Window.partitionBy("band").orderBy(F.desc("central"), "id")
+    while left:
+        leader = (
+            member.withColumn("k", F.row_number().over(order))
+            .where("k = 1")
+            .select("band", F.col("id").alias("lead"), F.col("weight").alias("w"))
         )
-        met = member.join(leader, "band").where("id > a")
-        pairs = met.where(near).select("a", F.col("id").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.put(pairs, f"pairs-{step}")
-        if texts is None:
-            ids = scratch.put(
-                pairs.select(F.col("a").alias("id"))
-                .unionByName(member.select("id"))
-                .distinct(),
-                "ids",
-            )
-            texts = scratch.put(docs.join(ids, "id", "left_semi"), "texts")
-        links.append(scratch.put(_exact(pairs, texts), f"links-{step}"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        # A member leaves its bucket when it leads or when one of the leaders is similar.
-        gone = met.join(every.withColumnRenamed("b", "id"), ["a", "id"], "left_semi").select(
-            "band", "id"
+        leader = scratch.put(leader, f"leaders-{step}")
+        met = (
+            member.join(leader, "band")
+            .where((F.col("id") != F.col("lead")) & near)
+            .select("band", "id", F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
         )
-        gone = gone.unionByName(leader.select("band", F.col("a").alias("id")))
-        rest = member.join(gone.distinct(), ["band", "id"], "left_anti")
-        more_than_one = (
-            rest.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+        pairs = scratch.put(met.select("a", "b").distinct(), f"pairs-{step}")
+        found = scratch.put(_exact(pairs, texts), f"links-{step}")
+        links = found if links is None else links.unionByName(found)
+        gone = met.join(links, ["a", "b"], "left_semi").select("band", "id")
+        gone = gone.unionByName(leader.select("band", F.col("lead").alias("id")))
+        rest = scratch.put(
+            member.join(gone.distinct(), ["band", "id"], "left_anti"), f"rest-{step}"
         )
-        rest = scratch.put(rest.join(more_than_one, "band", "left_semi"), f"members-{step + 1}")
-        if rest.isEmpty():
-            return every
-        member, step, leads = rest, step + 1, leads * 2
+        several = rest.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        linked = left - leader.count() - rest.count()
+        member = scratch.put(rest.join(several, "band", "left_semi"), f"members-{step + 1}")
+        if linked < FAIR_SHARE * left:
+            found = scratch.put(_chunked_links(member, texts, scratch), "links-chunked")
+            return links.unionByName(found)
+        step, left = step + 1, member.count()
+    return links if links is not None else member.selectExpr("id AS a", "id AS b")
 
 
 def near_duplicates(

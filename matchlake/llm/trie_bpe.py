@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -21,13 +22,15 @@ from pyspark.sql import functions as F
 
 #: Fixed: the pattern that cuts text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Entries remembered between batches, and documents of a batch.
-REMEMBERED = 250_000
-BATCH = 256
-#: Longer words go through the same states one by one, outside the trie.
-TRIE_BYTES = 256
+#: Entries of a generation of remembered words, and documents of a batch.
+REMEMBERED = 300_000
+BATCH = 512
 BYTES = 256
 END = -1
+#: Bytes at the end of a prefix that say how long a token ending there may be.
+TAIL = 4
+#: Bits of a token's number in a pair of tokens held as one integer.
+PAIR_BITS = 32
 
 
 def byte_letters() -> dict[str, int]:
@@ -80,7 +83,11 @@ class Vocabulary:
         self.reached = {
             self.bytes[t]: t for t in range(len(self.ids)) if t < BYTES or self._whole(t)
         }
-        self.longest = max(map(len, self.reached))
+        # How long a token may be, by its last bytes.
+        self.longest_by_tail: dict[bytes, int] = {}
+        for data in self.reached:
+            tail = data[-TAIL:]
+            self.longest_by_tail[tail] = max(len(data), self.longest_by_tail.get(tail, TAIL))
         self.text = {i: self.bytes[t] for t, i in enumerate(self.ids)}
         self.text |= {i: content.encode() for content, i in self.added.items()}
 
@@ -108,14 +115,35 @@ class Vocabulary:
         return self.apart(self.left[token], self.right[token], but=token)
 
 
+class Remembered(dict):
+    """A dictionary in two generations: when the new one is full it becomes the old one.
+
+    What is in use moves back to the new generation, so frequent keys stay and the whole is
+    bounded by twice ``REMEMBERED`` entries and one batch.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that are in neither generation; those in the old one are moved."""
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        absent = keys.difference(self)
+        for key in absent.intersection(self.old):
+            self[key] = self.old[key]
+        return absent.difference(self)
+
+
 class Encoder:
-    """Ids of texts, with the words of earlier batches remembered up to a bound."""
+    """Ids of texts as little-endian 32-bit bytes, with earlier words remembered up to a bound."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, bytes] = {}
-        self._apart: dict[tuple[int, int], bool] = {}
+        self.words, self.chunks = Remembered(), Remembered()
+        self._apart: dict[int, bool] = {}
         self._word = regex.compile(WORDS)
         # Words never cross from other characters to a space or line feed, so a text whose only
         # white space is those may be cut before each run of them.
@@ -124,71 +152,59 @@ class Encoder:
         names = sorted(self.vocabulary.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
-    def _state(self, path: bytes, states: list[int], depth: int) -> int:
-        """The last token of the encoding of ``path[:depth]``, given those of its prefixes."""
-        reached, known = self.vocabulary.reached, self._apart
-        for size in range(min(depth, self.vocabulary.longest), 0, -1):
-            token = reached.get(path[depth - size : depth])
-            if token is None:
-                continue
-            if size == depth:
-                return token
-            pair = (states[depth - size], token)
-            fits = known.get(pair)
-            if fits is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                fits = known[pair] = self.vocabulary.apart(*pair)
-            if fits:
-                return token
-        raise AssertionError("a prefix has no last token")
-
-    def _tokens(self, states: list[int], depth: int) -> tuple[int, ...]:
-        vocabulary, out = self.vocabulary, []
+    def _walk(self, words: Iterable[str]) -> None:
+        """Encode new distinct words in one depth-first traversal of their trie.
+
+        The trie is its words in order, which is the order of the traversal: a word shares with
+        the one before it the path up to where they differ, and ``states`` holds the last tokens
+        along the present path. Only the nodes below are new.
+        """
+        vocabulary, apart = self.vocabulary, self._apart
+        reached, longest = vocabulary.reached.get, vocabulary.longest_by_tail.get
+        known, bits = apart.get, PAIR_BITS
+        states, before = [END], b""
+        for data, word in sorted((w.encode("utf-8", "replace"), w) for w in words):
+            shared, most = 0, min(len(before), len(data))
+            while shared < most and before[shared] == data[shared]:
+                shared += 1
+            del states[shared + 1 :]
+            for depth in range(shared + 1, len(data) + 1):
+                # The longest token that ends here and may follow the state where it starts.
+                most = longest(data[depth - TAIL : depth], TAIL) if depth >= TAIL else depth
+                for start in range(max(0, depth - most), depth):
+                    token = reached(data[start:depth])
+                    if token is None:
+                        continue
+                    if start:
+                        pair = states[start] << bits | token
+                        fits = known(pair)
+                        if fits is None:
+                            if len(apart) >= REMEMBERED:
+                                apart.clear()
+                            fits = apart[pair] = vocabulary.apart(states[start], token)
+                        if not fits:
+                            continue
+                    states.append(token)
+                    break
+            self.words[word] = self._ids(states)
+            before = data
+
+    def _ids(self, states: list[int]) -> bytes:
+        """The ids that lead to the last state of a path."""
+        vocabulary, out, depth = self.vocabulary, [], len(states) - 1
         while depth:
             token = states[depth]
             out.append(vocabulary.ids[token])
             depth -= len(vocabulary.bytes[token])
-        return tuple(reversed(out))
+        return array("I", reversed(out)).tobytes()
 
-    def _walk(self, words: Iterable[str]) -> None:
-        """Encode new distinct words in one depth-first traversal of their trie."""
-        root: dict = {}
-        for word in words:
-            data = word.encode("utf-8", "replace")
-            if len(data) > TRIE_BYTES:
-                states = [END]
-                for depth in range(1, len(data) + 1):
-                    states.append(self._state(data, states, depth))
-                self.words[word] = self._tokens(states, len(data))
-                continue
-            node = root
-            for byte in data:
-                node = node.setdefault(byte, {})
-            node[END] = word
-        path, states = bytearray(TRIE_BYTES), [END] * (TRIE_BYTES + 1)
-        stack = [(0, END, root)]
-        while stack:
-            depth, byte, node = stack.pop()
-            if depth:
-                path[depth - 1] = byte
-                states[depth] = self._state(bytes(path[:depth]), states, depth)
-            for step, child in node.items():
-                if step == END:
-                    self.words[child] = self._tokens(states, depth)
-                else:
-                    stack.append((depth + 1, step, child))
-
-    def _learn(self, cut: dict[str, list[str]]) -> None:
-        """Ids of new chunks, given the words of each."""
-        new = {w for words in cut.values() for w in words}.difference(self.words)
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words = {}
-            new = {w for words in cut.values() for w in words}
-        self._walk(new)
+    def _learn(self, chunks: set[str]) -> None:
+        """Ids of new chunks, from those of their words."""
+        cut = {c: self._word.findall(c) for c in chunks}
+        self._walk(self.words.missing({w for words in cut.values() for w in words}))
+        ids = self.words.__getitem__
         for chunk, words in cut.items():
-            ids = [i for w in words for i in self.words[w]]
-            self.chunks[chunk] = np.array(ids, "<u4").tobytes()
+            self.chunks[chunk] = b"".join(map(ids, words))
 
     def _chunks(self, text: str) -> list[str]:
         if self._odd_space.search(text):
@@ -204,19 +220,19 @@ class Encoder:
             pieces.append(
                 [p if i % 2 else self._chunks(p) for i, p in enumerate(parts) if i % 2 or p]
             )
-        here = {c for parts in pieces for p in parts if isinstance(p, list) for c in p}
-        if len(self.chunks) > REMEMBERED:
-            self.chunks = {c: self.chunks[c] for c in here.intersection(self.chunks)}
-        self._learn({c: self._word.findall(c) for c in here.difference(self.chunks)})
+        self._learn(
+            self.chunks.missing({c for parts in pieces for p in parts if isinstance(p, list) for c in p})
+        )
+        ids = self.chunks.__getitem__
         out = []
         for parts in pieces:
-            data = b"".join(
-                b"".join(map(self.chunks.__getitem__, p))
+            data = [
+                b"".join(map(ids, p))
                 if isinstance(p, list)
-                else np.array([self.vocabulary.added[p]], "<u4").tobytes()
+                else array("I", [self.vocabulary.added[p]]).tobytes()
                 for p in parts
-            )
-            out.append(np.frombuffer(data, "<u4"))
+            ]
+            out.append(np.frombuffer(b"".join(data), np.uint32))
         return out
 
     def decode(self, ids: np.ndarray) -> str:

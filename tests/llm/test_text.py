@@ -257,8 +257,25 @@ def test_signatures_estimate_weighted_similarity():
     assert (sign[0] == sign[2]).all() and (sign != 0).all()
 
 
-def test_near_copies_in_hot_groups(spark):
+def test_overlaps_of_whole_chunks(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(dart_minhash, "COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    known = dart_minhash.WordHashes()
+    texts = [" ".join(rng.choice(list("abc"), rng.integers(1, 60))) for _ in range(30)]
+    bags = [dart_minhash.shingles(t, known) for t in texts]
+    got = dart_minhash.overlaps(bags[:17], bags[17:])
+    counts = [bag(t) for t in texts]
+    want = [[sum((a & b).values()) for b in counts[17:]] for a in counts[:17]]
+    assert (got == want).all()
+
+
+@pytest.mark.parametrize("fair", [0.05, 2.0])
+def test_near_copies_in_hot_groups(spark, monkeypatch, fair):
     """One group of copies and one of near copies with most rows, and texts that share parts."""
+    monkeypatch.setattr(dart_minhash, "FAIR_SHARE", fair)
+    monkeypatch.setattr(dart_minhash, "CHUNK", 16)
     body = [f"token{i}" for i in range(120)]
     rows = [(i, " ".join(body), "en", "s") for i in range(100, 160)]
     for i in range(60):

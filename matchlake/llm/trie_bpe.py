@@ -83,11 +83,12 @@ class Vocabulary:
         self.reached = {
             self.bytes[t]: t for t in range(len(self.ids)) if t < BYTES or self._whole(t)
         }
-        # How long a token may be, by its last bytes.
+        self.sizes = [len(data) for data in self.bytes]
+        # How long a token of at least TAIL bytes may be, by its last bytes.
         self.longest_by_tail: dict[bytes, int] = {}
         for data in self.reached:
             tail = data[-TAIL:]
-            self.longest_by_tail[tail] = max(len(data), self.longest_by_tail.get(tail, TAIL))
+            self.longest_by_tail[tail] = max(len(data), self.longest_by_tail.get(tail, 0))
         self.text = {i: self.bytes[t] for t, i in enumerate(self.ids)}
         self.text |= {i: content.encode() for content, i in self.added.items()}
 
@@ -159,43 +160,47 @@ class Encoder:
         the one before it the path up to where they differ, and ``states`` holds the last tokens
         along the present path. Only the nodes below are new.
         """
-        vocabulary, apart = self.vocabulary, self._apart
+        vocabulary, known = self.vocabulary, self._apart
         reached, longest = vocabulary.reached.get, vocabulary.longest_by_tail.get
-        known, bits = apart.get, PAIR_BITS
-        states, before = [END], b""
+        sizes, lookup = vocabulary.sizes, known.get
+
+        def follows(before: int, token: int) -> bool:
+            pair = before << PAIR_BITS | token
+            fits = lookup(pair)
+            if fits is None:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                fits = known[pair] = vocabulary.apart(before, token)
+            return fits
+
+        states, last = [END], b""
         for data, word in sorted((w.encode("utf-8", "replace"), w) for w in words):
-            shared, most = 0, min(len(before), len(data))
-            while shared < most and before[shared] == data[shared]:
+            shared, most = 0, min(len(last), len(data))
+            while shared < most and last[shared] == data[shared]:
                 shared += 1
             del states[shared + 1 :]
+            begin = shared - sizes[states[shared]] if shared else 0
             for depth in range(shared + 1, len(data) + 1):
-                # The longest token that ends here and may follow the state where it starts.
-                most = longest(data[depth - TAIL : depth], TAIL) if depth >= TAIL else depth
-                for start in range(max(0, depth - most), depth):
-                    token = reached(data[start:depth])
-                    if token is None:
-                        continue
-                    if start:
-                        pair = states[start] << bits | token
-                        fits = known(pair)
-                        if fits is None:
-                            if len(apart) >= REMEMBERED:
-                                apart.clear()
-                            fits = apart[pair] = vocabulary.apart(states[start], token)
-                        if not fits:
-                            continue
-                    states.append(token)
-                    break
+                # One token that ends here may follow the state where it starts. Often it is
+                # the last one grown by a byte, else they are tried by falling length.
+                token = reached(data[begin:depth])
+                if token is None or begin and not follows(states[begin], token):
+                    room = longest(data[depth - TAIL : depth], TAIL - 1) if depth >= TAIL else depth
+                    for begin in range(max(0, depth - room), depth):
+                        token = reached(data[begin:depth])
+                        if token is not None and (not begin or follows(states[begin], token)):
+                            break
+                states.append(token)
             self.words[word] = self._ids(states)
-            before = data
+            last = data
 
     def _ids(self, states: list[int]) -> bytes:
         """The ids that lead to the last state of a path."""
-        vocabulary, out, depth = self.vocabulary, [], len(states) - 1
+        ids, sizes, out, depth = self.vocabulary.ids, self.vocabulary.sizes, [], len(states) - 1
         while depth:
             token = states[depth]
-            out.append(vocabulary.ids[token])
-            depth -= len(vocabulary.bytes[token])
+            out.append(ids[token])
+            depth -= sizes[token]
         return array("I", reversed(out)).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:

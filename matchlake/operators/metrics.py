@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from matchlake.operators.skew import (
 
 SECOND = 1_000_000
 SERIES = ["name", "series"]
+# A tick of the evaluation grid, and how long a sample stands for its series.
+STEP_SECONDS = 15
+LOOKBACK_SECONDS = 300
 
 
 def label_key(labels: Column) -> Column:
@@ -80,19 +84,33 @@ def select(samples: DataFrame, **selector) -> DataFrame:
     return samples.where(matches(**selector))
 
 
-def at_steps(samples: DataFrame, step_seconds: int) -> DataFrame:
-    """The last sample of each series in each step, stamped with the step's start."""
-    step = F.col("pos") - F.pmod(F.col("pos"), F.lit(step_seconds * SECOND))
-    return (
-        samples.groupBy(*SERIES, step.alias("step"))
-        .agg(F.max_by("value", "pos").alias("value"))
-        .select(
-            *SERIES,
-            F.map_from_entries(F.from_json("series", LABELS)).alias("labels"),
-            F.timestamp_micros("step").alias("ts"),
-            F.col("step").alias("pos"),
-            "value",
-        )
+def on_grid(
+    samples: DataFrame,
+    step_seconds: int = STEP_SECONDS,
+    lookback_seconds: Column | int = LOOKBACK_SECONDS,
+    keys: Sequence[str] = SERIES,
+    hot: HotKeys = NO_HOT_KEYS,
+) -> DataFrame:
+    """Each series at the ticks of a fixed grid: its last sample at or before the tick.
+
+    A sample older than ``lookback_seconds`` is no longer used, so a gap leaves ticks out. Series
+    scraped at different instants meet at the same ticks. A sample covers the ticks up to the
+    next sample or the end of the lookback, so there is about one row per sample. ``pos`` and
+    ``ts`` become the tick; of samples of one instant one is used.
+    """
+    if isinstance(lookback_seconds, int):
+        lookback_seconds = F.lit(lookback_seconds)
+    step = step_seconds * SECOND
+    pos = F.col("pos")
+    turned = samples.withColumns({"_back": -pos, "_tie": F.xxhash64("value")})
+    ahead = running(turned, keys, "_back", "_tie", {"_next": Scan("lag", pos)}, hot)
+    oldest = pos + lookback_seconds.cast("bigint") * SECOND
+    first = -floor_div(-pos, step) * step
+    last = floor_div(F.least(F.col("_next") - 1, oldest), step) * step
+    ticks = F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint")))
+    kept = [F.col(c) for c in samples.columns if c not in ("pos", "ts")]
+    return ahead.select(*kept, F.explode(ticks).alias("pos")).withColumn(
+        "ts", F.timestamp_micros("pos")
     )
 
 
@@ -110,12 +128,18 @@ def or_zero(single: DataFrame, column: str = "value") -> DataFrame:
     return single.agg(F.coalesce(F.max(column), F.lit(0.0)).alias(column))
 
 
+def divided(part: Column, whole: Column) -> Column:
+    """Division of metrics: by zero it is an infinity, and nothing where both are zero."""
+    infinite = F.when(part > 0, F.lit(float("inf"))).when(part < 0, F.lit(float("-inf")))
+    return F.when(whole == 0, infinite).otherwise(part / F.nullif(whole, F.lit(0.0)))
+
+
 def metric_ratio(part: DataFrame, whole: DataFrame) -> DataFrame:
-    """Two metrics divided series by series at equal instants."""
+    """Two metrics divided series by series at equal instants, such as ticks of a grid."""
     return (
         part.select("series", "pos", F.col("value").alias("part"))
         .join(whole.select("series", "pos", F.col("value").alias("whole")), ["series", "pos"])
-        .withColumn("value", F.col("part") / F.nullif(F.col("whole"), F.lit(0.0)))
+        .withColumn("value", divided(F.col("part"), F.col("whole")))
     )
 
 
@@ -140,14 +164,38 @@ def _trailing(
     ``scan`` is given the condition under which a row takes part, and may use ``_x``, the
     time since the slice began.
     """
+    mine = F.col("_own")
+    sliced, slice_keys, hot_slices = _sliced(
+        samples, keys, width, F.lit(True), F.col("pos"), hot
+    )
+    came = running(sliced, slice_keys, "_at", None, {"_came": scan(mine)}, hot_slices)
+    stays = running(came, slice_keys, "_back", None, {"_stays": scan(~mine)}, hot_slices)
+    return stays.where(mine).select(*samples.columns, "_came", "_stays")
+
+
+def _sliced(
+    samples: DataFrame,
+    keys: Sequence[str],
+    width: Column | int,
+    stays: Column,
+    leaves: Column,
+    hot: HotKeys,
+) -> tuple[DataFrame, list[str], HotKeys]:
+    """Each row in its own slice, and in the next one until ``leaves`` falls out of the window.
+
+    Rows for which ``stays`` is false have fallen out before the next slice begins.
+    """
     width = (F.lit(width) if isinstance(width, int) else width).cast("bigint")
     pos = F.col("pos")
     own = floor_div(pos, width)
-    halves = F.array(
-        F.struct(own.alias("slice"), pos.alias("at"), F.lit(True).alias("own")),
-        F.struct(
-            (own + 1).alias("slice"), (pos + width).alias("at"), F.lit(False).alias("own")
-        ),
+    later = F.struct(
+        (own + 1).alias("slice"), (leaves + width).alias("at"), F.lit(False).alias("own")
+    )
+    halves = F.array_compact(
+        F.array(
+            F.struct(own.alias("slice"), pos.alias("at"), F.lit(True).alias("own")),
+            F.when(stays, later),
+        )
     )
     sliced = samples.withColumn("_half", F.explode(halves)).select(
         *samples.columns,
@@ -159,10 +207,7 @@ def _trailing(
     )
     slice_keys = [*keys, "_slice"]
     hot_slices = find_hot_keys(sliced, slice_keys, hot.rows_per_task) if hot else NO_HOT_KEYS
-    mine = F.col("_own")
-    came = running(sliced, slice_keys, "_at", None, {"_came": scan(mine)}, hot_slices)
-    both = running(came, slice_keys, "_back", None, {"_stays": scan(~mine)}, hot_slices)
-    return both.where(mine).select(*samples.columns, "_came", "_stays")
+    return sliced, slice_keys, hot_slices
 
 
 def trailing_sum(
@@ -200,12 +245,52 @@ def trailing_slope(
 def increments(
     samples: DataFrame, keys: Sequence[str] = SERIES, hot: HotKeys = NO_HOT_KEYS
 ) -> DataFrame:
-    """Add ``step``: the growth of a counter since the sample before, restarts included."""
-    scans = {"_before": Scan("lag", F.col("value"))}
-    seen = running(samples.withColumn("_tie", F.lit(0)), keys, "pos", "_tie", scans, hot)
+    """Add ``step``, the growth of a counter since the sample before, and that one's ``since``.
+
+    A value below the one before means the counter restarted from zero. The first sample of a
+    series has neither.
+    """
+    scans = {"_before": Scan("lag", F.col("value")), "since": Scan("lag", F.col("pos"))}
+    seen = running(samples.withColumn("_tie", F.xxhash64("value")), keys, "pos", "_tie", scans, hot)
     grown = F.col("value") - F.col("_before")
     step = F.when(grown < 0, F.col("value")).otherwise(grown)
-    return seen.withColumn("step", F.coalesce(step, F.lit(0.0))).drop("_before", "_tie")
+    return seen.withColumn("step", step).drop("_before", "_tie")
+
+
+def trailing_growth(
+    grown: DataFrame,
+    keys: Sequence[str],
+    width: Column | int,
+    name: str,
+    hot: HotKeys = NO_HOT_KEYS,
+) -> DataFrame:
+    """Add the sum of the ``step`` that lie inside the last ``width`` microseconds as a whole.
+
+    A step lies inside while its earlier sample, ``since``, does; null where there is none. So
+    growth across a window's beginning does not count. Rows without a step only ask.
+
+    A step within one slice counts in it from its own time on, and in the next slice until its
+    earlier sample leaves. Only a slice's first step can begin before the slice; it counts from
+    its time until its earlier sample leaves, which is within the slice.
+    """
+    wide = (F.lit(width) if isinstance(width, int) else width).cast("bigint")
+    inside = F.coalesce(floor_div(F.col("since"), wide) == floor_div(F.col("pos"), wide), F.lit(False))
+    rows = grown.withColumn("_inside", inside)
+    sliced, slice_keys, hot_slices = _sliced(rows, keys, wide, inside, F.col("since"), hot)
+    mine = F.col("_own")
+    edge = F.struct(F.col("step").alias("step"), (F.col("since") + wide).alias("until"))
+    forward = {
+        "_came": Scan("sum", F.when(mine & F.col("_inside"), F.col("step"))),
+        "_edge": Scan("last", F.when(mine & ~F.col("_inside") & F.col("step").isNotNull(), edge)),
+    }
+    came = running(sliced, slice_keys, "_at", None, forward, hot_slices)
+    stays = {"_stays": Scan("sum", F.when(~mine, F.col("step")))}
+    both = running(came, slice_keys, "_back", None, stays, hot_slices)
+    first = F.when(F.col("_edge.until") >= F.col("pos"), F.col("_edge.step"))
+    parts = [F.col("_came"), F.col("_stays"), first]
+    some = F.coalesce(*parts).isNotNull()
+    total = reduce(Column.__add__, [F.coalesce(p, F.lit(0.0)) for p in parts])
+    return both.where(mine).select(*grown.columns, F.when(some, total).alias(name))
 
 
 def increase(
@@ -216,11 +301,12 @@ def increase(
 ) -> DataFrame:
     """Add ``increase`` and the per-second ``rate`` of a counter over the last ``seconds``.
 
-    Growth is added up between samples; nothing is extrapolated to the window's ends.
+    Growth is added up between the samples in the window, both ends in; nothing is extrapolated
+    to its ends, and fewer than two samples in it give null.
     """
     grown = increments(samples, keys, hot)
-    summed = trailing_sum(grown, keys, seconds * SECOND, "step", "increase", hot)
-    return summed.withColumn("rate", F.col("increase") / seconds).drop("step")
+    summed = trailing_growth(grown, keys, seconds * SECOND, "increase", hot)
+    return summed.withColumn("rate", F.col("increase") / seconds).drop("step", "since")
 
 
 def deriv(

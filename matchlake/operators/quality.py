@@ -193,7 +193,10 @@ def lookup_quality(participants: DataFrame, players: DataFrame) -> DataFrame:
 def roster_quality(
     looked: DataFrame, events: DataFrame, roster_size: int = ROSTER_SIZE
 ) -> DataFrame:
-    """Complete and incomplete matches, once every record has arrived."""
+    """Complete and incomplete matches, once every record has arrived.
+
+    The final view has one roster per match; ``session_quality`` counts what fired.
+    """
     rosters = looked.groupBy("match_id").agg(_rows())
     matches = events.select(F.col("id").alias("match_id"), F.lit(True).alias("event"))
     full = F.col("event") & (F.col("n") == roster_size)
@@ -203,6 +206,13 @@ def roster_quality(
     )
 
 
+def session_quality(sessions: DataFrame) -> DataFrame:
+    """Complete and incomplete sessions: a match that fires twice counts twice."""
+    return sessions.agg(
+        F.count_if("complete").alias("complete"), F.count_if(~F.col("complete")).alias("incomplete")
+    )
+
+
 def rank_quality(ranked: DataFrame, mark: str) -> DataFrame:
     """Facts whose rank was found, and facts that got the default."""
     return ranked.agg(

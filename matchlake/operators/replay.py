@@ -31,11 +31,14 @@ MAX_LEVEL = 40
 def lookup_on_arrival(
     participants: DataFrame, player_log: DataFrame, hot: HotKeys = NO_HOT_KEYS
 ) -> DataFrame:
-    """Each participant with the player version that had arrived by then, if any."""
+    """Each participant with the player version that had arrived by then, if any.
+
+    Versions of one player and millisecond count in the order of their ``offset``.
+    """
     versions = player_log.select(
         F.col("id").alias("player_id"),
         epoch_ms(F.col("arrival_ts")).alias("_pos"),
-        F.lit(0).alias("_version"),
+        F.col("offset").cast("bigint").alias("_version"),
         F.struct("account_name").alias("_player"),
     )
     rows = participants.withColumn("_pos", epoch_ms(F.col("arrival_ts")))
@@ -56,7 +59,8 @@ def match_arrivals(
     """Both inputs of the roster buffer, with the session each record falls into.
 
     A session ends once nothing arrives for its match for ``quiet_ms``; ``session_start``
-    is its first arrival. Records are ``participant`` or ``event`` structs.
+    is its first arrival. Records are ``participant`` or ``event`` structs; both logs carry
+    ``arrival_ts`` and ``offset``.
     """
     event_fields = [c for c in event_log.columns if c != "arrival_ts"]
     merged = participants.select(
@@ -95,7 +99,9 @@ def _session_values() -> dict[str, Column]:
         "participants": F.count("participant"),
         "events": F.count("event"),
         "last_ms": F.max("arrival_ms"),
-        "last_event": F.max_by(F.col("event"), F.when(is_event, F.col("arrival_ms"))),
+        "last_event": F.max_by(
+            F.col("event"), F.when(is_event, F.struct("arrival_ms", "event.offset"))
+        ),
     }
 
 

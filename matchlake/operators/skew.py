@@ -1,9 +1,10 @@
 """Joins and ordered scans that survive a key holding a large share of all rows.
 
-A key is *hot* when one task could not reasonably hold its rows. There are at most
-``MAX_HOT_KEYS`` hot keys by construction, since each holds more than one
-``MAX_HOT_KEYS``-th of the table, so everything keyed by a hot key is small enough to
-broadcast. Without hot keys every function here is the plain join or window.
+A key is *hot* when it has more rows than a task should hold, ``rows_per_task``, whatever the
+size of the table. A table has at most one hot key per ``rows_per_task`` rows, so everything
+keyed by hot keys is that much smaller than the table: at 2,000,000 rows to a task, a trillion
+rows have at most 500,000 of them, which a broadcast bears. Without hot keys every function
+here is the plain join or window.
 
 Hot keys only decide how the work is split. The result never depends on them.
 """
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 from matchlake.functions.search import count_before
 from matchlake.session import pinned
 
-MAX_HOT_KEYS = 1000
-TRACKED_KEYS = 100_000
 ROWS_PER_TASK = 2_000_000
-QUANTILE_STEPS = 1000
+#: Quantiles asked of a hot key for every piece it is cut into, at least, and their accuracy.
+STEPS_PER_PIECE = 4
+LEAST_STEPS = 1000
+ACCURACY_PER_STEP = 10
 LOWEST = -(2**63)
 HIGHEST = 2**63 - 1
 
@@ -58,38 +60,35 @@ class HotKeys:
 
 
 def find_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-    max_hot: int = MAX_HOT_KEYS,
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> HotKeys:
-    """One pass with a fixed-size frequency sketch; no shuffle of the keys.
-
-    The sketch reports every key above one ``max_hot``-th of the rows.
-    """
-    return find_all_hot_keys(df, [keys], rows_per_task, max_hot)[0]
+    """The keys with more than ``rows_per_task`` rows, counted exactly."""
+    return find_all_hot_keys(df, [keys], rows_per_task)[0]
 
 
 def find_all_hot_keys(
-    df: DataFrame,
-    key_sets: Sequence[Sequence[str]],
-    rows_per_task: int = ROWS_PER_TASK,
-    max_hot: int = MAX_HOT_KEYS,
+    df: DataFrame, key_sets: Sequence[Sequence[str]], rows_per_task: int = ROWS_PER_TASK
 ) -> list[HotKeys]:
-    """``find_hot_keys`` for several keys of one table, still in one pass."""
-    tracked = F.lit(max(TRACKED_KEYS, max_hot))
-    tops = [
-        F.call_function("approx_top_k", key_hash(keys), F.lit(max_hot), tracked).alias(f"_{i}")
-        for i, keys in enumerate(key_sets)
-    ]
-    seen = df.agg(F.count(F.lit(1)).alias("total"), *tops).first()
-    limit = max(rows_per_task, seen["total"] // max_hot)
+    """``find_hot_keys`` for several keys of one table, in one pass over the key columns.
+
+    Rows are counted before they are shuffled, and the counts are spread over all tasks by the
+    key's hash; only the hot ones, fewer than rows / ``rows_per_task``, reach the driver.
+    """
+    hashes = F.array(
+        *[
+            F.struct(F.lit(i).alias("keys"), key_hash(keys).alias("hash"))
+            for i, keys in enumerate(key_sets)
+        ]
+    )
+    many = (
+        df.select(F.explode(hashes).alias("_k"))
+        .groupBy("_k.keys", "_k.hash")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > rows_per_task)
+        .collect()
+    )
     return [
-        HotKeys(
-            tuple(keys),
-            {t["item"]: t["count"] for t in seen[f"_{i}"] or [] if t["count"] > limit},
-            limit,
-        )
+        HotKeys(tuple(keys), {r["hash"]: r["n"] for r in many if r["keys"] == i}, rows_per_task)
         for i, keys in enumerate(key_sets)
     ]
 
@@ -207,7 +206,7 @@ class Scan:
             case "total":
                 return F.sum(summary).over(whole)
             case "fit":
-                return _fit_of_fits(summary, earlier)
+                return _fit_of_fits(summary, earlier, whole)
         return F.last(summary, ignorenulls=True).over(earlier)
 
     def merge(self, carry: Column, local: Column) -> Column:
@@ -242,18 +241,26 @@ def _fit(point: Column) -> dict[str, Column]:
     }
 
 
-def _fit_of_fits(fit: Column, window: WindowSpec) -> Column:
+def _fit_of_fits(fit: Column, window: WindowSpec, whole: WindowSpec) -> Column:
+    """The fits of several pieces as one.
+
+    Means are taken relative to the key's lowest ones, so the level of a series cancels before
+    anything is squared and only its spread over the pieces is left.
+    """
+
     def total(value: Column) -> Column:
         return F.sum(value).over(window)
 
     n = total(fit["n"])
-    mx, my = total(fit["n"] * fit["mx"]) / n, total(fit["n"] * fit["my"]) / n
+    x0, y0 = F.min(fit["mx"]).over(whole), F.min(fit["my"]).over(whole)
+    dx, dy = fit["mx"] - x0, fit["my"] - y0
+    mx, my = total(fit["n"] * dx) / n, total(fit["n"] * dy) / n
     return F.struct(
         n.alias("n"),
-        mx.alias("mx"),
-        my.alias("my"),
-        (total(fit["sxx"] + fit["n"] * fit["mx"] * fit["mx"]) - n * mx * mx).alias("sxx"),
-        (total(fit["sxy"] + fit["n"] * fit["mx"] * fit["my"]) - n * mx * my).alias("sxy"),
+        (x0 + mx).alias("mx"),
+        (y0 + my).alias("my"),
+        (total(fit["sxx"] + fit["n"] * dx * dx) - n * mx * mx).alias("sxx"),
+        (total(fit["sxy"] + fit["n"] * dx * dy) - n * mx * my).alias("sxy"),
     )
 
 
@@ -427,15 +434,17 @@ def _quantiles(
     value: str,
     pieces: Mapping[tuple[int, ...], int],
 ) -> dict[tuple[int, ...], list[int]]:
-    grid = [i / QUANTILE_STEPS for i in range(1, QUANTILE_STEPS)]
+    steps = max(LEAST_STEPS, STEPS_PER_PIECE * max(pieces.values(), default=1))
+    grid = [i / steps for i in range(1, steps)]
+    accuracy = ACCURACY_PER_STEP * steps
     rows: Iterable = (
         df.groupBy(*group)
-        .agg(F.percentile_approx(F.col(value).cast("bigint"), grid, 10_000).alias("q"))
-        .collect()  # one row per hot key, QUANTILE_STEPS values each
+        .agg(F.percentile_approx(F.col(value).cast("bigint"), grid, accuracy).alias("q"))
+        .collect()  # one row per hot key; all quantiles are a few per piece
     )
     cuts: dict[tuple[int, ...], list[int]] = {}
     for row in rows:
         key = tuple(row[g] for g in group)
-        n = min(pieces.get(key, 1), QUANTILE_STEPS)
-        cuts[key] = [row["q"][i * QUANTILE_STEPS // n - 1] for i in range(1, n)]
+        n = pieces.get(key, 1)
+        cuts[key] = [row["q"][i * steps // n - 1] for i in range(1, n)]
     return cuts

@@ -10,17 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.operators.metrics import (
+    LOOKBACK_SECONDS,
     SECOND,
+    STEP_SECONDS,
+    divided,
     hold,
     increments,
     label_key,
     matches,
+    on_grid,
+    trailing_growth,
     trailing_slope,
-    trailing_sum,
 )
 from matchlake.operators.skew import ROWS_PER_TASK, HotKeys, find_all_hot_keys
 
-EVALUATE_SECONDS = 15
+# The consumer group of the facts job, unless a deployment names its own.
+CONSUMER_GROUP = "facts"
 
 
 @dataclass(frozen=True)
@@ -58,112 +63,117 @@ class Rule:
         return matches(self.divide_by, None, self.equal, self.like)
 
 
-# The eleven rules with their metrics, thresholds, windows and holds.
-RULES = [
-    Rule(
-        "Offline partitions",
-        "page",
-        ">",
-        0,
-        name="kafka_controller_kafkacontroller_value",
-        equal={"name": "OfflinePartitionsCount"},
-    ),
-    Rule(
-        "Consumer lag climbing",
-        "page",
-        ">",
-        200,
-        name="kafka_consumergroup_lag",
-        like={"topic": r"dbserver1\.public\..+"},
-        by=["topic"],
-        min_slope=5,
-        slope_seconds=600,
-    ),
-    Rule(
-        "Failed checkpoints",
-        "page",
-        ">=",
-        3,
-        name="flink_jobmanager_job_numberOfFailedCheckpoints",
-        measure="increase",
-        window_seconds=900,
-    ),
-    Rule(
-        "Job restart loop",
-        "page",
-        ">=",
-        2,
-        name="flink_jobmanager_job_fullRestarts",
-        measure="increase",
-        window_seconds=600,
-    ),
-    Rule(
-        "CDC source stopped",
-        "page",
-        "==",
-        0,
-        name="pg_debezium_slot_active",
-        hold_seconds=60,
-    ),
-    Rule(
-        "Under-replicated partitions",
-        "ticket",
-        ">",
-        0,
-        name="kafka_server_replicamanager_value",
-        equal={"name": "UnderReplicatedPartitions"},
-    ),
-    Rule(
-        "Checkpoint duration high",
-        "ticket",
-        ">",
-        10_000,
-        name="flink_jobmanager_job_lastCheckpointDuration",
-        hold_seconds=300,
-    ),
-    Rule(
-        "Operator backpressure",
-        "ticket",
-        ">",
-        500,
-        name="flink_taskmanager_job_task_backPressuredTimeMsPerSecond",
-        like={
-            "task_name": ".*(PlayerLookup|MatchJoin|RankAsOf|match_events|"
-            "match_participants|players|ranks|Iceberg).*"
-        },
-        by=["task_name"],
-        hold_seconds=900,
-    ),
-    Rule(
-        "TaskManager heap high",
-        "ticket",
-        ">",
-        0.8,
-        name="flink_taskmanager_Status_JVM_Memory_Heap_Used",
-        divide_by="flink_taskmanager_Status_JVM_Memory_Heap_Max",
-        hold_seconds=600,
-    ),
-    Rule(
-        "Streaming source lag high",
-        "ticket",
-        ">",
-        5000,
-        name_like="debezium_.*millisecondsbehindsource",
-        combine="max",
-        by=[],
-        hold_seconds=300,
-    ),
-    Rule(
-        "Incomplete join rate",
-        "ticket",
-        ">",
-        0,
-        name="flink_taskmanager_job_task_operator_join_incomplete",
-        measure="rate",
-        window_seconds=300,
-        hold_seconds=300,
-    ),
-]
+def rules_of(consumer_group: str = CONSUMER_GROUP) -> list[Rule]:
+    """The rules for a job that reads its topics as ``consumer_group``."""
+    # The eleven rules with their metrics, thresholds, windows and holds.
+    return [
+        Rule(
+            "Offline partitions",
+            "page",
+            ">",
+            0,
+            name="kafka_controller_kafkacontroller_value",
+            equal={"name": "OfflinePartitionsCount"},
+        ),
+        Rule(
+            "Consumer lag climbing",
+            "page",
+            ">",
+            200,
+            name="kafka_consumergroup_lag",
+            equal={"consumergroup": consumer_group},
+            like={"topic": r"dbserver1\.public\..+"},
+            by=["topic"],
+            min_slope=5,
+            slope_seconds=600,
+        ),
+        Rule(
+            "Failed checkpoints",
+            "page",
+            ">=",
+            3,
+            name="flink_jobmanager_job_numberOfFailedCheckpoints",
+            measure="increase",
+            window_seconds=900,
+        ),
+        Rule(
+            "Job restart loop",
+            "page",
+            ">=",
+            2,
+            name="flink_jobmanager_job_fullRestarts",
+            measure="increase",
+            window_seconds=600,
+        ),
+        Rule(
+            "CDC source stopped",
+            "page",
+            "==",
+            0,
+            name="pg_debezium_slot_active",
+            hold_seconds=60,
+        ),
+        Rule(
+            "Under-replicated partitions",
+            "ticket",
+            ">",
+            0,
+            name="kafka_server_replicamanager_value",
+            equal={"name": "UnderReplicatedPartitions"},
+        ),
+        Rule(
+            "Checkpoint duration high",
+            "ticket",
+            ">",
+            10_000,
+            name="flink_jobmanager_job_lastCheckpointDuration",
+            hold_seconds=300,
+        ),
+        Rule(
+            "Operator backpressure",
+            "ticket",
+            ">",
+            500,
+            name="flink_taskmanager_job_task_backPressuredTimeMsPerSecond",
+            like={
+                "task_name": ".*(PlayerLookup|MatchJoin|RankAsOf|match_events|match_participants|players|ranks|Iceberg).*"  # noqa: E501
+            },
+            by=["task_name"],
+            hold_seconds=900,
+        ),
+        Rule(
+            "TaskManager heap high",
+            "ticket",
+            ">",
+            0.8,
+            name="flink_taskmanager_Status_JVM_Memory_Heap_Used",
+            divide_by="flink_taskmanager_Status_JVM_Memory_Heap_Max",
+            hold_seconds=600,
+        ),
+        Rule(
+            "Streaming source lag high",
+            "ticket",
+            ">",
+            5000,
+            name_like="debezium_.*millisecondsbehindsource",
+            combine="max",
+            by=[],
+            hold_seconds=300,
+        ),
+        Rule(
+            "Incomplete join rate",
+            "ticket",
+            ">",
+            0,
+            name="flink_taskmanager_job_task_operator_join_incomplete",
+            measure="rate",
+            window_seconds=300,
+            hold_seconds=300,
+        ),
+    ]
+
+
+RULES = rules_of()
 
 _GROUP = ["alert", "group"]
 _COUNTER = ["alert", "name", "series"]
@@ -220,28 +230,33 @@ def _tagged(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def _measured(tagged: DataFrame, rules: Sequence[Rule], hot: HotKeys) -> DataFrame:
-    """Counters by their growth in the rule's window."""
-    grown = increments(tagged, _COUNTER, hot)
-    width = _per_rule(rules, lambda r: r.window_seconds * SECOND).cast("bigint")
-    summed = trailing_sum(grown, _COUNTER, width, "step", "growth", hot)
+def _measured(
+    tagged: DataFrame, rules: Sequence[Rule], every_seconds: int, hot: HotKeys
+) -> DataFrame:
+    """Counters at the grid's ticks by their growth in the rule's window up to the tick."""
+    seconds = _per_rule(rules, lambda r: r.window_seconds)
+    grown = increments(tagged, _COUNTER, hot).withColumn("_tick", F.lit(False))
+    asked = on_grid(tagged, every_seconds, seconds, _COUNTER, hot).drop("ts")
+    nothing = {c: F.lit(None).cast(grown.schema[c].dataType) for c in ("step", "since")}
+    both = grown.unionByName(asked.withColumns(nothing | {"_tick": F.lit(True)}))
+    summed = trailing_growth(both, _COUNTER, seconds.cast("bigint") * SECOND, "growth", hot)
     per = _per_rule(rules, lambda r: r.window_seconds if r.measure == "rate" else 1)
-    return summed.withColumn("value", F.col("growth") / per)
+    return summed.where("_tick").withColumn("value", F.col("growth") / per)
 
 
 def _grouped(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One value per alert, group and instant."""
+    """One value per alert, group and tick."""
     part = F.when(F.col("role") == "part", F.col("value"))
     whole = F.sum(F.when(F.col("role") == "whole", F.col("value")))
     highest = F.col("alert").isin([r.alert for r in rules if r.combine == "max"])
-    divided = F.col("alert").isin([r.alert for r in rules if r.divide_by])
+    quotient = F.col("alert").isin([r.alert for r in rules if r.divide_by])
     return (
         measured.groupBy(*_GROUP, "pos")
         .agg(F.sum(part).alias("sum"), F.max(part).alias("max"), whole.alias("whole"))
         .select(
             *_GROUP,
             "pos",
-            F.when(divided, F.col("sum") / F.nullif(F.col("whole"), F.lit(0.0)))
+            F.when(quotient, divided(F.col("sum"), F.col("whole")))
             .when(highest, F.col("max"))
             .otherwise(F.col("sum"))
             .alias("value"),
@@ -251,39 +266,52 @@ def _grouped(measured: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _valued(
-    samples: DataFrame, rules: Sequence[Rule], hot_groups: HotKeys, hot_counters: HotKeys
+    samples: DataFrame,
+    rules: Sequence[Rule],
+    every_seconds: int,
+    lookback_seconds: int,
+    hot_groups: HotKeys,
+    hot_counters: HotKeys,
 ) -> list[DataFrame]:
-    """Values of all rules; each kind of rule reads only the samples it names."""
+    """Values of all rules; counters are read apart, as they need their samples as well."""
     counters = [r for r in rules if r.measure != "value"]
-    climbing = [r for r in rules if r.measure == "value" and r.min_slope is not None]
-    plain = [r for r in rules if r not in counters and r not in climbing]
+    plain = [r for r in rules if r.measure == "value"]
     parts = []
     if counters:
-        measured = _measured(_tagged(samples, counters), counters, hot_counters)
-        parts.append(_grouped(measured, counters))
+        tagged = _tagged(samples, counters)
+        measured = _measured(tagged, counters, every_seconds, hot_counters)
+        slope = F.lit(None).cast("double").alias("slope")
+        parts.append(_grouped(measured, counters).select("*", slope))
     if plain:
-        parts.append(_grouped(_tagged(samples, plain), plain))
-    parts = [p.withColumn("slope", F.lit(None).cast("double")) for p in parts]
-    if climbing:
-        width = _per_rule(climbing, lambda r: r.slope_seconds * SECOND).cast("bigint")
-        grouped = _grouped(_tagged(samples, climbing), climbing)
+        tagged = _tagged(samples, plain)
+        ticks = on_grid(tagged, every_seconds, lookback_seconds, _COUNTER, hot_counters)
+        # Rules that ask for no slope get one over a single tick, which is null.
+        width = _per_rule(plain, lambda r: r.slope_seconds or every_seconds - 1)
+        grouped = _grouped(ticks, plain)
+        width = (width * SECOND).cast("bigint")
         parts.append(trailing_slope(grouped, _GROUP, width, hot_groups))
     return parts
 
 
 def evaluate(
     samples: DataFrame,
-    rules: Sequence[Rule] = tuple(RULES),
-    every_seconds: int = EVALUATE_SECONDS,
+    rules: Sequence[Rule] | None = None,
+    every_seconds: int = STEP_SECONDS,
     rows_per_task: int = ROWS_PER_TASK,
+    lookback_seconds: int = LOOKBACK_SECONDS,
 ) -> DataFrame:
-    """Every group of every rule at every instant: value, slope and state.
+    """Every group of every rule at every tick of a grid: value, slope and state.
 
-    ``samples`` holds scrapes ``every_seconds`` apart; a missing one interrupts a hold.
+    ``samples`` may come at any instants. At a tick a series has its last sample of the last
+    ``lookback_seconds``; a tick at which a group has none interrupts its hold.
     """
+    rules = RULES if rules is None else rules
     tagged = _tagged(samples, rules)
     groups, counters = find_all_hot_keys(tagged, [_GROUP, _COUNTER], rows_per_task)
-    valued = reduce(DataFrame.unionByName, _valued(samples, rules, groups, counters))
+    valued = reduce(
+        DataFrame.unionByName,
+        _valued(samples, rules, every_seconds, lookback_seconds, groups, counters),
+    )
     seconds = _per_rule(rules, lambda r: r.hold_seconds).cast("bigint")
     held = hold(valued, _breach(rules), seconds, _GROUP, every_seconds, groups)
     return held.select(
@@ -308,7 +336,7 @@ def _breach(rules: Sequence[Rule]) -> Column:
 
 
 def alert_report(evaluated: DataFrame) -> DataFrame:
-    """Per alert and group: evaluations, breaches, firings and the first firing."""
+    """Per alert and group: evaluated ticks, breaches, firings and the first firing."""
     firing = F.col("state") == "firing"
     return evaluated.groupBy("alert", "severity", "group").agg(
         F.count(F.lit(1)).alias("evaluations"),

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
+from matchlake.operators import asof
 from matchlake.operators.asof import rank_as_of
 from matchlake.operators.joins import fact_rows, player_lookup, roster_join
 from matchlake.operators.skew import (
@@ -76,18 +76,13 @@ def facts_from_logs(
         participants = latest(participants, ["id"], _ARRIVAL)
     keys = [["player_id"], ["match_id"]]
     hot_players, hot_matches = find_all_hot_keys(participants, keys, rows_per_task)
-    ranks = rows("ranks").withColumn(
-        # Milliseconds of arrival first, then the offset: one number to order versions by.
-        "_order",
-        F.unix_millis("arrival_ts") * F.lit(2**20) + F.col("offset") % F.lit(2**20),
-    )
+    ranks = asof.history(rows("ranks"), _ARRIVAL).drop(*_ARRIVAL)
     return fact_rows(
         ranked_facts(
             latest(rows("players"), ["id"], _ARRIVAL).drop(*_ARRIVAL),
             participants.drop(*_ARRIVAL),
             latest(rows("match_events"), ["id"], _ARRIVAL).drop(*_ARRIVAL),
             ranks,
-            "_order",
             hot_players=hot_players,
             hot_matches=hot_matches,
         )

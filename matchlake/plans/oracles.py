@@ -12,7 +12,7 @@ players AS (
          CASE WHEN c_custkey % 10 = 0 THEN 'closed' ELSE 'active' END AS account_status,
          CASE WHEN c_custkey % 10 = 0
               THEN make_timestamp((1672617600 + c_custkey * 60) * 1000000) END AS deleted_at
-  FROM customer WHERE c_acctbal > 0)"""
+  FROM customer)"""
 
 MATCHES = """
 slots AS (
@@ -28,7 +28,8 @@ match_events AS (
          CAST(a.id % 2 AS INT) AS winning_team
   FROM spans a LEFT JOIN spans b ON b.id = a.id - 1),
 match_participants AS (
-  SELECT event_id AS id, match_id, user_id AS player_id,
+  SELECT event_id AS id, match_id,
+         CASE WHEN user_id % 11 = 0 THEN user_id + 1000000000 ELSE user_id END AS player_id,
          CASE WHEN slot < 6 THEN 0 ELSE 1 END AS team,
          concat(event_type, '_', event_id % 10) AS hero_played,
          CASE WHEN event_id % 17 = 0 THEN NULL
@@ -118,28 +119,42 @@ owners AS (
   UNION ALL SELECT '{PREFIX}match_events', id, id FROM match_events
   UNION ALL SELECT '{PREFIX}match_participants', id, id FROM match_participants),
 log AS (
-  SELECT topic, 5 * k AS "offset", 'row' AS fate, row_key FROM owners
-  UNION ALL SELECT topic, 5 * k + 1, 'delete', NULL FROM owners WHERE k % 50 = 0
-  UNION ALL SELECT topic, 5 * k + 2, 'delete', NULL FROM owners WHERE k % 61 = 0
-  UNION ALL SELECT topic, 5 * k + 3, 'malformed', NULL FROM owners WHERE k % 97 = 0
-  UNION ALL SELECT topic, 5 * k + 4, 'missing_field', k FROM owners WHERE k % 89 = 0)"""
+  SELECT topic, 6 * k AS "offset", 'row' AS fate, row_key FROM owners
+  UNION ALL SELECT topic, 6 * k + 1, 'delete', NULL FROM owners WHERE k % 50 = 0
+  UNION ALL SELECT topic, 6 * k + 2, 'delete', NULL FROM owners WHERE k % 61 = 0
+  UNION ALL SELECT topic, 6 * k + 3, 'malformed', NULL FROM owners WHERE k % 97 = 0
+  UNION ALL SELECT topic, 6 * k + 4, 'missing_field', k FROM owners WHERE k % 89 = 0
+  UNION ALL SELECT topic, 6 * k + 5, 'bad_value', row_key FROM owners WHERE k % 83 = 0)"""
 
 ARRIVALS = """
 player_log AS (
-  SELECT players.*, (id * 7919) % 600000 AS arrival FROM players
+  SELECT players.*, (id * 7919) % 600000 AS arrival, 4 * id AS "offset" FROM players
+  UNION ALL
+  SELECT id, concat(account_name, '#1'), email, created_at, account_status, deleted_at,
+         (id * 7919) % 600000, 4 * id + 1 FROM players WHERE id % 3 = 0
   UNION ALL
   SELECT id, concat(account_name, '#2'), email, created_at, account_status, deleted_at,
-         9000000 + id FROM players WHERE id % 2 = 0),
+         9000000 + id, 4 * id + 2 FROM players WHERE id % 2 = 0),
+player_versions AS (
+  SELECT id, arrival, max_by(account_name, "offset") AS account_name
+  FROM player_log GROUP BY id, arrival),
 participant_log AS (
   SELECT *, match_id * 20000 + (id * id * 31 + id * 7919) % 9000 AS arrival
   FROM match_participants),
-event_log AS (SELECT *, id * 20000 + 6000 AS arrival FROM match_events),
+event_log AS (
+  SELECT *, id * 20000 + 6000 AS arrival FROM match_events
+  UNION ALL
+  SELECT id, concat(map_name, '#1'), match_duration_seconds, started_at, ended_at, winning_team,
+         id * 20000 + 6000 FROM match_events WHERE id % 5 = 0),
+last_events AS (
+  SELECT * REPLACE (CASE WHEN id % 5 = 0 THEN concat(map_name, '#1') ELSE map_name END AS map_name)
+  FROM match_events),
 rank_log AS (
   SELECT *, CAST(floor(seq / 12) AS BIGINT) * 20000 + 9000 + (seq % 23) * 2000 AS arrival
   FROM updates),
 arrived AS (
   SELECT p.*, pl.account_name
-  FROM participant_log p ASOF JOIN player_log pl
+  FROM participant_log p ASOF JOIN player_versions pl
     ON p.player_id = pl.id AND p.arrival >= pl.arrival)"""
 
 
@@ -184,7 +199,7 @@ replayed AS (
          CASE WHEN c.pts IS NULL THEN 3 ELSE {division('c.pts')} END
            AS rank_division_at_match_start,
          CAST(coalesce(c.pts, 0) AS INT) AS rank_points_at_match_start
-  FROM emitted f JOIN match_events e ON e.id = f.match_id
+  FROM emitted f JOIN last_events e ON e.id = f.match_id
   LEFT JOIN candidates c ON c.id = f.id AND c.rn = 1)"""
 
 SAMPLES = """
@@ -194,13 +209,21 @@ numbered_events AS (
               % 50 AS DOUBLE) AS counter
   FROM events),
 steps AS (
-  SELECT *, coalesce(CASE WHEN counter < lag(counter) OVER w THEN counter
-                          ELSE counter - lag(counter) OVER w END, 0) AS step
+  SELECT *, lag(ts) OVER w AS since,
+         CASE WHEN counter < lag(counter) OVER w THEN counter
+              ELSE counter - lag(counter) OVER w END AS step
   FROM numbered_events WINDOW w AS (PARTITION BY event_type, shard ORDER BY ts)),
+hours AS (
+  SELECT unnest(generate_series(date_trunc('hour', min(ts)), max(ts) + INTERVAL 7 HOURS,
+                                INTERVAL 1 HOUR)) AS tick FROM events),
+asked AS (
+  SELECT event_type, shard, tick
+  FROM (SELECT DISTINCT event_type, shard FROM numbered_events) CROSS JOIN hours),
 hourly AS (
-  SELECT event_type, shard, date_trunc('hour', ts) AS ts,
-         max_by(gauge, e.ts) AS gauge, max_by(counter, e.ts) AS counter
-  FROM numbered_events e GROUP BY event_type, shard, date_trunc('hour', e.ts)),
+  SELECT a.event_type, a.shard, a.tick AS ts, e.gauge, e.counter
+  FROM asked a ASOF JOIN numbered_events e
+    ON a.event_type = e.event_type AND a.shard = e.shard AND a.tick >= e.ts
+  WHERE a.tick - e.ts <= INTERVAL 6 HOURS),
 hourly_sums AS (
   SELECT event_type, ts, sum(gauge) AS value, max(gauge) AS highest, count(*) AS series_count
   FROM hourly GROUP BY event_type, ts)"""
@@ -274,32 +297,52 @@ def _alerts_sql() -> str:
     breach = " ".join(f"WHEN alert = {_quoted(r[0])} THEN {r[5]}" for r in _RULES)
     severity = " ".join(f"WHEN {_quoted(r[0])} THEN {_quoted(r[1])}" for r in _RULES)
     holds = " ".join(f"WHEN {_quoted(r[0])} THEN {r[4]}" for r in _RULES)
-    grown = " ".join(
-        f"WHEN alert = {_quoted(a)} THEN sum(step) OVER (PARTITION BY i ORDER BY sec "
-        f"RANGE BETWEEN {w} PRECEDING AND CURRENT ROW)" + (f" / {w}" if kind == "rate" else "")
-        for a, _, kind, w, _, _ in _RULES
+    counters = ", ".join(
+        f"({_quoted(alert)}, {w * 1000}, {w if kind == 'rate' else 1})"
+        for alert, _, kind, w, _, _ in _RULES
         if kind != "value"
     )
     return f"""
 WITH raw AS (
-  SELECT event_id % 20 AS i, event_id // 20 AS s, CAST(floor(value) AS BIGINT) AS n FROM events),
+  SELECT event_id % 21 AS i, event_id // 21 AS s, CAST(floor(value) AS BIGINT) AS n,
+         event_id // 21 * 15000 + event_id % 21 * 7 % 15 * 1000 + event_id * 137 % 900 AS ms
+  FROM events
+  WHERE NOT (event_id % 21 = 8 AND event_id // 21 % 97 BETWEEN 50 AND 74)),
 uses(i, alert, role, grp) AS (VALUES {table}),
-valued AS (
-  SELECT u.*, r.s * 15 AS sec, CAST(CASE r.i {value} END AS DOUBLE) AS v
-  FROM raw r JOIN uses u ON u.i = r.i),
+windows(alert, w, per) AS (VALUES {counters}),
+sampled AS (SELECT i, ms, CAST(CASE i {value} END AS DOUBLE) AS v FROM raw),
+ticks AS (SELECT unnest(range(0, max(ms) + 960000, 15000)) AS t FROM raw),
 stepped AS (
-  SELECT *, coalesce(CASE WHEN v < lag(v) OVER w THEN v ELSE v - lag(v) OVER w END, 0) AS step
-  FROM valued WINDOW w AS (PARTITION BY i ORDER BY sec)),
-measured AS (SELECT *, CASE {grown} ELSE v END AS m FROM stepped),
+  SELECT *, lag(ms) OVER w AS since,
+         CASE WHEN v < lag(v) OVER w THEN v ELSE v - lag(v) OVER w END AS step
+  FROM sampled WINDOW w AS (PARTITION BY i ORDER BY ms)),
+asked AS (
+  SELECT u.*, t.t FROM uses u CROSS JOIN ticks t
+  WHERE u.alert NOT IN (SELECT alert FROM windows)),
+measured AS (
+  SELECT a.alert, a.role, a.grp, a.t, x.v AS m
+  FROM asked a ASOF JOIN sampled x ON a.i = x.i AND a.t >= x.ms
+  WHERE a.t - x.ms <= 300000
+  UNION ALL
+  SELECT u.alert, u.role, u.grp, t.t, sum(x.step) / any_value(d.per)
+  FROM windows d JOIN uses u ON u.alert = d.alert JOIN stepped x ON x.i = u.i
+  JOIN ticks t ON x.ms <= t.t AND x.since >= t.t - d.w
+  GROUP BY u.alert, u.role, u.grp, u.i, t.t),
+parts AS (
+  SELECT alert, grp, t, sum(m) FILTER (role = 'part') AS part, max(m) AS highest,
+         sum(m) FILTER (role = 'whole') AS whole
+  FROM measured GROUP BY alert, grp, t),
 grouped AS (
-  SELECT alert, grp, sec,
+  SELECT alert, grp, t,
          CASE alert WHEN 'TaskManager heap high'
-                    THEN sum(m) FILTER (role = 'part') / sum(m) FILTER (role = 'whole')
-                    WHEN 'Streaming source lag high' THEN max(m) ELSE sum(m) END AS value
-  FROM measured GROUP BY alert, grp, sec),
+                    THEN CASE WHEN whole <> 0 THEN part / whole
+                              WHEN whole = 0 AND part > 0 THEN CAST('inf' AS DOUBLE)
+                              WHEN whole = 0 AND part < 0 THEN CAST('-inf' AS DOUBLE) END
+                    WHEN 'Streaming source lag high' THEN highest ELSE part END AS value
+  FROM parts),
 sloped AS (
-  SELECT *, regr_slope(value, sec) OVER (PARTITION BY alert, grp ORDER BY sec
-              RANGE BETWEEN 600 PRECEDING AND CURRENT ROW) AS slope
+  SELECT *, regr_slope(value, t / 1000.0) OVER (PARTITION BY alert, grp ORDER BY t
+              RANGE BETWEEN 600000 PRECEDING AND CURRENT ROW) AS slope
   FROM grouped WHERE value IS NOT NULL),
 judged AS (
   SELECT *, coalesce(CASE {breach} END AND NOT (isnan(coalesce(slope, 0))
@@ -307,15 +350,15 @@ judged AS (
   FROM sloped),
 marked AS (
   SELECT *, CASE WHEN breach AND NOT (coalesce(lag(breach) OVER w, false)
-                                      AND sec - lag(sec) OVER w <= 15) THEN sec END AS opens
-  FROM judged WINDOW w AS (PARTITION BY alert, grp ORDER BY sec)),
+                                      AND t - lag(t) OVER w <= 15000) THEN t END AS opens
+  FROM judged WINDOW w AS (PARTITION BY alert, grp ORDER BY t)),
 held AS (
-  SELECT *, breach AND sec - max(opens) OVER (PARTITION BY alert, grp ORDER BY sec)
-                     >= (CASE alert {holds} END) AS firing
+  SELECT *, breach AND t - max(opens) OVER (PARTITION BY alert, grp ORDER BY t)
+                     >= (CASE alert {holds} END) * 1000 AS firing
   FROM marked)
 SELECT alert, CASE alert {severity} END AS severity, grp AS "group", count(*) AS evaluations,
        count(*) FILTER (breach) AS breaches, count(*) FILTER (firing) AS firings,
-       min(CASE WHEN firing THEN make_timestamp((1704067200 + sec) * 1000000) END)
+       min(CASE WHEN firing THEN make_timestamp((1704067200000 + t) * 1000) END)
          AS first_firing
 FROM held GROUP BY alert, grp"""
 
@@ -347,6 +390,18 @@ _FACT_COLUMNS = """match_id, map_name, match_duration_seconds, started_at, ended
   winning_team, player_id, account_name, team, hero_played, kills, deaths, healing, result,
   rank_tier_at_match_start, rank_division_at_match_start, rank_points_at_match_start"""
 
+def _growth(seconds: int, columns: str) -> str:
+    return _with(
+        SAMPLES,
+        then=f"""SELECT event_type, shard, ts, {columns} FROM (
+  SELECT a.event_type, a.shard, a.ts, a.counter, sum(b.step) AS increase
+  FROM steps a LEFT JOIN steps b
+    ON a.event_type = b.event_type AND a.shard = b.shard AND b.ts <= a.ts
+    AND b.since >= a.ts - INTERVAL {seconds} SECONDS
+  GROUP BY ALL)""",
+    )
+
+
 _HEROES = """SELECT hero_played,
   round(100 * avg(CASE WHEN result = 'win' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 1) AS win_rate,
   round(avg(kills::DOUBLE), 2) AS avg_kills, round(avg(deaths::DOUBLE), 2) AS avg_deaths
@@ -450,7 +505,12 @@ ORACLES: dict[str, str] = {
     "cdc_drop_deletes": _log("SELECT topic, \"offset\", fate FROM log WHERE fate <> 'delete'"),
     "cdc_rejects": _log(
         'SELECT topic, "offset", fate AS reason FROM log '
-        "WHERE fate IN ('malformed', 'missing_field')"
+        "WHERE fate IN ('malformed', 'missing_field', 'bad_value')"
+    ),
+    "decode_after_rejects": _log(
+        "SELECT topic, count(*) FILTER (fate = 'row') AS decoded, "
+        "count(*) FILTER (fate <> 'row') AS rejected "
+        "FROM log WHERE fate <> 'delete' GROUP BY topic"
     ),
     "decode_match_event": _with(MATCHES, then="SELECT * FROM match_events"),
     "decode_participant": _with(MATCHES, then="SELECT * FROM match_participants"),
@@ -475,9 +535,9 @@ ORACLES: dict[str, str] = {
         MATCHES,
         RANKS,
         ARRIVALS,
-        then=f"SELECT * EXCLUDE (arrival, rn), {_MS.format('arrival')} AS arrival_ts FROM ("
-        "SELECT *, row_number() OVER (PARTITION BY id ORDER BY arrival DESC) AS rn "
-        "FROM player_log) WHERE rn = 1",
+        then=f"SELECT * EXCLUDE (arrival, \"offset\", rn), {_MS.format('arrival')} AS arrival_ts "
+        'FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY arrival DESC, "offset" DESC) '
+        "AS rn FROM player_log) WHERE rn = 1",
     ),
     "rank_history": _with(
         PLAYERS,
@@ -489,7 +549,7 @@ ORACLES: dict[str, str] = {
         "ORDER BY arrival DESC, seq DESC) AS rn FROM rank_log) WHERE rn = 1",
     ),
     "quiet_sessions": _replay(
-        "participant_log",
+        "arrived",
         then=f"SELECT match_id, {_MS.format('first_ms')} AS session_start, "
         f"{_MS.format('fire_ms')} AS fired_at, participants, events, complete FROM sessions",
     ),
@@ -578,7 +638,12 @@ ON p.match_id = e.id""",
     ),
     "constraint_report": _constraints_sql(),
     "fk_violations": _references_sql(),
-    "roster_quality": _facts(
+    "roster_quality": _replay(
+        "arrived",
+        then="SELECT count(*) FILTER (complete) AS complete, "
+        "count(*) FILTER (NOT complete) AS incomplete FROM sessions",
+    ),
+    "final_roster_quality": _facts(
         """SELECT count(*) FILTER (n = 12 AND has_event) AS complete,
   count(*) FILTER (NOT (n = 12 AND has_event)) AS incomplete
 FROM (SELECT coalesce(r.n, 0) AS n, e.id IS NOT NULL AS has_event
@@ -606,17 +671,8 @@ FROM (SELECT coalesce(r.n, 0) AS n, e.id IS NOT NULL AS has_event
         "FROM numbered_events WHERE shard = '1' "
         "AND (event_type LIKE 'c%' OR event_type LIKE '%w')",
     ),
-    "metric_increase": _with(
-        SAMPLES,
-        then="SELECT event_type, shard, ts, counter AS value, "
-        f"sum(step) OVER ({_BY_SERIES.format('86400 SECONDS')}) AS increase FROM steps",
-    ),
-    "metric_rate": _with(
-        SAMPLES,
-        then="SELECT event_type, shard, ts, "
-        f"round(sum(step) OVER ({_BY_SERIES.format('3600 SECONDS')}) / 3600, 9) AS rate "
-        "FROM steps",
-    ),
+    "metric_increase": _growth(86400, "counter AS value, increase"),
+    "metric_rate": _growth(3600, "round(increase / 3600, 9) AS rate"),
     "metric_deriv": _with(
         SAMPLES,
         then="SELECT event_type, shard, ts, CASE WHEN n >= 2 THEN round(m, 8) END AS slope FROM ("
@@ -631,8 +687,9 @@ FROM (SELECT coalesce(r.n, 0) AS n, e.id IS NOT NULL AS has_event
     "metric_ratio": _with(
         SAMPLES,
         then="""SELECT concat('[{"key":"event_type","value":"', event_type,
-  '"},{"key":"shard","value":"', shard, '"}]') AS series, ts, round(counter / gauge, 6) AS value
-FROM hourly WHERE gauge <> 0 AND counter / gauge > 0.8""",
+  '"},{"key":"shard","value":"', shard, '"}]') AS series, ts, round(ratio, 6) AS value
+FROM (SELECT *, CASE WHEN gauge <> 0 THEN counter / gauge WHEN counter > 0
+                     THEN CAST('inf' AS DOUBLE) END AS ratio FROM hourly) WHERE ratio > 0.8""",
     ),
     "alert_lag_climbing": _with(
         SAMPLES,
@@ -646,8 +703,10 @@ FROM hourly WHERE gauge <> 0 AND counter / gauge > 0.8""",
         SAMPLES,
         """marked AS (
   SELECT *, gauge > 5 AS high,
-         CASE WHEN gauge > 5 AND NOT coalesce(lag(gauge > 5) OVER w, false) THEN ts END AS opens
-  FROM numbered_events WINDOW w AS (PARTITION BY event_type, shard ORDER BY ts))""",
+         CASE WHEN gauge > 5 AND NOT (coalesce(lag(gauge > 5) OVER w, false)
+                                      AND ts - lag(ts) OVER w <= INTERVAL 1 HOUR)
+              THEN ts END AS opens
+  FROM hourly WINDOW w AS (PARTITION BY event_type, shard ORDER BY ts))""",
         then="""SELECT event_type, shard, ts, gauge AS value,
   CASE WHEN NOT high THEN 'inactive'
        WHEN ts - max(opens) OVER (PARTITION BY event_type, shard ORDER BY ts)

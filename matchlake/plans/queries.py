@@ -81,6 +81,22 @@ def cdc_rejects(t: Inputs) -> DataFrame:
     ).select("topic", "offset", "reason")
 
 
+@query
+def decode_after_rejects(t: Inputs) -> DataFrame:
+    """Rows per table that decode to typed rows, next to those left out."""
+    return reports.union_all(
+        [
+            cdc.drop_deletes(cdc.unwrap(t.cdc_log(table), table))
+            .groupBy("topic")
+            .agg(
+                F.count_if(F.col("fate") == "row").alias("decoded"),
+                F.count_if(F.col("fate") != "row").alias("rejected"),
+            )
+            for table in cdc.PUBLISHED
+        ]
+    )
+
+
 def _decoded(t: Inputs, table: str) -> DataFrame:
     return cdc.decode(cdc.of_table(t.cdc_log(table), table), table)
 
@@ -165,7 +181,7 @@ def match_facts(t: Inputs) -> DataFrame:
 
 @query
 def latest_player(t: Inputs) -> DataFrame:
-    rows = latest(t.player_log, ["id"], ["arrival_ts"])
+    rows = latest(t.player_log, ["id"], ["arrival_ts", "offset"]).drop("offset")
     return _clocks(rows, "created_at", "deleted_at").withColumn(
         "arrival_ts", wall_clock(F.col("arrival_ts"))
     )
@@ -173,7 +189,7 @@ def latest_player(t: Inputs) -> DataFrame:
 
 @query
 def rank_history_(t: Inputs) -> DataFrame:
-    rows = asof.history(t.rank_log, ["arrival_ts", "seq"])
+    rows = asof.history(t.rank_log, ["arrival_ts", "seq"]).drop("offset")
     return _clocks(rows, "updated_at", "arrival_ts")
 
 
@@ -190,8 +206,13 @@ def _session_times(sessions: DataFrame) -> DataFrame:
 
 @query
 def quiet_sessions(t: Inputs) -> DataFrame:
-    arrivals = replay.match_arrivals(t.participant_log, t.event_log, hot=t.hot_matches)
-    return _session_times(replay.quiet_sessions(arrivals))
+    return _session_times(_sessions(t))
+
+
+def _sessions(t: Inputs) -> DataFrame:
+    looked = replay.lookup_on_arrival(t.participant_log, t.player_log, t.hot_players)
+    arrivals = replay.match_arrivals(looked, t.event_log, hot=t.hot_matches)
+    return replay.quiet_sessions(arrivals)
 
 
 @query
@@ -326,6 +347,11 @@ def fk_violations(t: Inputs) -> DataFrame:
 
 @query
 def roster_quality(t: Inputs) -> DataFrame:
+    return quality.session_quality(_sessions(t))
+
+
+@query
+def final_roster_quality(t: Inputs) -> DataFrame:
     return quality.roster_quality(_looked(t), t.match_events)
 
 
@@ -398,8 +424,12 @@ def metric_deriv(t: Inputs) -> DataFrame:
     return _labelled(fitted, F.round("slope", 8).alias("slope"))
 
 
+def _hourly(t: Inputs, name: str) -> DataFrame:
+    return metrics.on_grid(_series(t, name), HOUR, 6 * HOUR)
+
+
 def _hourly_sums(t: Inputs) -> DataFrame:
-    return metrics.sum_by(metrics.at_steps(_series(t, GAUGE), HOUR), ["event_type"])
+    return metrics.sum_by(_hourly(t, GAUGE), ["event_type"])
 
 
 @query
@@ -415,10 +445,8 @@ def metric_sum_by(t: Inputs) -> DataFrame:
 
 @query
 def metric_ratio(t: Inputs) -> DataFrame:
-    part = metrics.at_steps(_series(t, COUNTER), HOUR)
-    whole = metrics.at_steps(_series(t, GAUGE), HOUR)
     return (
-        metrics.metric_ratio(part, whole)
+        metrics.metric_ratio(_hourly(t, COUNTER), _hourly(t, GAUGE))
         .where("value > 0.8")
         .select(
             "series",
@@ -442,8 +470,12 @@ def alert_lag_climbing(t: Inputs) -> DataFrame:
 
 @query
 def alert_hold(t: Inputs) -> DataFrame:
+    """Above 5 for twelve hours on end, looked at each hour."""
     gauge = _series(t, GAUGE)
-    held = metrics.hold(gauge, F.col("value") > 5, DAY // 2, hot=_hot_series(t, gauge))
+    ticks = metrics.on_grid(gauge, HOUR, 6 * HOUR, hot=_hot_series(t, gauge))
+    held = metrics.hold(
+        ticks, F.col("value") > 5, DAY // 2, max_gap_seconds=HOUR, hot=_hot_series(t, ticks)
+    )
     return _labelled(held, "value", "state")
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,8 @@ TOPIC_PREFIX = "dbserver1.public."
 PUBLISHED = ["players", "ranks", "match_events", "match_participants"]
 
 LOG_SCHEMA = "topic string, `offset` bigint, arrival_ts timestamp, value string"
+# An instant has a date, a time and a zone; a bare time or date names none.
+INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -97,12 +100,14 @@ def of_table(log: DataFrame, table: str) -> DataFrame:
 # --- encoding ----------------------------------------------------------------
 
 
-def envelope(table: str, keep_nulls: bool = True) -> Column:
-    """The envelope of a typed row of ``table``."""
+def envelope(
+    table: str, keep_nulls: bool = True, instead: Mapping[str, Column] | None = None
+) -> Column:
+    """The envelope of a typed row of ``table``; ``instead`` replaces values of fields."""
     fields = []
     for f in struct(TABLES[table]).fields:
-        value = F.col(f.name)
-        if isinstance(f.dataType, T.TimestampType):
+        value = (instead or {}).get(f.name, F.col(f.name))
+        if f.name not in (instead or {}) and isinstance(f.dataType, T.TimestampType):
             value = F.date_format(value, TIME_FORMAT)
         fields.append(value.alias(f.name))
     wrapped = F.struct(F.struct(F.struct(*fields).alias("after")).alias("payload"))
@@ -115,8 +120,9 @@ def envelope(table: str, keep_nulls: bool = True) -> Column:
 def unwrap(log: DataFrame, table: str) -> DataFrame:
     """Parse each record once: adds ``after`` (all text) and ``fate``.
 
-    ``fate`` is row, delete, malformed or missing_field. The row image is taken from the
-    payload, or from the top level where the log was written without a payload.
+    ``fate`` is row, delete, malformed, missing_field or bad_value: text in any field, nullable
+    or not, that is no value of the field's type. The row image is taken from the payload, or
+    from the top level where the log was written without a payload.
     """
     fields = struct(TABLES[table]).fieldNames()
     image = T.StructType([T.StructField(f, T.StringType()) for f in fields])
@@ -134,10 +140,8 @@ def unwrap(log: DataFrame, table: str) -> DataFrame:
     opened = log.withColumn("_parsed", F.explode(F.array(parsed)))
     opened = opened.withColumn("after", F.coalesce("_parsed.payload.after", "_parsed.after"))
     typed = _typed(F.col("after"), table, "null")
-    required = [typed[f].isNull() for f in fields if f not in NULLABLE[table]]
-    incomplete = required[0]
-    for missing in required[1:]:
-        incomplete = incomplete | missing
+    incomplete = _any(F.col("after")[f].isNull() for f in fields if f not in NULLABLE[table])
+    unreadable = _any(F.col("after")[f].isNotNull() & typed[f].isNull() for f in fields)
     names = F.json_object_keys("value")
     enveloped = F.array_contains(names, "payload") | F.array_contains(names, "after")
     fate = (
@@ -147,12 +151,17 @@ def unwrap(log: DataFrame, table: str) -> DataFrame:
             F.col("after").isNull(),
             F.when(F.coalesce(enveloped, F.lit(False)), "delete").otherwise("malformed"),
         )
+        .when(unreadable, "bad_value")
         .when(incomplete, "missing_field")
         .otherwise("row")
     )
     return opened.withColumn("fate", fate).drop("_parsed")
 
 
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(Column.__or__, conditions)
+
+
 def drop_deletes(unwrapped: DataFrame) -> DataFrame:
     """Deletes carry no new row image and never retract anything."""
     return unwrapped.where(F.col("fate") != "delete")
@@ -193,7 +202,7 @@ def rejects(log: DataFrame, table: str) -> DataFrame:
     """The records ``decode`` leaves out as bad, with the reason."""
     return (
         unwrap(log, table)
-        .where(F.col("fate").isin("malformed", "missing_field"))
+        .where(F.col("fate").isin("malformed", "missing_field", "bad_value"))
         .select("topic", "offset", F.col("fate").alias("reason"), "value")
     )
 
@@ -211,7 +220,7 @@ def _scalar(text: Column, f: T.StructField, null_text: str) -> Column:
         literal = null_text == "literal" and f.name != "result"
         return F.coalesce(text, F.lit("null")) if literal else text
     if isinstance(f.dataType, T.TimestampType):
-        return text.try_cast("timestamp")
+        return F.when(text.rlike(INSTANT), text.try_cast("timestamp"))
     flag = F.when(text == "true", 1).when(text == "false", 0)
     whole = F.coalesce(
         text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"), flag

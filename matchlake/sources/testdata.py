@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.functions.ranks import ROSTER_SIZE
@@ -24,6 +24,7 @@ from matchlake.session import use_utc
 from matchlake.sources.cdc import PUBLISHED, envelope, topic
 
 CYCLE_MS = 20_000
+UNKNOWN = 1_000_000_000
 
 
 @dataclass(frozen=True)
@@ -52,11 +53,11 @@ class Inputs:
 
     @cached_property
     def players(self) -> DataFrame:
-        solvent = self.read("customer").where("c_acctbal > 0")
+        customers = self.read("customer")
         key = F.col("c_custkey")
         created = F.timestamp_seconds(F.lit(1_672_531_200) + key * 60)
         closed = key % 10 == 0
-        return solvent.select(
+        return customers.select(
             key.alias("id"),
             F.col("c_name").alias("account_name"),
             F.concat("c_name", F.lit("@mail.test")).alias("email"),
@@ -110,7 +111,7 @@ class Inputs:
         return self.events.select(
             key.alias("id"),
             "match_id",
-            F.col("user_id").alias("player_id"),
+            player_of(F.col("user_id")).alias("player_id"),
             team.alias("team"),
             F.concat("event_type", F.lit("_"), (key % 10).cast("string")).alias(
                 "hero_played"
@@ -158,22 +159,33 @@ class Inputs:
 
     @cached_property
     def player_log(self) -> DataFrame:
-        """First versions early on; a renamed second version for even ids later."""
+        """First versions early on; another name for even ids later."""
         key = F.col("id")
-        first = F.struct(
-            ((key * 7919) % 600_000).alias("arrival_ms"), F.col("account_name").alias("name")
-        )
-        second = F.struct(
-            (9_000_000 + key).alias("arrival_ms"),
-            F.concat("account_name", F.lit("#2")).alias("name"),
+        at = (key * 7919) % 600_000
+
+        def version(n: int, arrival_ms: Column) -> Column:
+            name = F.col("account_name") if n == 0 else F.concat("account_name", F.lit(f"#{n}"))
+            return F.struct(
+                arrival_ms.alias("arrival_ms"),
+                (key * 4 + n).cast("bigint").alias("offset"),
+                name.alias("name"),
+            )
+
+        # Every third player is renamed within the millisecond of the first version.
+        versions = F.array_compact(
+            F.array(
+                version(0, at),
+                F.when(key % 3 == 0, version(1, at)),
+                F.when(key % 2 == 0, version(2, 9_000_000 + key)),
+            )
         )
-        versions = F.when(key % 2 == 0, F.array(first, second)).otherwise(F.array(first))
         return (
             self.players.withColumn("_v", F.explode(versions))
             .withColumns(
                 {
                     "account_name": F.col("_v.name"),
                     "arrival_ts": from_ms(F.col("_v.arrival_ms")),
+                    "offset": F.col("_v.offset"),
                 }
             )
             .drop("_v")
@@ -183,37 +195,50 @@ class Inputs:
     def participant_log(self) -> DataFrame:
         key = F.col("id")
         arrival = F.col("match_id") * CYCLE_MS + (key * key * 31 + key * 7919) % 9000
-        return self.match_participants.withColumn("arrival_ts", from_ms(arrival))
+        return self.match_participants.withColumns(
+            {"arrival_ts": from_ms(arrival), "offset": key}
+        )
 
     @cached_property
     def event_log(self) -> DataFrame:
-        return self.match_events.withColumn(
-            "arrival_ts", from_ms(F.col("id") * CYCLE_MS + 6000)
+        """Match events; every fifth one is written twice within its millisecond."""
+        key = F.col("id")
+        again = F.struct(
+            (key * 2 + 1).alias("offset"), F.concat("map_name", F.lit("#1")).alias("map_name")
         )
+        once = F.struct((key * 2).alias("offset"), F.col("map_name"))
+        versions = F.array_compact(F.array(once, F.when(key % 5 == 0, again)))
+        return self.match_events.withColumn("_v", F.explode(versions)).withColumns(
+            {
+                "map_name": F.col("_v.map_name"),
+                "offset": F.col("_v.offset"),
+                "arrival_ts": from_ms(key * CYCLE_MS + 6000),
+            }
+        ).drop("_v")
 
     @cached_property
     def rank_log(self) -> DataFrame:
         seq = F.col("seq")
         arrival = floor_div(seq, ROSTER_SIZE) * CYCLE_MS + 9000 + (seq % 23) * 2000
-        return self.ranks.withColumn("arrival_ts", from_ms(arrival))
+        return self.ranks.withColumns({"arrival_ts": from_ms(arrival), "offset": seq})
 
     @cached_property
     def arrival_log(self) -> DataFrame:
         """The four logs above as change records with their arrival times."""
         logs = {
-            "players": (self.player_log, "id"),
-            "match_participants": (self.participant_log, "id"),
-            "match_events": (self.event_log, "id"),
-            "ranks": (self.rank_log, "seq"),
+            "players": self.player_log,
+            "match_participants": self.participant_log,
+            "match_events": self.event_log,
+            "ranks": self.rank_log,
         }
         parts = [
             log.select(
                 F.lit(topic(table)).alias("topic"),
-                F.col(key).alias("offset"),
+                "offset",
                 "arrival_ts",
                 envelope(table).alias("value"),
             )
-            for table, (log, key) in logs.items()
+            for table, log in logs.items()
         ]
         return reduce(DataFrame.unionByName, parts)
 
@@ -222,8 +247,9 @@ class Inputs:
     def cdc_log(self, *tables: str) -> DataFrame:
         """Tables as change records, with deletes, tombstones and bad records.
 
-        A row with key k owns the offsets 5k (the row), 5k+1 (a delete), 5k+2 (a tombstone),
-        5k+3 (cut-off text) and 5k+4 (a row image without its required columns).
+        A row with key k owns the offsets 6k (the row), 6k+1 (a delete), 6k+2 (a tombstone),
+        6k+3 (cut-off text), 6k+4 (a row image without its required columns) and 6k+5 (a field
+        whose text is no value of its type).
         """
         parts = [
             _change_records(getattr(self, table), table, "seq" if table == "ranks" else "id")
@@ -277,7 +303,11 @@ class Inputs:
 
     @cached_property
     def alert_samples(self) -> DataFrame:
-        """Twenty series scraped every 15 seconds, twenty events to a scrape."""
+        """Series scraped about every 15 seconds, one event to a scrape of a series.
+
+        Every series has a second of its own within the scrape, and each scrape drifts by less
+        than another one. Series ``GAPPY`` misses 25 scrapes of each 97.
+        """
         n = len(ALERT_SERIES)
         scrape = floor_div(F.col("event_id"), n)
         table = F.array(
@@ -297,13 +327,22 @@ class Inputs:
         value = F.when(which == 0, values[0])
         for i in range(1, n):
             value = value.when(which == i, values[i])
-        return self.events.select(
-            F.get(table, which.cast("int")).alias("s"),
-            F.timestamp_seconds(F.lit(1_704_067_200) + scrape * 15).alias("ts"),
-            value.alias("value"),
-        ).select("s.*", "ts", "value")
+        drift = which * 7 % 15 * 1000 + F.col("event_id") * 137 % 900
+        at = F.lit(1_704_067_200_000) + scrape * 15_000 + drift
+        missed = (which == GAPPY) & (scrape % 97).between(50, 74)
+        return (
+            self.events.where(~missed)
+            .select(
+                F.get(table, which.cast("int")).alias("s"),
+                F.timestamp_millis(at).alias("ts"),
+                value.alias("value"),
+            )
+            .select("s.*", "ts", "value")
+        )
 
 
+# The series of checkpoint durations, whose target is down at times.
+GAPPY = 8
 GAUGE = "session_value"
 COUNTER = "session_total"
 
@@ -322,17 +361,17 @@ ALERT_SERIES = [
     ),
     (
         "kafka_consumergroup_lag",
-        {"topic": "dbserver1.public.match_events", "partition": "0"},
+        {"topic": "dbserver1.public.match_events", "partition": "0", "consumergroup": "facts"},
         lambda s, n: s % 200 * 100 + n,
     ),
     (
         "kafka_consumergroup_lag",
-        {"topic": "dbserver1.public.ranks", "partition": "0"},
+        {"topic": "dbserver1.public.ranks", "partition": "0", "consumergroup": "facts"},
         lambda s, n: s % 200 * 50 + n,
     ),
     (
         "kafka_consumergroup_lag",
-        {"topic": "dbserver1.public.match_events", "partition": "1"},
+        {"topic": "dbserver1.public.match_events", "partition": "1", "consumergroup": "facts"},
         lambda s, n: n,
     ),
     (
@@ -407,27 +446,47 @@ ALERT_SERIES = [
     ),
     (
         "kafka_consumergroup_lag",
-        {"topic": "audit", "partition": "0"},
+        {"topic": "audit", "partition": "0", "consumergroup": "facts"},
         lambda s, n: s * 1000,
     ),
     ("up", {"job": "kafka"}, lambda s, n: F.lit(1)),
+    (
+        "kafka_consumergroup_lag",
+        {"topic": "dbserver1.public.players", "partition": "0", "consumergroup": "other"},
+        lambda s, n: s * 1000,
+    ),
 ]
 
 
+#: A field of each table, nullable or not, with text that is no value of its type.
+BAD_VALUES = {
+    "players": ("deleted_at", "garbage"),
+    "ranks": ("updated_at", "10:00"),
+    "match_events": ("started_at", "2026-01-15"),
+    "match_participants": ("kills", "abc"),
+}
+
+
+def player_of(user: Column) -> Column:
+    """Every eleventh user is no known player."""
+    return F.when(user % 11 == 0, user + UNKNOWN).otherwise(user)
+
+
 def _change_records(df: DataFrame, table: str, key: str) -> DataFrame:
     k, name = F.col(key), KEYS[table]
-    every = [(0, 1), (1, 50), (2, 61), (3, 97), (4, 89)]
+    every = [(0, 1), (1, 50), (2, 61), (3, 97), (4, 89), (5, 83)]
     kinds = F.array(*[F.when(k % n == 0, kind) for kind, n in every])
     whole = F.when(k % 2 == 0, envelope(table)).otherwise(envelope(table, keep_nulls=False))
     text = k.cast("string")
     kind = F.col("kind")
     return df.withColumn("kind", F.explode(F.array_compact(kinds))).select(
         F.lit(topic(table)).alias("topic"),
-        (k * 5 + kind).alias("offset"),
+        (k * len(every) + kind).alias("offset"),
         F.when(kind == 0, whole)
         .when(kind == 1, '{"payload":{"after":null}}')
         .when(kind == 3, F.concat(F.lit('{"payload":{"after":{"id":'), text))
         .when(kind == 4, F.concat(F.lit(f'{{"payload":{{"after":{{"{name}":'), text, F.lit("}}}")))
+        .when(kind == 5, envelope(table, instead={f: F.lit(v) for f, v in [BAD_VALUES[table]]}))
         .alias("value"),
     )
 

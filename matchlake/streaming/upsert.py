@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +45,15 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
     """Fold everything written so far into a new base; earlier folders are no longer read."""
     upto = spark.read.parquet(f"{path}/changes").agg(F.max("batch")).first()[0]
     if upto is not None and upto != _newest_base(spark, path):
-        current_rows(spark, path, keys, order).write.parquet(f"{path}/base/upto={upto}")
+        rows = current_rows(spark, path, keys, order)
+        # What a crash left of this base was not committed, so it is replaced.
+        rows.write.mode("overwrite").parquet(f"{path}/base/upto={upto}")
 
 
 def _newest_base(spark: SparkSession, path: str) -> int | None:
-    try:
-        return spark.read.parquet(f"{path}/base").agg(F.max("upto")).first()[0]
-    except AnalysisException:
-        return None
+    """The last base whose write was committed; a crash may leave parts of a later one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    marks = hadoop.Path(f"{path}/base/upto=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    names = [mark.getPath().getParent().getName() for mark in found or []]
+    return max((int(name.removeprefix("upto=")) for name in names), default=None)

@@ -9,7 +9,7 @@ from matchlake.functions.ranks import rank_division, rank_tier, ratio
 from matchlake.operators import asof, joins, metrics, rank_history, replay
 from matchlake.operators.joins import fact_rows
 from matchlake.operators.versions import latest
-from matchlake.plans import reports
+from matchlake.plans import alerts, reports
 from matchlake.plans.match_facts import facts_from_logs, ranked_facts
 from matchlake.schemas import (
     FACT_COLUMNS,
@@ -187,20 +187,24 @@ def test_roster_size_is_a_parameter(spark):
 # 8-11, 23, 24: arrival against final
 
 
+def arriving(df, at, offset=0):
+    return df.withColumns({"arrival_ts": F.lit(ms(at)), "offset": F.lit(offset).cast("bigint")})
+
+
 class Log:
     """A small arrival log: players, participants, events and ranks with their arrivals."""
 
     def __init__(self, spark, people=range(12), at=None, player_at=0, event_at=(100,)):
         at = at or {}
         self.spark = spark
-        self.players = players(spark, people).withColumn("arrival_ts", F.lit(ms(player_at)))
+        self.players = arriving(players(spark, people), player_at)
         arrivals = [(100 + i, ms(at.get(i, 50))) for i in people]
         self.participants = participants(spark, people).join(
             spark.createDataFrame(arrivals, "id bigint, arrival_ts timestamp"), "id"
-        )
+        ).withColumn("offset", F.col("id"))
         self.events = None
         for n, when in enumerate(event_at):
-            one = events(spark, name=f"map{n}").withColumn("arrival_ts", F.lit(ms(when)))
+            one = arriving(events(spark, name=f"map{n}"), when, n)
             self.events = one if self.events is None else self.events.unionByName(one)
         self.ranks = ranks(spark).withColumn("arrival_ts", F.lit(ms(0)))
 
@@ -209,9 +213,9 @@ class Log:
 
     def final(self):
         return ranked_facts(
-            latest(self.players, ["id"], ["arrival_ts"]).drop("arrival_ts"),
-            self.participants.drop("arrival_ts"),
-            latest(self.events, ["id"], ["arrival_ts"]).drop("arrival_ts"),
+            latest(self.players, ["id"], ["arrival_ts", "offset"]).drop("arrival_ts", "offset"),
+            self.participants.drop("arrival_ts", "offset"),
+            latest(self.events, ["id"], ["arrival_ts", "offset"]).drop("arrival_ts", "offset"),
             self.ranks,
             "seq",
         )
@@ -247,12 +251,27 @@ def test_last_event_version_of_the_session(spark):
 def test_renamed_player(spark):
     log = Log(spark)
     log.players = log.players.unionByName(
-        players(spark, range(12), "renamed{}").withColumn("arrival_ts", F.lit(ms(9000)))
+        arriving(players(spark, range(12), "renamed{}"), 9000, 1)
     )
     assert {r.account_name[:1] for r in log.replayed().collect()} == {"p"}
     assert {r.account_name[:7] for r in log.final().collect()} == {"renamed"}
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_one_millisecond_is_ordered_by_offset(spark, turned):
+    """Two versions of a player and of an event arrive at once, in any order of rows."""
+    log = Log(spark)
+    names = [arriving(players(spark, range(12), x), 0, n) for n, x in enumerate(("old{}", "new{}"))]
+    maps = [arriving(events(spark, name=x), 100, n) for n, x in enumerate(("old", "new"))]
+    for versions in (names, maps):
+        if turned:
+            versions.reverse()
+    log.players, log.events = (a.unionByName(b).coalesce(1) for a, b in (names, maps))
+    rows = log.replayed().collect()
+    assert {r.account_name[:3] for r in rows} == {r.map_name for r in rows} == {"new"}
+    assert {r.account_name[:3] for r in log.final().collect()} == {"new"}
+
+
 def test_rank_after_the_fire_time(spark):
     log = Log(spark)
     rows = [(i, "gold", 2, 900, ms(-10), 1) for i in range(12)]
@@ -340,7 +359,16 @@ def test_record_without_payload(spark):
     assert cdc.decode(log_of(spark, record(inner)), "players").first().id == 7
 
 
-BAD = ['{"payload":{"after":{"id"', '{"payload":{"after":{"id":1}}}', "{}", PLAYER % '"seven"']
+BAD = [
+    '{"payload":{"after":{"id"',
+    '{"payload":{"after":{"id":1}}}',
+    "{}",
+    PLAYER % '"seven"',
+    (PLAYER % 8).replace('"active"', '"active","deleted_at":"garbage"'),
+    (PLAYER % 8).replace("2026-01-15T12:00:00Z", "10:00"),
+    (PLAYER % 8).replace("2026-01-15T12:00:00Z", "2026-01-15"),
+    (PLAYER % 8).replace("2026-01-15T12:00:00Z", "2026-01-15T12:00:00"),
+]
 
 
 @pytest.mark.parametrize("text", BAD)
@@ -352,6 +380,40 @@ def test_bad_records(spark, text):
         cdc.decode(log, "players", on_error="fail").collect()
 
 
+@pytest.mark.parametrize("extra", [',"kills":"abc"', ',"healing":"1e999"', ',"deaths":[1]'])
+def test_bad_values_of_nullable_fields(spark, extra):
+    log = log_of(spark, record(PART % (1, 2, extra), "match_participants"))
+    assert cdc.decode(log, "match_participants").count() == 0
+    assert [r.reason for r in cdc.rejects(log, "match_participants").collect()] == ["bad_value"]
+    with pytest.raises(Exception, match="bad match_participants record"):
+        cdc.decode(log, "match_participants", on_error="fail").collect()
+
+
+@pytest.mark.parametrize("zone", ["Z", "+00:00", ".123Z"])
+def test_instants_have_a_zone(spark, zone):
+    text = (PLAYER % 7).replace("00Z", f"00{zone}")
+    created = cdc.decode(log_of(spark, record(text)), "players").first().created_at
+    assert created.replace(microsecond=0) == T0
+
+
+@pytest.mark.parametrize("first", [0, 2**20 - 1])
+def test_rank_versions_of_one_millisecond_follow_their_offsets(spark, first):
+    rank = (
+        '{"payload":{"after":{"player_id":3,"rank_tier":"gold","rank_division":2,'
+        '"rank_points":%s,"wins":1,"losses":0,"updated_at":"2026-01-15T12:00:00Z"}}}'
+    )
+    log = log_of(
+        spark,
+        *[record(PLAYER % i, offset=i) for i in range(12)],
+        record(EVENT % (42, '"Klyntar"'), "match_events"),
+        *[record(PART % (i, i, ""), "match_participants", offset=i) for i in range(12)],
+        record(rank % 900, "ranks", first + 1),
+        record(rank % 100, "ranks", first),
+    )
+    points = {r.player_id: r[RANK[2]] for r in facts_from_logs(log).collect()}
+    assert points[3] == 900
+
+
 def test_only_published_tables(spark):
     log = log_of(spark, record(PLAYER % 7), ("dbserver1.public.secrets", 0, T0, "x"))
     assert cdc.published(log).count() == 1
@@ -439,10 +501,81 @@ def series(spark, values, step=15, name="m"):
 
 def test_increase_over_a_restart(spark):
     grown = metrics.increase(series(spark, [5.0, 9.0, 2.0, 4.0]), 60).orderBy("pos").collect()
-    assert [r.increase for r in grown] == [0.0, 4.0, 6.0, 8.0]
+    assert [r.increase for r in grown] == [None, 4.0, 6.0, 8.0]
     assert grown[-1].rate == 8.0 / 60
 
 
+def test_increase_does_not_count_growth_from_before_the_window(spark):
+    rows = [("m", {"a": "b"}, T0 + timedelta(seconds=s), v) for s, v in [(0, 0.0), (36_000, 50.0)]]
+    ddl = "name string, labels map<string,string>, ts timestamp, value double"
+    gap = metrics.with_series(spark.createDataFrame(rows, ddl))
+    assert [r.increase for r in metrics.increase(gap, 900).orderBy("pos").collect()] == [None, None]
+    assert metrics.increase(gap, 36_000).orderBy("pos").collect()[1].increase == 50.0
+
+
+def at_instants(spark, rows, name="m"):
+    """Samples of (label value, milliseconds, value)."""
+    ddl = "name string, labels map<string,string>, ts timestamp, value double"
+    full = [(name, {"a": a}, T0 + timedelta(milliseconds=t), float(v)) for a, t, v in rows]
+    return metrics.with_series(spark.createDataFrame(full, ddl))
+
+
+def test_grid_has_the_last_sample_within_the_lookback(spark):
+    grid = metrics.on_grid(at_instants(spark, [("x", 1, 1), ("x", 15_000, 2), ("x", 700_001, 3)]))
+    start = int(T0.timestamp())
+    got = [(r.pos // metrics.SECOND - start, r.value) for r in grid.orderBy("pos").collect()]
+    assert got[:2] == [(15, 2.0), (30, 2.0)]
+    assert got[20:22] == [(315, 2.0), (705, 3.0)]
+    assert len(got) == 21 + 20
+
+
+def test_series_scraped_apart_add_up(spark):
+    rows = [(a, 15_000 * i + off, 150) for i in range(8) for a, off in (("x", 0), ("y", 5000))]
+    grid = metrics.on_grid(at_instants(spark, rows), lookback_seconds=14)
+    sums = metrics.sum_by(grid, []).orderBy("pos").collect()
+    assert [(r.value, r.series_count) for r in sums][1:] == [(300.0, 2)] * 7 + [(150.0, 1)]
+
+
+def test_ratio_by_zero_is_infinite(spark):
+    rows = [("x", 0, 5), ("y", 0, 0), ("z", 0, 6)]
+    part = at_instants(spark, rows)
+    whole = at_instants(spark, [("x", 0, 0), ("y", 0, 0), ("z", 0, 2)])
+    got = {r.series[-4]: r.value for r in metrics.metric_ratio(part, whole).collect()}
+    assert got == {"x": float("inf"), "y": None, "z": 3.0}
+
+
+SLOT = "pg_debezium_slot_active"
+
+
+@pytest.mark.parametrize("drift", [0, 7])
+def test_page_is_not_lost_to_drifting_scrapes(spark, drift):
+    samples = at_instants(spark, [("x", i * (15_000 + drift), 0) for i in range(20)], SLOT)
+    rules = [r for r in alerts.RULES if r.name == SLOT]
+    states = [r.state for r in alerts.evaluate(samples, rules).orderBy("ts").collect()]
+    assert states[:4] == ["pending"] * 4
+    assert states.count("firing") >= 16 and "inactive" not in states
+
+
+def test_lag_of_another_group_does_not_page(spark):
+    topic = cdc.topic("ranks")
+    ddl = "name string, labels map<string,string>, ts timestamp, value double"
+    rows = [
+        (
+            "kafka_consumergroup_lag",
+            {"consumergroup": group, "topic": topic, "partition": "0"},
+            T0 + timedelta(seconds=15 * i),
+            float(i * step),
+        )
+        for i in range(60)
+        for group, step in (("ours", 0), ("theirs", 1000))
+    ]
+    samples = spark.createDataFrame(rows, ddl)
+    for group, fires in (("ours", False), ("theirs", True)):
+        rules = [r for r in alerts.rules_of(group) if r.min_slope is not None]
+        states = {r.state for r in alerts.evaluate(samples, rules).collect()}
+        assert ("firing" in states) == fires
+
+
 def test_ratio_of_nothing(spark):
     df = spark.createDataFrame([(0, 0), (1, 3)], "a int, b int")
     found = df.select(ratio(F.col("a"), F.col("b")).alias("r")).collect()

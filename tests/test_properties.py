@@ -221,12 +221,40 @@ def test_trailing_sum_and_increase(spark, split):
     got = {(r.name, r.pos): r.increase for r in metrics.increase(df, 300, hot=hot).collect()}
     for name in {r[0] for r in rows}:
         mine = sorted((r[2], r[3]) for r in rows if r[0] == name)
-        steps = [0.0] + [b if b < a else b - a for (_, a), (_, b) in zip(mine, mine[1:])]
+        steps = [(t, u, b if b < a else b - a) for (t, a), (u, b) in zip(mine, mine[1:])]
         for at, _ in mine:
-            window = [
-                s for (t, _), s in zip(mine, steps) if at - 300 * metrics.SECOND <= t <= at
-            ]
-            assert got[name, at] == pytest.approx(sum(window))
+            window = [s for t, u, s in steps if at - 300 * metrics.SECOND <= t and u <= at]
+            assert got[name, at] == (pytest.approx(sum(window)) if window else None)
+
+
+@pytest.mark.parametrize("level", [0.0, 1e9, 1e11, 1e12])
+def test_slopes_do_not_depend_on_the_plan(spark, level):
+    """A series far above zero, whole and cut into pieces."""
+    rows = [("m", "s", i * 15 * metrics.SECOND, level + i) for i in range(4000)]
+    df = spark.createDataFrame(rows, SAMPLE)
+    for rows_per_task in (skew.ROWS_PER_TASK, 300):
+        hot = find_hot_keys(df, metrics.SERIES, rows_per_task)
+        assert bool(hot) == (rows_per_task == 300)
+        slopes = [r.slope for r in metrics.deriv(df, 100_000, hot=hot).collect()]
+        assert max(abs(s * 15 - 1) for s in slopes if s is not None) < 1e-9
+
+
+def test_grid_against_plain_python(spark, split):
+    rows = sample_rows(12)
+    df = spark.createDataFrame(
+        [(n, s, p + i % 997, v, T0) for i, (n, s, p, v) in enumerate(rows)],
+        SAMPLE + ", ts timestamp",
+    )
+    hot = split(df, metrics.SERIES)
+    got = {(r.name, r.pos): r.value for r in metrics.on_grid(df, 15, 60, hot=hot).collect()}
+    want, tick = {}, 15 * metrics.SECOND
+    for name in {r[0] for r in rows}:
+        mine = sorted((p + i % 997, v) for i, (n, _, p, v) in enumerate(rows) if n == name)
+        for t in range(0, 4200 * metrics.SECOND, tick):
+            seen = [(p, v) for p, v in mine if t - 60 * metrics.SECOND <= p <= t]
+            if seen:
+                want[name, t] = seen[-1][1]
+    assert got == want
 
 
 def test_trailing_slope(spark, split):

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,10 @@ RUN, RUN_SELECTOR, ESCAPE_SELECTOR = 120, 0, 1
 BLOCK = 1024
 #: A segment, one row of a file, ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 17
-REMEMBERED = 300_000
-BATCH = 256
+REMEMBERED = 500_000
+BATCH = 512
+#: Stretches encoded in one call.
+JOINED = 512
 SEGMENT = (
     "shard int, first_doc long, start long, n_ids long, words binary, block_words array<int>, "
     "doc_ids array<long>, doc_ends array<long>"
@@ -38,22 +41,25 @@ SEGMENT = (
 def _fitting(values: np.ndarray) -> np.ndarray:
     """Per position, the selector that packs most ids from there on within its block."""
     n = len(values)
-    room = np.minimum(BLOCK - np.arange(n) % BLOCK, n - np.arange(n))
     best = np.full(n, ESCAPE_SELECTOR, np.uint8)
-    done = np.zeros(n, bool)
+    at = np.arange(n, dtype=np.int32)
+    room = np.minimum(BLOCK - at % BLOCK, n - at)
     top = int(values.max(initial=0))
-    for number, (count, bits) in [(RUN_SELECTOR, (RUN, 0)), *enumerate(PACKS, 2)]:
+    if top < 1 << 32:
+        values = values.astype(np.uint32)
+    # From many small ids to few large ones backwards, so that the first to fit stays.
+    for number, (count, bits) in [*reversed([*enumerate(PACKS, 2)]), (RUN_SELECTOR, (RUN, 0))]:
         if top >> bits == 0:
-            fits = np.ones(n, bool)
-        else:
-            over = np.concatenate(([0], np.cumsum(values >> np.uint64(bits) != 0)))
-            if over[-1] == n:
-                continue
-            ends = np.minimum(np.arange(n) + count, n)
-            fits = over[ends] == over[:-1]
-        chosen = fits & (room >= count) & ~done
-        best[chosen] = number
-        done |= chosen
+            best[room >= count] = number
+            continue
+        over = values >= values.dtype.type(1 << bits)
+        # A run without a larger id has one of every ``count`` places in it.
+        if n < count or over[count - 1 :: count].all():
+            continue
+        larger = np.zeros(n + 1, np.int32)
+        np.cumsum(over, out=larger[1:], dtype=np.int32)
+        fits = larger[count:] == larger[: n + 1 - count]
+        best[: n + 1 - count][fits & (room[: n + 1 - count] >= count)] = number
     return best
 
 
@@ -140,6 +146,21 @@ class ChunkIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # Added tokens are found before normalising; stretches with one are encoded alone.
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode many stretches in one call, a space between them.
+
+        Where an id starts in the joined text tells which stretch it belongs to.
+        """
+        done = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        data = np.array(done.ids, "<u4").tobytes()
+        begins = np.fromiter((start for start, _ in done.offsets), np.int64, len(done.ids))
+        sizes = np.fromiter(map(len, new), np.int64, len(new)) + 1
+        cuts = (np.searchsorted(begins, np.cumsum(sizes)) * 4).tolist()
+        for chunk, a, b in zip(new, [0, *cuts], cuts):
+            self[chunk] = data[a:b]
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """Ids of each text with the end id after them; a null text has the end id alone."""
@@ -149,20 +170,31 @@ class ChunkIds(dict):
             kept = {c: self[c] for c in here.intersection(self)}
             self.clear()
             self.update(kept)
-        new = list(here.difference(self))
-        for chunk, done in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[chunk] = np.array(done.ids, "<u4").tobytes()
+        new = here.difference(self)
+        odd = {c for c in new if any(mark in c for mark in self.marks)}
+        for chunk in odd:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            self[chunk] = np.array(ids, "<u4").tobytes()
+        new = list(new.difference(odd))
+        for i in range(0, len(new), JOINED):
+            self._learn(new[i : i + JOINED])
         last = np.array([end], "<u4").tobytes()
         return [
             np.frombuffer(b"".join(map(self.__getitem__, p)) + last, "<u4") for p in pieces
         ]
 
 
+@lru_cache(maxsize=2)
+def _chunk_ids(path: str) -> ChunkIds:
+    """One encoder per worker, as reading a vocabulary costs more than a small partition."""
+    return ChunkIds(path)
+
+
 def _segments(
     batches: Iterator[pa.RecordBatch], path: str, end: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     """Sorted documents of one partition as segments, packed as they fill."""
-    encoder, shard = ChunkIds(path), TaskContext.get().partitionId()
+    encoder, shard = _chunk_ids(path), TaskContext.get().partitionId()
     start, docs, parts, size = 0, [], [], 0
 
     def segment() -> pa.RecordBatch:

@@ -17,6 +17,10 @@ from matchlake.schemas import NULLABLE, TABLES, struct
 TOPIC_PREFIX = "dbserver1.public."
 PUBLISHED = ["players", "ranks", "match_events", "match_participants"]
 
+# What one trigger takes from a backlog, unless the caller says otherwise.
+FILES_PER_TRIGGER = 100
+OFFSETS_PER_TRIGGER = 5_000_000
+
 LOG_SCHEMA = "topic string, `offset` bigint, arrival_ts timestamp, value string"
 # An instant has a date, a time and a zone; a bare time or date names none.
 INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
@@ -33,26 +37,43 @@ def topic(table: str) -> str:
 
 
 def read_log(spark: SparkSession, path: str, tables: Sequence[str] = PUBLISHED) -> DataFrame:
-    """A stored change log as a batch."""
+    """A stored change log as a batch; every table decoded from it reads all of it."""
     return published(spark.read.schema(LOG_SCHEMA).json(path), tables)
 
 
+def read_logs(
+    spark: SparkSession, path: str, tables: Sequence[str] = PUBLISHED
+) -> dict[str, DataFrame]:
+    """Logs stored with a folder per topic, by table: each table reads its own records alone."""
+    return {t: read_log(spark, f"{path}/{topic(t)}", [t]) for t in tables}
+
+
 def replay_log(
     spark: SparkSession,
     path: str,
     tables: Sequence[str] = PUBLISHED,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """A stored change log as a stream, oldest files first.
+    """A stored change log as a stream, oldest files first, so many files at a time.
 
     The query checkpoint remembers what was read, so a restart goes on from there.
     """
-    reader = spark.readStream.schema(LOG_SCHEMA)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
     return published(reader.json(path), tables)
 
 
+def replay_logs(
+    spark: SparkSession,
+    path: str,
+    tables: Sequence[str] = PUBLISHED,
+    files_per_trigger: int = FILES_PER_TRIGGER,
+) -> dict[str, DataFrame]:
+    """``replay_log`` of a folder per topic, by table."""
+    return {
+        t: replay_log(spark, f"{path}/{topic(t)}", [t], files_per_trigger) for t in tables
+    }
+
+
 def kafka_log(
     spark: SparkSession,
     tables: Sequence[str] = PUBLISHED,
@@ -62,7 +83,8 @@ def kafka_log(
 ) -> DataFrame:
     """The change topics on a broker; needs the Kafka connector package.
 
-    A new query starts at the earliest offset, a restarted one at its checkpoint.
+    A new query starts at the earliest offset, a restarted one at its checkpoint; a trigger
+    takes ``OFFSETS_PER_TRIGGER`` records at most unless ``options`` say otherwise.
     """
     servers = servers or os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
     source = spark.readStream if streaming else spark.read
@@ -71,6 +93,7 @@ def kafka_log(
             "kafka.bootstrap.servers": servers,
             "subscribe": ",".join(topic(t) for t in tables),
             "startingOffsets": "earliest",
+            **({"maxOffsetsPerTrigger": str(OFFSETS_PER_TRIGGER)} if streaming else {}),
             **options,
         }
     )
@@ -88,6 +111,13 @@ def kafka_log(
     )
 
 
+def kafka_logs(
+    spark: SparkSession, tables: Sequence[str] = PUBLISHED, **options
+) -> dict[str, DataFrame]:
+    """``kafka_log`` with a subscription of its own for every table."""
+    return {t: kafka_log(spark, [t], **options) for t in tables}
+
+
 def published(log: DataFrame, tables: Sequence[str] = PUBLISHED) -> DataFrame:
     """Only the records of the given published tables."""
     return log.where(F.col("topic").isin([topic(t) for t in tables]))

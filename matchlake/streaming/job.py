@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from matchlake.operators.joins import fact_rows
 from matchlake.operators.replay import QUIET_MS
 from matchlake.schemas import FACT_COLUMNS, MATCH_FACTS
 from matchlake.session import ROCKSDB_PROVIDER, use_utc
-from matchlake.sources.cdc import decode, of_table
+from matchlake.sources.cdc import PUBLISHED, decode, of_table
 from matchlake.streaming import processors
 from matchlake.streaming.processors import (
     EMITTED,
@@ -32,11 +34,17 @@ COMMIT_INTERVAL = "10 seconds"
 _LOG = ["arrival_ts", "offset"]
 
 
-def heartbeat(spark: SparkSession, log: DataFrame) -> DataFrame:
+Logs = DataFrame | Mapping[str, DataFrame]
+
+
+def heartbeat(spark: SparkSession, log: Logs) -> Logs:
     """The log kept awake by a source that always has news but adds no rows.
 
-    Timers only fire while batches run; after a restart an idle log would run none.
+    Timers only fire while batches run; after a restart an idle log would run none. Of logs by
+    table one is enough.
     """
+    if isinstance(log, Mapping):
+        return {**log, "match_events": heartbeat(spark, log["match_events"])}
     beat = spark.readStream.format("rate").option("rowsPerSecond", 1).load().where("value < 0")
     return log.unionByName(
         beat.select(
@@ -46,7 +54,7 @@ def heartbeat(spark: SparkSession, log: DataFrame) -> DataFrame:
 
 
 def facts_stream(
-    log: DataFrame,
+    log: Logs,
     quiet_ms: int = QUIET_MS,
     flush_ms: int | None = None,
     roster_size: int = ROSTER_SIZE,
@@ -56,17 +64,19 @@ def facts_stream(
 ) -> DataFrame:
     """Facts of a streaming change log, in the table layout.
 
+    ``log`` is one stream of all topics, which every table reads, or better a stream per table.
     ``salts`` deals every player's participants and facts over that many keys and repeats
     the player's versions for each; raise it when single players dominate the traffic.
     ``flush_ms`` is how long a match may be idle before its buffer is judged, and
     ``ttl_ms`` lets player and rank state expire. Batch counts are observed as ``lookup``,
     ``join`` and ``rank``.
     """
-    spark = use_utc(log.sparkSession)
+    logs = log if isinstance(log, Mapping) else dict.fromkeys(PUBLISHED, log)
+    spark = use_utc(logs["match_events"].sparkSession)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
     def rows(table: str) -> DataFrame:
-        decoded = decode(of_table(log, table), table, on_error, keep=_LOG)
+        decoded = decode(of_table(logs[table], table), table, on_error, keep=_LOG)
         return decoded.withColumns(
             {"arrival_ms": epoch_ms(F.col("arrival_ts")), "log_offset": F.col("offset")}
         ).drop(*_LOG)

@@ -77,6 +77,33 @@ def test_each_record_is_parsed_once(spark):
         assert optimized.count("from_json(") == 1
 
 
+def test_each_topic_is_read_by_its_own_table(spark, tmp_path):
+    from matchlake.plans.match_facts import facts_from_logs
+
+    for table in cdc.PUBLISHED:
+        spark.createDataFrame([], cdc.LOG_SCHEMA).write.json(str(tmp_path / cdc.topic(table)))
+    plan = plan_of(facts_from_logs(cdc.read_logs(spark, str(tmp_path))))
+    scans = re.findall(r"FileScan json .*?Location: [^\[]*\[([^\]]*)\]", plan)
+    assert len(scans) == len({s.rsplit("/", 1)[-1] for s in scans}) == 4
+
+
+def test_no_query_gathers_keys_in_one_task(spark, small, monkeypatch):
+    """Hot keys are counted before a shuffle by key, never in a single task."""
+    from pyspark.sql import DataFrame
+
+    seen, collect = [], DataFrame.collect
+
+    def watched(df):
+        seen.append(plan_of(df))
+        return collect(df)
+
+    monkeypatch.setattr(DataFrame, "collect", watched)
+    for name in ("match_facts", "alert_report", "metric_deriv"):
+        BUILDERS[name](bind(spark, small))
+    assert seen
+    assert not any("SinglePartition" in plan for plan in seen)
+
+
 def test_sliding_windows_shuffle_once(spark, small):
     samples = metrics.with_series(bind(spark, small).alert_samples)
     assert shuffles(plan_of(metrics.increase(samples, 600))) == 1

@@ -12,9 +12,16 @@ from pyspark.sql import functions as F
 from matchlake.operators import replay
 from matchlake.operators.joins import fact_rows
 from matchlake.schemas import FACT_COLUMNS
-from matchlake.sources import cdc
+from matchlake.sources import cdc, lake
 from matchlake.sources.testdata import bind
-from matchlake.streaming.job import append_files, facts_stream, heartbeat, read_files
+from matchlake.streaming.job import (
+    append_files,
+    append_table,
+    facts_stream,
+    heartbeat,
+    print_facts,
+    read_files,
+)
 
 LIMIT = 150
 
@@ -31,7 +38,7 @@ class Run:
         os.mkdir(self.log)
         self.files = 0
 
-    def deliver(self, records):
+    def deliver(self, records, folder=None):
         """Put records into the log as one file, in one step."""
         lines = [
             json.dumps(
@@ -49,7 +56,7 @@ class Run:
             f.write("\n".join(lines))
         stamp = time.time() - 1000 + self.files
         os.utime(draft, (stamp, stamp))
-        os.replace(draft, os.path.join(self.log, f"{self.files}.json"))
+        os.replace(draft, os.path.join(folder or self.log, f"{self.files}.json"))
         self.files += 1
 
     def start(self, flush_ms=6000, **options):
@@ -112,6 +119,46 @@ def cut(rows, pieces):
     return [rows[a:b] for a, b in zip(edges, edges[1:])]
 
 
+def test_one_stream_per_topic(spark, log):
+    """A folder per topic: every table reads its own records, and facts are the same."""
+    rows, expected = log
+    run = Run(spark)
+    for table in cdc.PUBLISHED:
+        folder = os.path.join(run.log, cdc.topic(table))
+        os.mkdir(folder)
+        run.deliver([r for r in rows if r[0] == cdc.topic(table)], folder)
+    logs = heartbeat(spark, cdc.replay_logs(spark, run.log))
+    query = append_files(
+        facts_stream(logs, flush_ms=6000), run.out, run.checkpoint, "500 milliseconds"
+    )
+    try:
+        assert wait(query, lambda: run.rows() >= expected.count())
+        sources = [p["sources"] for p in query.recentProgress if p["numInputRows"] > 10][0]
+    finally:
+        query.stop()
+    assert same(run.facts(), expected)
+    assert len([s for s in sources if "FileStreamSource" in s["description"]]) == 4
+    assert sum(s["numInputRows"] for s in sources if "File" in s["description"]) == len(rows)
+
+
+def test_append_to_a_table_and_print(spark, capfd):
+    run = Run(spark)
+    run.deliver(match_records(1, 12))
+    lake.ensure_table(spark, "demo.streamed")
+    facts = facts_stream(heartbeat(spark, cdc.replay_log(spark, run.log)), flush_ms=1000)
+    query = append_table(facts, "demo.streamed", run.checkpoint, "500 milliseconds")
+    try:
+        assert wait(query, lambda: lake.read_facts(spark, "demo.streamed").count() == 12)
+    finally:
+        query.stop()
+    printed = print_facts(facts, run.checkpoint + "-print", "500 milliseconds")
+    seen = []
+    try:
+        assert wait(printed, lambda: seen.append(capfd.readouterr().out) or "MATCH_FACTS" in "".join(seen))
+    finally:
+        printed.stop()
+
+
 @pytest.mark.parametrize("pieces, salts", [(1, 1), (3, 2)])
 def test_stream_equals_replay(spark, log, pieces, salts):
     rows, expected = log

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -186,12 +186,14 @@ _COMPARE = {
 }
 
 
-def _per_rule(rules: Sequence[Rule], value, otherwise=None) -> Column:
+def _per_rule(rules: Sequence[Rule], value: Callable[[Rule], str | int]) -> Column:
     """A value that depends on the row's alert."""
-    chosen = F.lit(otherwise)
-    for rule in rules:
-        chosen = F.when(F.col("alert") == rule.alert, value(rule)).otherwise(chosen)
-    return chosen
+
+    def text(x: str | int) -> str:
+        return str(x) if isinstance(x, int) else "'" + x.replace("'", "\\'") + "'"
+
+    cases = " ".join(f"WHEN {text(r.alert)} THEN {text(value(r))}" for r in rules)
+    return F.expr(f"CASE alert {cases} END")
 
 
 def _only(labels: Column, names: Sequence[str]) -> Column:

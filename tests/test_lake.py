@@ -32,7 +32,7 @@ def test_table_life(spark, small):
     board = reports.dashboard(landed)
     assert set(board) == set(reports.REPORTS)
     assert board["facts_landed"].first().facts == 312
-    assert board["hero_win_rate"].count() == 49
+    assert board["hero_win_rate"].count() == 47
     rates = [r.win_rate for r in board["hero_win_rate"].collect()]
     assert rates == sorted(rates, reverse=True)
 

@@ -41,7 +41,7 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert entry(spark).count() == 49
+    assert entry(spark).count() == 47
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -83,15 +83,15 @@ def test_one_player_holds_a_third_of_all_rows(spark, skewed, name):
 @pytest.mark.parametrize(
     "name, rows",
     [
-        ("lookup_misses", 982),
-        ("match_facts", 3048),
+        ("lookup_misses", 885),
+        ("match_facts", 3288),
         ("hero_win_rate", 50),
         ("map_results", 7),
         ("player_leaderboard", 136),
-        ("rank_as_of_mix", 10),
+        ("rank_as_of_mix", 11),
         ("rank_vs_result", 6),
-        ("quiet_sessions", 888),
-        ("arrival_replay", 2796),
+        ("quiet_sessions", 894),
+        ("arrival_replay", 3000),
     ],
 )
 def test_known_sizes(spark, medium, name, rows):

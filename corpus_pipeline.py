@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     small_batches(spark)
     model = zstd_langid.train(docs.where(~zstd_langid.held_out("doc_id")))
     answered = docs.withColumn("_answer", zstd_langid.language("text", model))
-    return answered.where(zstd_langid.accepted(F.col("_answer"))).select(*COLUMNS)
+    return answered.where("_answer.accepted").select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

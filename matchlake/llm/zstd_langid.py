@@ -10,19 +10,27 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
 #: The bound of the training sample: so many documents of a language are expected in it ...
 SAMPLE_DOCS = 600
 #: ... and so many normalised characters of each, from a place its text decides.
 PIECE_CHARS = 400
-DICTIONARY_BYTES = 96 * 1024
-LEVEL = 3
+DICTIONARY_BYTES = 64 * 1024
+#: Fast levels find too few short matches in the dictionary to tell related languages apart.
+LEVEL = 9
 BLOCK_BYTES = 2048
-#: A prediction whose smallest size is within this share of the next is rejected.
+#: A prediction whose smallest size is within this share of the next is rejected, if the text
+#: compresses to enough bytes for a margin to say anything.
 MIN_MARGIN = 0.002
+TELLING_BYTES = 100
 UNKNOWN = "und"
-ANSWER = StructType().add("lang", StringType()).add("score", DoubleType())
+ANSWER = (
+    StructType()
+    .add("lang", StringType())
+    .add("score", DoubleType())
+    .add("accepted", BooleanType())
+)
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -98,41 +106,39 @@ def _piece(text: str) -> Column:
     return F.substr(F.col(text), start.cast("int"), F.lit(2 * PIECE_CHARS))
 
 
-def _smallest(text: str | None, coders) -> tuple[str, float]:
+def _smallest(text: str | None, coders) -> tuple[str, float, bool]:
     if text is None or not coders or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
+        return UNKNOWN, 0.0, False
     data = normalised(text).encode("utf-8", "replace")
     blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
     sizes = [(sum(len(z.compress(b)) for b in blocks), i) for i, (_, z) in enumerate(coders)]
     sizes.sort()
     best = sizes[0]
     margin = 1.0 if len(sizes) == 1 else 1.0 - best[0] / max(1, sizes[1][0])
-    return coders[best[1]][0], margin
+    return coders[best[1]][0], margin, margin >= MIN_MARGIN or best[0] < TELLING_BYTES
 
 
 def language(text: str, model: Model) -> Column:
-    """Struct of the language whose dictionary compresses a whole text best, and its margin.
+    """Struct (lang, score, accepted) of the language that compresses a whole text best.
 
     The text is normalised, cut into blocks of ``BLOCK_BYTES`` so that no block can learn the
     language from the text itself, and every block counts. The score is the share by which the
-    smallest total is below the next. Null text, text without a letter and an empty model give
-    ``und`` with score 0. Ties go to the language with more learned documents, then by name.
+    smallest total is below the next. A prediction is accepted unless that margin is narrow;
+    texts too short for a margin to tell are accepted. Null text, text without a letter and an
+    empty model give ``und`` with score 0, which is not accepted. Ties go to the language with
+    more learned documents, then by name.
     """
 
     @F.pandas_udf(ANSWER)
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coders = model.compressors()
         for part in parts:
-            yield pd.DataFrame([_smallest(x, coders) for x in part], columns=["lang", "score"])
+            made = [_smallest(x, coders) for x in part]
+            yield pd.DataFrame(made, columns=["lang", "score", "accepted"])
 
     return predict(F.col(f"`{text}`"))
 
 
-def accepted(answer: Column) -> Column:
-    """Whether a prediction stands: it names a language, by more than a narrow margin."""
-    return (answer["lang"] != UNKNOWN) & (answer["score"] >= MIN_MARGIN)
-
-
 def held_out(id_col: str) -> Column:
     """Documents no model may learn from: crc32 of the id as text leaves remainder 1 by 3."""
     check = F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 #: Fixed: the pattern that cuts text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries of a generation of remembered words, and documents of a batch.
-REMEMBERED = 450_000
+REMEMBERED = 200_000
 BATCH = 512
 BYTES = 256
 END = -1

@@ -52,3 +52,26 @@ def two_hashes(value: Column) -> list[Column]:
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound the rows of an Arrow batch: whole texts are long, and workers hold some batches."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+class Remembered(dict):
+    """A dictionary in two generations: when the new one is full it becomes the old one.
+
+    What is in use moves back to the new generation, so frequent keys stay and the whole is
+    bounded by twice ``room`` entries and one batch.
+    """
+
+    def __init__(self, room: int) -> None:
+        super().__init__()
+        self.room = room
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that are in neither generation; those in the old one are moved."""
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        absent = keys.difference(self)
+        for key in absent.intersection(self.old):
+            self[key] = self.old[key]
+        return absent.difference(self)

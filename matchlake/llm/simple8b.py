@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import Remembered
+
 #: Fixed: (ids, bits of each) of selectors 2 to 15.
 PACKS = [
     (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7),
@@ -28,7 +30,8 @@ RUN, RUN_SELECTOR, ESCAPE_SELECTOR = 120, 0, 1
 BLOCK = 1024
 #: A segment, one row of a file, ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 17
-REMEMBERED = 500_000
+#: Stretches of a generation that is remembered, and documents of a batch.
+REMEMBERED = 400_000
 BATCH = 512
 #: Stretches encoded in one call.
 JOINED = 512
@@ -131,7 +134,7 @@ def unpack(words: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     return out
 
 
-class ChunkIds(dict):
+class ChunkIds:
     """Ids of texts from the tokenizers library, each distinct stretch between spaces once.
 
     The vocabulary's words never hold white space and its normaliser works within them, so the
@@ -142,12 +145,22 @@ class ChunkIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.known = Remembered(REMEMBERED)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         # Added tokens are found before normalising; stretches with one are encoded alone.
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.folds = '"type":"Lowercase"' in self.tokenizer.to_str()
+
+    def _folded(self, text: str) -> str:
+        """The text with A-Z lower-cased, as the vocabulary does anyway, so words come together.
+
+        Other letters are left to the library, and so is a text that would hold an added token,
+        as these are told by case.
+        """
+        low = text.encode("utf-8", "replace").lower().decode()
+        return text if any(mark in low for mark in self.marks) else low
 
     def _learn(self, new: list[str]) -> None:
         """Encode many stretches in one call, a space between them.
@@ -160,27 +173,25 @@ class ChunkIds(dict):
         sizes = np.fromiter(map(len, new), np.int64, len(new)) + 1
         cuts = (np.searchsorted(begins, np.cumsum(sizes)) * 4).tolist()
         for chunk, a, b in zip(new, [0, *cuts], cuts):
-            self[chunk] = data[a:b]
+            self.known[chunk] = data[a:b]
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """Ids of each text with the end id after them; a null text has the end id alone."""
-        pieces = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        here = set().union(*pieces)
-        if len(self) > REMEMBERED:
-            kept = {c: self[c] for c in here.intersection(self)}
-            self.clear()
-            self.update(kept)
-        new = here.difference(self)
+        texts = [t or "" for t in texts]
+        if self.folds:
+            texts = [self._folded(t) for t in texts]
+        pieces = [t.replace("\n", " ").split(" ") for t in texts]
+        new = self.known.missing(set().union(*pieces))
         odd = {c for c in new if any(mark in c for mark in self.marks)}
         for chunk in odd:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            self[chunk] = np.array(ids, "<u4").tobytes()
+            self.known[chunk] = np.array(ids, "<u4").tobytes()
         new = list(new.difference(odd))
         for i in range(0, len(new), JOINED):
             self._learn(new[i : i + JOINED])
         last = np.array([end], "<u4").tobytes()
         return [
-            np.frombuffer(b"".join(map(self.__getitem__, p)) + last, "<u4") for p in pieces
+            np.frombuffer(b"".join(map(self.known.__getitem__, p)) + last, "<u4") for p in pieces
         ]
 
 

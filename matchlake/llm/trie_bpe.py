@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from matchlake.llm.shared import Remembered
+
 #: Fixed: the pattern that cuts text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries of a generation of remembered words, and documents of a batch.
@@ -116,34 +118,12 @@ class Vocabulary:
         return self.apart(self.left[token], self.right[token], but=token)
 
 
-class Remembered(dict):
-    """A dictionary in two generations: when the new one is full it becomes the old one.
-
-    What is in use moves back to the new generation, so frequent keys stay and the whole is
-    bounded by twice ``REMEMBERED`` entries and one batch.
-    """
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.old: dict = {}
-
-    def missing(self, keys: set) -> set:
-        """The keys that are in neither generation; those in the old one are moved."""
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        absent = keys.difference(self)
-        for key in absent.intersection(self.old):
-            self[key] = self.old[key]
-        return absent.difference(self)
-
-
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes, with earlier words remembered up to a bound."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.words, self.chunks = Remembered(), Remembered()
+        self.words, self.chunks = Remembered(REMEMBERED), Remembered(REMEMBERED)
         self._apart: dict[int, bool] = {}
         self._word = regex.compile(WORDS)
         # Words never cross from other characters to a space or line feed, so a text whose only

@@ -351,7 +351,9 @@ def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFra
     every = scratch.put(every.join(shared, "band"), "members")
     central = every.groupBy("id").agg(F.sum("n").alias("central"))
     member = scratch.put(every.drop("n").join(central, "id"), "members-0")
-    texts = scratch.put(docs.join(central.select("id"), "id", "left_semi"), "texts")
+    # The ids grow with the documents, so they are never broadcast, however few they are.
+    ids = central.select("id").hint("merge")
+    texts = scratch.put(docs.join(ids, "id", "left_semi"), "texts")
     links, step, left = None, 0, member.count()
     order = Window.partitionBy("band").orderBy(F.desc("central"), "id")
     while left:
@@ -438,7 +440,7 @@ def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     lasting = near_duplicates(docs, text, id_col).where("kept and doc_id is not null")
     key = F.col(f"`{id_col}`")
     none = docs.where(key.isNull())
-    ids = lasting.select(F.col("doc_id").alias("_kept_id")).distinct()
+    ids = lasting.select(F.col("doc_id").alias("_kept_id")).distinct().hint("merge")
     kept = docs.join(ids, key.cast("long") == F.col("_kept_id"), "left_semi")
     return kept.dropDuplicates([id_col]).unionByName(none)
 

@@ -24,6 +24,11 @@ from matchlake.llm.shared import Scratch, two_hashes
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
+#: One minus similarity is a metric: a text less similar than this to another text is similar to
+#: none that is similar to that one.
+OUTER = 2 * THRESHOLD - 1
+#: Slack of bounds on similarities, well above their rounding.
+SLACK = 1e-9
 BANDS, BAND_ROWS = 24, 5
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** 5) ** 24 < 1e-4.
 COORDINATES = BANDS * BAND_ROWS
@@ -205,20 +210,21 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return bags[doc]
 
     for batch in batches:
-        good = []
+        scores = []
         left, right = batch.column("text_a"), batch.column("text_b")
         ends = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
         for i, (a, b) in enumerate(ends):
-            good.append(similarity(bag(a, left[i]), bag(b, right[i])) >= THRESHOLD)
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            scores.append(similarity(bag(a, left[i]), bag(b, right[i])))
+        scored = batch.select(["a", "b"]).append_column("s", pa.array(scores, pa.float64()))
+        yield scored.filter(pa.array([x >= OUTER - SLACK for x in scores], pa.bool_()))
 
 
 def _exact(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole texts are similar."""
+    """Similarity of the whole texts of the pairs (a, b), where it is ``OUTER`` or more."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_similar, "a long, b long")
+    return both.mapInArrow(_similar, "a long, b long, s double")
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,18 +291,22 @@ def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j])})
 
 
+def _bags_of(ids: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Bags of the texts of some ids, written once."""
+    return scratch.put(
+        texts.join(ids.select("id").distinct(), "id", "left_semi").mapInArrow(
+            _bags, "id long, codes array<long>, counts array<long>"
+        ),
+        name,
+    )
+
+
 def _chunked_links(member: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Every similar pair within the buckets of ``member`` (band, id), chunk against chunk.
 
     What leaves a task are the similar pairs alone.
     """
-    ids = member.select("id").distinct()
-    bags = scratch.put(
-        texts.join(ids, "id", "left_semi").mapInArrow(
-            _bags, "id long, codes array<long>, counts array<long>"
-        ),
-        "bags",
-    )
+    bags = _bags_of(member, texts, scratch, "bags")
     sizes = member.groupBy("band").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks")
     )
@@ -331,8 +341,80 @@ def _chunked_links(member: DataFrame, texts: DataFrame, scratch: Scratch) -> Dat
     )
 
 
-def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Verified links (a, b) between representatives that share a band key.
+def _chained_links(
+    met: DataFrame, label: DataFrame, texts: DataFrame, scratch: Scratch
+) -> DataFrame | None:
+    """Similar pairs of a follower of a leader and a member that the leader did not take.
+
+    ``met`` holds (lead, id, s) of all rounds. By the triangle inequality only members of
+    similarity ``OUTER`` or more to the leader can be similar to a follower, and to none that is
+    closer to the leader by more than the distance of similar texts. Members that other links
+    joined to the leader's class need no further link. The rest are compared chunk against chunk.
+    """
+    of = label.select(F.col("node").alias("lead"), F.col("component").alias("of"))
+    own = label.select(F.col("node").alias("id"), F.col("component").alias("own"))
+    outer = scratch.put(
+        met.where(F.col("s") < THRESHOLD)
+        .join(of, "lead")
+        .join(own, "id", "left")
+        .where(F.coalesce("own", "id") != F.col("of"))
+        .groupBy("lead", "id")
+        .agg(F.max("s").alias("s")),
+        "outer",
+    )
+    closest = outer.groupBy("lead").agg(F.max("s").alias("closest"))
+    inner = scratch.put(
+        met.where(F.col("s") >= THRESHOLD)
+        .join(closest, "lead")
+        .where(F.col("s") <= F.col("closest") + F.lit(1 - THRESHOLD + SLACK))
+        .select("lead", "id")
+        .distinct(),
+        "inner",
+    )
+    if inner.isEmpty():
+        return None
+    bags = _bags_of(inner.select("id").unionByName(outer.select("id")), texts, scratch, "bags-met")
+
+    def sizes(side: DataFrame, name: str) -> DataFrame:
+        chunks = F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int")
+        return side.groupBy("lead").agg(chunks.alias(name))
+
+    grid = scratch.put(sizes(inner, "m").join(sizes(outer, "n"), "lead"), "grid")
+    left = (
+        inner.join(grid, "lead")
+        .join(bags, "id")
+        .select(
+            F.col("lead").alias("g"),
+            F.pmod(F.xxhash64("id"), "m").cast("int").alias("i"),
+            F.explode(F.expr("sequence(0, n - 1)")).alias("j"),
+            F.col("id").alias("id"),
+            F.col("codes").alias("codes"),
+            F.col("counts").alias("counts"),
+        )
+    )
+    right = (
+        outer.join(grid, "lead")
+        .join(bags, "id")
+        .select(
+            F.col("lead").alias("h"),
+            F.explode(F.expr("sequence(0, m - 1)")).alias("i"),
+            F.pmod(F.xxhash64("id"), "n").cast("int").alias("j"),
+            F.col("id").alias("other"),
+            F.col("codes").alias("keys"),
+            F.col("counts").alias("times"),
+        )
+    )
+    return scratch.put(
+        left.groupBy("g", "i", "j")
+        .cogroup(right.groupBy("h", "i", "j"))
+        .applyInArrow(_compare, "a long, b long")
+        .distinct(),
+        "links-chained",
+    )
+
+
+def _banded_classes(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Classes (node, component) of representatives by verified links where a band key is shared.
 
     A bucket is the set of documents with one band key. In a round, its most central members
     lead: those that share most keys with others, such as the text that near copies were made
@@ -340,10 +422,11 @@ def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFra
     linked and leave the bucket. A bucket of copies of one text is done in one round, with one
     pair per member. Rounds go on while they link a fair share of what is left; then only texts
     remain that share a key with others without being copies of their centre, and they are
-    compared chunk against chunk. No bucket is cut short: every pair that shares a key is
-    compared, or both have left to a leader.
+    compared chunk against chunk. At last, followers are compared with the members their leader
+    did not take. No bucket is cut short: every pair that shares a key is compared, or both ends
+    are in one class already, or their similarities to a leader rule it out.
     """
-    near = F.least("weight", "w") >= THRESHOLD * F.greatest("weight", "w")
+    near = F.least("weight", "w") >= (OUTER - SLACK) * F.greatest("weight", "w")
     every = reps.select("id", "weight", F.explode("bands").alias("band"))
     shared = scratch.put(
         every.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared"
@@ -354,7 +437,10 @@ def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFra
     # The ids grow with the documents, so they are never broadcast, however few they are.
     ids = central.select("id").hint("merge")
     texts = scratch.put(docs.join(ids, "id", "left_semi"), "texts")
-    links, step, left = None, 0, member.count()
+    scored, step, left = None, 0, member.count()
+    if not left:
+        return member.selectExpr("id AS node", "id AS component")
+    links = None
     order = Window.partitionBy("band").orderBy(F.desc("central"), "id")
     while left:
         leader = (
@@ -366,12 +452,16 @@ def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFra
         met = (
             member.join(leader, "band")
             .where((F.col("id") != F.col("lead")) & near)
-            .select("band", "id", F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+            .select("band", "id", "lead", F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
         )
         pairs = scratch.put(met.select("a", "b").distinct(), f"pairs-{step}")
-        found = scratch.put(_exact(pairs, texts), f"links-{step}")
+        exact = scratch.put(_exact(pairs, texts), f"exact-{step}")
+        found = exact.where(F.col("s") >= THRESHOLD).select("a", "b")
         links = found if links is None else links.unionByName(found)
-        gone = met.join(links, ["a", "b"], "left_semi").select("band", "id")
+        ends = met.select("id", "lead", "a", "b").distinct().join(exact, ["a", "b"])
+        now = scratch.put(ends.select("lead", "id", "s"), f"met-{step}")
+        scored = now if scored is None else scored.unionByName(now)
+        gone = met.join(found, ["a", "b"], "left_semi").select("band", "id")
         gone = gone.unionByName(leader.select("band", F.col("lead").alias("id")))
         rest = scratch.put(
             member.join(gone.distinct(), ["band", "id"], "left_anti"), f"rest-{step}"
@@ -381,9 +471,15 @@ def _banded_links(reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFra
         member = scratch.put(rest.join(several, "band", "left_semi"), f"members-{step + 1}")
         if linked < FAIR_SHARE * left:
             found = scratch.put(_chunked_links(member, texts, scratch), "links-chunked")
-            return links.unionByName(found)
+            links = links.unionByName(found)
+            break
         step, left = step + 1, member.count()
-    return links if links is not None else member.selectExpr("id AS a", "id AS b")
+    label = scratch.put(components(links, scratch), "classes")
+    found = _chained_links(scored, label, texts, scratch)
+    if found is None or found.isEmpty():
+        return label
+    joined = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(joined.unionByName(found), scratch)
 
 
 def near_duplicates(
@@ -414,8 +510,7 @@ def near_duplicates(
     reps = scratch.put(
         signed.groupBy("c1", "c2").agg(lowest).select("c1", "c2", "r.*"), "representatives"
     )
-    links = _banded_links(reps, real, scratch)
-    label = components(links, scratch)
+    label = _banded_classes(reps, real, scratch)
     named = scratch.put(
         reps.select("c1", "c2", "id")
         .join(label, F.col("id") == F.col("node"), "left")

@@ -290,6 +290,27 @@ def test_near_copies_in_hot_groups(spark, monkeypatch, fair):
     assert set(want.values()) == {0, *range(200, 230)}
 
 
+def test_near_copies_that_only_a_follower_links(spark, monkeypatch):
+    """A text that leads its buckets, copies of it, and an edit of one copy below 0.8 to the leader."""
+    monkeypatch.setattr(dart_minhash, "CHUNK", 4)
+    rows = []
+    for g in range(8):
+        body = [f"g{g}token{i}" for i in range(400)]
+
+        def edited(*places):
+            return " ".join(f"{w}changed" if i in places else w for i, w in enumerate(body))
+
+        texts = [edited(*range(20, 380, 45), 5), edited(5), edited(), *(edited(i) for i in range(30, 330, 30))]
+        rows += [(100 * g + i, t, "en", "s") for i, t in enumerate(texts)]
+    last, copy, lead = (bag(t) for _, t, *_ in rows[:3])
+    assert sum((last & copy).values()) >= 0.8 * sum((last | copy).values())
+    assert sum((last & lead).values()) < 0.8 * sum((last | lead).values())
+    got = dart_minhash.near_duplicates(documents(spark, rows)).collect()
+    want = brute_classes([r[:2] for r in rows])
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert set(want.values()) == {100 * g for g in range(8)}
+
+
 def test_near_copies_of_awkward_documents(spark):
     rows = [*AWKWARD, (20, "\n\n", "en", "s"), (21, LONG + " more", "en", "s")]
     docs = documents(spark, rows)

@@ -98,6 +98,40 @@ def test_chunks_of_saturated_groups(spark, monkeypatch):
     check_links(spark, planted(np.random.default_rng(6)))
 
 
+def chain_of_entries(nodes, *_):
+    """Each node of the group listed with the next one only."""
+    return nodes.where("c < 6").selectExpr("c AS u", "c + 1 AS v", "1D AS s")
+
+
+def no_entries(nodes, *_):
+    return nodes.where("false").selectExpr("c AS u", "c AS v", "1D AS s")
+
+
+def test_links_of_unsaturated_groups_are_completed(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "AUDITED", 0)
+    monkeypatch.setattr(nn_descent, "_first_lists", chain_of_entries)
+    monkeypatch.setattr(nn_descent, "_round", lambda lists, nodes, total: no_entries(nodes))
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=24)
+    close = [(i, np.float32(centre + rng.normal(size=24) * 0.03).tolist(), 0) for i in range(7)]
+    lone = [(50 + i, np.float32(rng.normal(size=24)).tolist(), 0) for i in range(5)]
+    check_links(spark, close + lone)
+
+
+def test_missed_audit_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "ROUNDS", 2)
+    monkeypatch.setattr(nn_descent, "_first_lists", no_entries)
+    monkeypatch.setattr(nn_descent, "_round", lambda lists, nodes, total: no_entries(nodes))
+    with pytest.raises(RuntimeError, match="audit"):
+        check_links(spark, planted(np.random.default_rng(5), singles=60))
+
+
+def test_orders_grow_with_the_rows():
+    assert [nn_descent.orders_for(n) for n in (2, 500, 200_000)] == [5, 5, 9]
+    counts = [nn_descent.orders_for(10**n) for n in range(3, 10)]
+    assert counts == sorted(counts) and counts[-1] > counts[0]
+
+
 def test_query_of_links(spark, medium):
     rows = [tuple(r) for r in spark.read.parquet(f"{medium}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     want = brute_links(rows)

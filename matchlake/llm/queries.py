@@ -14,6 +14,7 @@ from matchlake.llm import (
     line_runs,
     mixing,
     nn_descent,
+    pair_bitmaps,
     simple8b,
     trie_bpe,
     zstd_langid,
@@ -132,6 +133,15 @@ def op10_zstd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return pair_bitmaps.aligned(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -145,6 +155,7 @@ QUERIES = {
         op8_simple8b,
         op9_trie_bpe,
         op10_zstd_langid,
+        op12_pair_bitmaps,
     )
 }
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from matchlake.llm import (
     ads_search,
+    angle_negatives,
     dart_minhash,
     html_crf,
     license_scan,
@@ -16,12 +17,15 @@ from matchlake.llm import (
     nn_descent,
     pair_bitmaps,
     simple8b,
+    suffix_dedup,
     trie_bpe,
     zstd_langid,
 )
 from matchlake.llm.shared import Scratch, small_batches, table
 
 END_ID = 2
+#: Of so many rows one is a query or an anchor.
+QUERY_STEP = 50
 
 
 def op1_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +137,15 @@ def op10_zstd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_angle_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10)))
+    return angle_negatives.hard_negatives(
+        rows.withColumn("label", F.coalesce(moved, F.col("label"))),
+        F.pmod("vec_id", F.lit(QUERY_STEP)) == 0,
+    )
+
+
 def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return pair_bitmaps.aligned(
@@ -142,6 +155,14 @@ def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.drop_repeated_bytes(docs).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -155,7 +176,9 @@ QUERIES = {
         op8_simple8b,
         op9_trie_bpe,
         op10_zstd_langid,
+        op11_angle_negatives,
         op12_pair_bitmaps,
+        op13_induced_suffixes,
     )
 }
 
@@ -184,5 +207,31 @@ SELECT doc_id,
                        FILTER (r.line_key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN repeated r ON k.line_key = r.line_key
 GROUP BY doc_id
+""",
+    "op11_angle_negatives": """
+WITH part AS (
+  SELECT row_number() OVER () AS uid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.uid AS a, a.vec_id AS anchor_id, r.uid, r.vec_id, a.label = r.label AS same,
+         list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM part a JOIN part r ON a.vec_id % 50 = 0 AND a.uid <> r.uid AND len(a.v) = len(r.v)
+),
+positive AS (
+  SELECT a, anchor_id, uid, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.a, p.uid ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.a = p.a AND NOT s.same
+WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3
 """,
 }

@@ -173,6 +173,8 @@ class _Inducer:
     def __init__(self, text, rises, size: int, smaller: bool, cap: int, files: Files):
         self.text, self.rises, self.smaller, self.cap = text, rises, smaller, cap
         self.top = size - 1
+        # Narrow keys are sorted digit by digit.
+        self.kind = np.uint16 if size <= 1 << 16 else np.int64
         self.queue, self.least = Queue(files), _Least()
         self.last = files.array(size, np.int64)
         self.last[:] = -1
@@ -188,6 +190,7 @@ class _Inducer:
         source = np.flatnonzero((places > 0) & (self.rises[np.maximum(before, 0)] == self.smaller))
         if len(source):
             keys = self.key(self.text[before[source]].astype(np.int64))
+            keys = keys.astype(self.kind)
             order = np.argsort(keys, kind="stable")
             keys, source = keys[order], source[order]
             here = source + least.start
@@ -293,32 +296,45 @@ def _dense(names: np.ndarray, files: Files) -> tuple[np.ndarray, int]:
     return out, count + 1
 
 
-def _doubled(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order and common prefixes up to ``cap`` symbols, in memory."""
-    ranks = [np.unique(text, return_inverse=True)[1].astype(np.int64)]
-    size, width = len(text), 1
-    order = np.argsort(ranks[0], kind="stable")
-    while width < cap and len(ranks) < 64:
-        rank = ranks[-1]
-        if rank.max() == size - 1:
+def _doubled(names: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of dense names in order and common prefixes up to ``cap`` names, in memory.
+
+    A suffix's rank is where its group begins in the order; groups of one are done, and only the
+    others are sorted again, by twice as many names each time.
+    """
+    size, width = len(names), 1
+    order = np.argsort(names, kind="stable")
+    heads = np.flatnonzero(np.append(True, names[order][1:] != names[order][:-1]))
+    rank = np.empty(size, np.int64)
+    rank[order] = np.repeat(heads, np.diff(np.append(heads, size)))
+    ranks = [rank]
+    slots = np.arange(size)
+    while width < cap:
+        # Places in the order that belong to groups of several.
+        held = ranks[-1][order[slots]]
+        alone = np.append(held[1:] != held[:-1], True) & np.append(True, held[1:] != held[:-1])
+        slots = slots[~alone]
+        if not len(slots):
             break
-        after = np.append(rank[width:] + 1, np.zeros(min(width, size), np.int64))[:size]
-        key = rank * (size + 1) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.empty(size, np.int64)
-        new[order] = np.cumsum(np.append(0, key[1:] != key[:-1]))
-        ranks.append(new)
+        rank = ranks[-1].copy()
+        mine = order[slots]
+        after = mine + width
+        key = rank[mine] * (size + 1)
+        key[after < size] += rank[after[after < size]] + 1
+        by = np.argsort(key, kind="stable")
+        key, mine = key[by], mine[by]
+        order[slots] = mine
+        new = np.append(True, key[1:] != key[:-1])
+        rank[mine] = np.maximum.accumulate(np.where(new, slots, -1))
+        ranks.append(rank)
         width *= 2
     common = np.zeros(size, np.int64)
     a, b = order[:-1], order[1:]
     shared = np.zeros(size - 1, np.int64)
     for n in range(len(ranks) - 1, -1, -1):
         x, y = a + shared, b + shared
-        inside = (x < size) & (y < size)
-        same = inside.copy()
-        same[inside] = ranks[n][x[inside]] == ranks[n][y[inside]]
-        shared += same << n
+        on = np.flatnonzero((x < size) & (y < size))
+        shared[on] += (ranks[n][x[on]] == ranks[n][y[on]]).astype(np.int64) << n
     common[1:] = np.minimum(shared, cap)
     return order, common
 
@@ -395,10 +411,11 @@ def falling(text: np.ndarray, size: int, cap: int, files: Files) -> Iterator[tup
     up = _Inducer(text, rises, size, False, cap, files)
     total = len(text) - int(np.count_nonzero(rises))
     kept, kept_common = files.array(total, np.int64), files.array(total, np.int64)
+    star_symbols = files.keep(np.asarray(text[star_places]))
     symbols, bounds, filled, at = [], [], 0, 0
     while True:
         symbol = up.queue.first()
-        star = int(text[star_places[at]]) if at < len(star_places) else None
+        star = int(star_symbols[at]) if at < len(star_places) else None
         if symbol is None and star is None:
             break
         symbol = min(s for s in (symbol, star) if s is not None)
@@ -412,20 +429,18 @@ def falling(text: np.ndarray, size: int, cap: int, files: Files) -> Iterator[tup
         if filled > begin:
             symbols.append(symbol)
             bounds.append((begin, filled))
-        first = True
-        while at < len(star_places) and text[star_places[at]] == symbol:
-            places = np.asarray(star_places[at : at + BLOCK])
-            same = np.flatnonzero(text[places] != symbol)
-            places = places[: same[0]] if len(same) else places
-            common = np.array(star_common[at : at + len(places)])
-            if first:
+        end = at + int(np.searchsorted(star_symbols[at:], symbol, "right"))
+        for start in range(at, end, BLOCK):
+            places = np.asarray(star_places[start : min(end, start + BLOCK)])
+            common = np.array(star_common[start : start + len(places)])
+            if start == at:
                 common[0] = (
                     min(_run(text, kept[filled - 1], cap), _run(text, places[0], cap))
                     if filled > begin
                     else 0
                 )
             up.put_out(places, common)
-            at, first = at + len(places), False
+        at = end
     del up
     # Falling: the smaller-than-next suffixes of a symbol, then its others.
     down = _Inducer(text, rises, size, True, cap, files)

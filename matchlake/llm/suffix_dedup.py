@@ -4,8 +4,8 @@ Every string of ``length`` bytes has an anchor: the stretch of ``GRAM`` bytes in
 smallest hash. Equal strings have equal anchors at equal offsets, so neighbouring strings of one
 anchor form a context, and only contexts of one anchor hash can hold equal strings. Contexts that
 are equal as a whole are counted, each distinct one of an anchor with several is sorted: a task
-lays its contexts end to end and sorts all suffixes by external induction; suffixes that share
-``length`` bytes with a neighbour stand more than once.
+lays the contexts of whole anchors end to end and sorts all suffixes by external induction;
+suffixes that share ``length`` bytes with a neighbour stand more than once.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ from matchlake.operators.skew import ROWS_PER_TASK, HotKeys, spread_join
 
 LENGTH = 200
 GRAM = 64
-#: Text of one sorting task, aimed at, and distinct contexts of one anchor that meet in it.
-SHARD_BYTES = 24 << 20
-GROUP = 40_000
+#: Text of a task, and of the anchors it sorts at a time, both aimed at.
+SHARD_BYTES = 64 << 20
+SORTED_BYTES = 6 << 20
+#: Distinct contexts of one anchor that are sorted together, at most.
+GROUP = 20_000
 #: Arrays of a task above so many bytes are kept in files.
 ROOM = 64 << 20
 SEGMENT = 1 << 19
@@ -155,64 +157,86 @@ def repeated(text: np.ndarray, length: int, files: induced_sort.Files) -> np.nda
 MARKED = "a long, c long, spans array<struct<first:int,windows:int>>"
 
 
-def _sorted(length: int, room: int):
-    """Contexts (a, c, off, data) of whole anchors to the runs of their windows that repeat."""
+def _sorted(length: int, room: int, at_once: int):
+    """Contexts (g, a, c, off, data), ordered by g, to the runs of their windows that repeat."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folder = _scratch_folder()
+        files = induced_sort.Files(folder, room)
         try:
-            yield from _mark(batches, length, induced_sort.Files(folder, room), folder)
+            for shelf in _shelves(batches, folder, at_once):
+                yield from shelf.marks(length, files)
         finally:
             shutil.rmtree(folder, ignore_errors=True)
 
     return work
 
 
-def _mark(batches, length, files, folder) -> Iterator[pa.RecordBatch]:
-    keys, sizes = [], []
-    with open(os.path.join(folder, "text"), "wb+") as file:
-        seen = set()
-        for batch in batches:
-            a, c, off = (batch.column(n).to_pylist() for n in ("a", "c", "off"))
-            for n, data in enumerate(batch.column("data").to_pylist()):
-                # A row that is there twice is one place.
-                if (key := (a[n], c[n], off[n])) in seen:
-                    continue
-                seen.add(key)
-                keys.append(key)
-                sizes.append(len(data))
-                raw = np.frombuffer(data, np.uint8).astype(np.uint16) + MARKS
-                file.write(np.append(raw, np.uint16(MARKS - 1)).astype(np.uint16).tobytes())
-        if not keys:
+class Shelf:
+    """The contexts of some whole groups, laid end to end in a file."""
+
+    def __init__(self, folder: str):
+        self.file = tempfile.TemporaryFile(dir=folder)
+        self.keys: list[tuple[int, int, int]] = []
+        self.sizes: list[int] = []
+        self.bytes = 0
+        self.seen: set[tuple[int, int, int]] = set()
+
+    def add(self, key: tuple[int, int, int], data: bytes) -> None:
+        # A row that is there twice is one place.
+        if key in self.seen:
             return
-        del seen
-        file.write(np.uint16(0).tobytes())
-        file.flush()
-        text = np.memmap(file, np.uint16, "r")
+        self.seen.add(key)
+        self.keys.append(key)
+        self.sizes.append(len(data))
+        self.bytes += len(data) + 1
+        raw = np.frombuffer(data, np.uint8).astype(np.uint16) + np.uint16(MARKS)
+        self.file.write(np.append(raw, np.uint16(MARKS - 1)).tobytes())
+
+    def marks(self, length: int, files: induced_sort.Files) -> Iterator[pa.RecordBatch]:
+        self.seen.clear()
+        self.file.write(np.uint16(0).tobytes())
+        self.file.flush()
+        text = np.memmap(self.file, np.uint16, "r")
         if text.nbytes <= files.room:
             text = np.array(text)
         flags = repeated(text, length, files)
-    ends = np.cumsum(np.array(sizes) + 1)
-    out = []
-    for key, start, size in zip(keys, ends - np.array(sizes) - 1, sizes):
-        runs = spans(flags[start : start + size - length + 1])
-        if len(runs):
-            out.append((key[0], key[1], [{"first": key[2] + f, "windows": n} for f, n in runs]))
-    for start in range(0, len(out), 4096):
-        part = out[start : start + 4096]
+        sizes = np.array(self.sizes)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        out = []
+        for key, start, size in zip(self.keys, starts.tolist(), self.sizes):
+            runs = spans(flags[start : start + size - length + 1])
+            if runs:
+                out.append((key[0], key[1], [{"first": key[2] + f, "windows": n} for f, n in runs]))
+        self.file.close()
         kind = pa.list_(pa.struct([("first", pa.int32()), ("windows", pa.int32())]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([p[0] for p in part], pa.int64()),
-                pa.array([p[1] for p in part], pa.int64()),
-                pa.array([p[2] for p in part], kind),
-            ],
-            ["a", "c", "spans"],
-        )
+        for start in range(0, len(out), 4096):
+            a, c, found = zip(*out[start : start + 4096])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(found, kind)],
+                ["a", "c", "spans"],
+            )
+
+
+def _shelves(batches, folder: str, at_once: int) -> Iterator[Shelf]:
+    """Whole groups by the shelf: one is full once a group ends beyond ``at_once`` bytes."""
+    shelf, last = Shelf(folder), None
+    for batch in batches:
+        g, a, c, off, data = (batch.column(n).to_pylist() for n in ("g", "a", "c", "off", "data"))
+        for n in range(len(g)):
+            if g[n] != last and shelf.bytes >= at_once:
+                yield shelf
+                shelf = Shelf(folder)
+            last = g[n]
+            shelf.add((a[n], c[n], off[n]), data[n])
+    if shelf.keys:
+        yield shelf
 
 
 def spans(flags: np.ndarray) -> list[tuple[int, int]]:
     """Beginning and length of every run of true."""
+    if not flags.any():
+        return []
     edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
     return [(int(f), int(e - f)) for f, e in zip(edges[::2], edges[1::2])]
 
@@ -323,6 +347,7 @@ def repeated_spans(
     gram: int = GRAM,
     group: int = GROUP,
     shard_bytes: int = SHARD_BYTES,
+    at_once: int = SORTED_BYTES,
     room: int = ROOM,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -379,9 +404,12 @@ def repeated_spans(
     )
     pieces, marks = _split_large(pieces, length, group, rows_per_task, scratch)
     total = pieces.agg(F.sum(F.octet_length("data") + 1)).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    sorted_ = pieces.select("g", "a", "c", "off", "data").repartition(shards, "g")
-    marks.append(sorted_.mapInArrow(_sorted(length, room), MARKED))
+    # Small inputs are spread as well.
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, -(-total // shard_bytes), min(spread, -(-total // at_once)))
+    dealt = pieces.select("g", "a", "c", "off", "data").repartition(shards, "g")
+    ordered = dealt.sortWithinPartitions("g")
+    marks.append(ordered.mapInArrow(_sorted(length, room, at_once), MARKED))
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("at.windows").alias("windows")))
     marks.append(contexts.where("copies > 1").select("a", "c", whole.alias("spans")))
     every = marks[0]

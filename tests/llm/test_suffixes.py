@@ -145,11 +145,11 @@ def test_shared_passages(spark, seed):
 def test_large_groups_are_halved(spark):
     """Every group too large, down to single windows, and every join dealt out."""
     compare(spark, passages(3, 40) + AGAIN, group=1, rows_per_task=2)
-    compare(spark, passages(3, 40) + AGAIN, group=5, rows_per_task=3, shard_bytes=3000)
+    compare(spark, passages(3, 40) + AGAIN, group=5, rows_per_task=3, shard_bytes=3000, at_once=500)
 
 
-def test_shards_larger_than_memory(spark, monkeypatch):
-    compare(spark, passages(4), room=100)
+def test_shards_larger_than_memory(spark):
+    compare(spark, passages(4), room=100, at_once=1 << 30)
 
 
 def test_short_windows(spark):

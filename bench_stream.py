@@ -1,7 +1,7 @@
 """Drain a stored change log through the streaming job and print one JSON line.
 
-Reads BENCH_SF_DIR (default /root/testdata/sf0.01), BENCH_CPUS (default 4) and
-BENCH_TRIGGER (default "10 seconds"). The figure is records per second of batch time, as
+Reads BENCH_SF_DIR (default /root/testdata/sf0.01), BENCH_CPUS (default 4), BENCH_LANES (default
+8 for each of these) and BENCH_TRIGGER (default "10 seconds"). The figure is records per second of batch time, as
 the query reports it for the batches that read the log.
 """
 
@@ -23,6 +23,7 @@ FILES = 4
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.01")
     cpus = os.environ.get("BENCH_CPUS", "4")
+    lanes = int(os.environ.get("BENCH_LANES", 8 * int(cpus)))
     trigger = os.environ.get("BENCH_TRIGGER", "10 seconds")
     spark = build_session(
         "matchlake-stream-bench",
@@ -37,7 +38,7 @@ def main() -> None:
         f"{work}/log"
     )
     records = spark.read.schema(cdc.LOG_SCHEMA).json(f"{work}/log").count()
-    facts = facts_stream(heartbeat(spark, cdc.replay_log(spark, f"{work}/log")))
+    facts = facts_stream(heartbeat(spark, cdc.replay_log(spark, f"{work}/log")), lanes=lanes)
     start = time.perf_counter()
     query = append_files(facts, f"{work}/out", f"{work}/checkpoint", trigger)
     busy: dict[int, tuple[int, float]] = {}

@@ -27,6 +27,8 @@ SERIES = ["name", "series"]
 # A tick of the evaluation grid, and how long a sample stands for its series.
 STEP_SECONDS = 15
 LOOKBACK_SECONDS = 300
+# Ticks that one row is unfolded into at a time.
+STEPS_AT_ONCE = 240
 
 
 def label_key(labels: Column) -> Column:
@@ -128,6 +130,41 @@ def or_zero(single: DataFrame, column: str = "value") -> DataFrame:
     return single.agg(F.coalesce(F.max(column), F.lit(0.0)).alias(column))
 
 
+def or_zero_on_grid(
+    ticks: DataFrame, step_seconds: int = STEP_SECONDS, labels: Sequence[str] = (), column: str = "value"
+) -> DataFrame:
+    """Each group at every tick of the grid, with zero where it has no value.
+
+    ``ticks`` has a row per tick ``pos`` and group of ``labels`` at most; the grid goes from its
+    first tick to its last. A group is one that has a value at any tick, so an absent target
+    reads as zero instead of leaving a gap. Without ``labels`` there is one group, which is there
+    at every tick. Ticks are made hour by hour of the steps, not in one row.
+    """
+    step, run = step_seconds * SECOND, step_seconds * SECOND * STEPS_AT_ONCE
+    ends = ticks.agg(F.min("pos").alias("first"), F.max("pos").alias("last")).where("first IS NOT NULL")
+    spine = ends.select("last", F.explode(F.sequence("first", "last", F.lit(run))).alias("begin")).select(
+        F.explode(
+            F.sequence("begin", F.least("last", F.col("begin") + run - step), F.lit(step))
+        ).alias("pos")
+    )
+    if labels:
+        # One row of the grid's ends meets every group, so this is no join of rows with rows.
+        groups = ticks.select(*labels).distinct().select(F.struct(*labels).alias("_group"))
+        spine = groups.join(F.broadcast(ends)).select(
+            "_group", "last", F.explode(F.sequence("first", "last", F.lit(run))).alias("begin")
+        ).select(
+            "_group.*",
+            F.explode(
+                F.sequence("begin", F.least("last", F.col("begin") + run - step), F.lit(step))
+            ).alias("pos"),
+        )
+    values = ticks.select(*[F.col(c).alias(f"_{c}") for c in (*labels, "pos")], column)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*labels, "pos")]
+    return spine.join(values, reduce(Column.__and__, same), "left").select(
+        *labels, "pos", F.coalesce(column, F.lit(0.0)).alias(column)
+    )
+
+
 def divided(part: Column, whole: Column) -> Column:
     """Division of metrics: by zero it is an infinity, and nothing where both are zero."""
     infinite = F.when(part > 0, F.lit(float("inf"))).when(part < 0, F.lit(float("-inf")))
@@ -152,6 +189,7 @@ def _trailing(
     width: Column | int,
     scan: Callable[[Column], Scan],
     hot: HotKeys,
+    whole: Mapping[str, Scan] | None = None,
 ) -> DataFrame:
     """Add ``_came`` and ``_stays``, which together cover the last ``width`` microseconds.
 
@@ -162,13 +200,14 @@ def _trailing(
     on how many rows a window holds, and a long series spreads over its slices.
 
     ``scan`` is given the condition under which a row takes part, and may use ``_x``, the
-    time since the slice began.
+    time since the slice began, and the scans of the slice in ``whole``.
     """
     mine = F.col("_own")
     sliced, slice_keys, hot_slices = _sliced(
         samples, keys, width, F.lit(True), F.col("pos"), hot
     )
-    came = running(sliced, slice_keys, "_at", None, {"_came": scan(mine)}, hot_slices)
+    steps = [s for s in (whole, {"_came": scan(mine)}) if s]
+    came = running(sliced, slice_keys, "_at", None, steps, hot_slices)
     stays = running(came, slice_keys, "_back", None, {"_stays": scan(~mine)}, hot_slices)
     return stays.where(mine).select(*samples.columns, "_came", "_stays")
 
@@ -232,10 +271,20 @@ def trailing_slope(
     width: Column | int,
     hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
-    """Add the least-squares ``slope`` of ``value`` per second; null below two instants."""
-    point = F.struct(F.col("value").alias("y"), (F.col("_x") / SECOND).alias("x"))
+    """Add the least-squares ``slope`` of ``value`` per second; null below two instants.
+
+    Values are taken above the lowest of their slice before anything is summed. So the level of a
+    series is gone before partial sums meet, in whatever order they do.
+    """
+    above = (F.col("value") - F.col("_level")).alias("y")
+    point = F.struct(above, (F.col("_x") / SECOND).alias("x"))
     both = _trailing(
-        samples, keys, width, lambda mine: Scan("fit", F.when(mine, point)), hot
+        samples,
+        keys,
+        width,
+        lambda mine: Scan("fit", F.when(mine, point)),
+        hot,
+        whole={"_level": Scan("lowest", F.col("value"))},
     )
     fit = merged_fit(F.col("_came"), F.col("_stays"))
     slope = F.when((fit["n"] >= 2) & (fit["sxx"] > 0), fit["sxy"] / fit["sxx"])

@@ -151,8 +151,9 @@ class Scan:
     """One running value: its kind and the column it runs over.
 
     ``sum``, ``min``, ``max`` and ``last`` (last non-null) include the current row,
-    ``lag`` is the previous row's value, ``total`` the sum over the whole key. ``fit``
-    takes points ``struct(y, x)`` and gives their count, means and centred sums.
+    ``lag`` is the previous row's value, ``total`` the sum and ``lowest`` the minimum over
+    the whole key. ``fit`` takes points ``struct(y, x)`` and gives their count, means and
+    centred sums; points should be near zero, as partial means of far ones are not exact.
     """
 
     kind: str
@@ -173,6 +174,8 @@ class Scan:
                 return F.lag(F.struct(value.alias("v"))).over(ordered)
             case "total":
                 return F.sum(value).over(whole)
+            case "lowest":
+                return F.min(value).over(whole)
             case "fit":
                 return F.struct(*[a.over(frame).alias(n) for n, a in _fit(value).items()])
         raise ValueError(f"unknown scan {self.kind!r}")
@@ -183,7 +186,7 @@ class Scan:
         match self.kind:
             case "sum" | "total":
                 return F.sum(value)
-            case "min":
+            case "min" | "lowest":
                 return F.min(value)
             case "max":
                 return F.max(value)
@@ -205,6 +208,8 @@ class Scan:
                 return F.max(summary).over(earlier)
             case "total":
                 return F.sum(summary).over(whole)
+            case "lowest":
+                return F.min(summary).over(whole)
             case "fit":
                 return _fit_of_fits(summary, earlier, whole)
         return F.last(summary, ignorenulls=True).over(earlier)
@@ -217,7 +222,7 @@ class Scan:
                 return F.least(carry, local)
             case "max":
                 return F.greatest(carry, local)
-            case "total":
+            case "total" | "lowest":
                 return carry
             case "fit":
                 return merged_fit(carry, local)

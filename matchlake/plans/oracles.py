@@ -285,6 +285,14 @@ _RULES = [
 ]
 
 
+RAW_SAMPLES = """raw AS (
+  SELECT event_id % 21 AS i, event_id // 21 AS s, CAST(floor(value) AS BIGINT) AS n,
+         event_id // 21 * 15000 + event_id % 21 * 7 % 15 * 1000 + event_id * 137 % 900
+           + CASE WHEN event_id % 21 = 8 AND event_id // 21 % 97 BETWEEN 50 AND 74
+                  THEN 376000 ELSE 0 END AS ms
+  FROM events)"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -303,11 +311,7 @@ def _alerts_sql() -> str:
         if kind != "value"
     )
     return f"""
-WITH raw AS (
-  SELECT event_id % 21 AS i, event_id // 21 AS s, CAST(floor(value) AS BIGINT) AS n,
-         event_id // 21 * 15000 + event_id % 21 * 7 % 15 * 1000 + event_id * 137 % 900 AS ms
-  FROM events
-  WHERE NOT (event_id % 21 = 8 AND event_id // 21 % 97 BETWEEN 50 AND 74)),
+WITH {RAW_SAMPLES},
 uses(i, alert, role, grp) AS (VALUES {table}),
 windows(alert, w, per) AS (VALUES {counters}),
 sampled AS (SELECT i, ms, CAST(CASE i {value} END AS DOUBLE) AS v FROM raw),
@@ -411,6 +415,9 @@ _LEADERS = """SELECT account_name, count(*) FILTER (result = 'win') AS wins,
 FROM match_facts GROUP BY account_name"""
 
 _CONSTRAINTS: list[tuple[str, str, str]] = []
+_NO_FIGURES = """NULL::DOUBLE AS win_rate, NULL::DOUBLE AS avg_kills,
+  NULL::DOUBLE AS avg_deaths, NULL::DOUBLE AS avg_duration_seconds, NULL::BIGINT AS matches,
+  NULL::BIGINT AS wins, NULL::DOUBLE AS kd"""
 _KEYS = {
     "players": "id",
     "current_ranks": "player_id",
@@ -600,6 +607,26 @@ UNION ALL SELECT 'rank_as_of_mix', count(*)
         FROM match_facts)
 UNION ALL SELECT 'rank_vs_result', count(*)
   FROM (SELECT DISTINCT rank_tier_at_match_start, result FROM match_facts)"""
+    ),
+    "dashboard_reports": _facts(
+        f"""SELECT 'facts_landed' AS report, NULL AS key_1, NULL AS key_2, count(*) AS facts,
+  {_NO_FIGURES} FROM match_facts
+UNION ALL SELECT 'hero_win_rate', hero_played, NULL, facts, win_rate, avg_kills, avg_deaths,
+  NULL, NULL, NULL, NULL
+  FROM ({_HEROES}) JOIN (SELECT hero_played, count(*) AS facts FROM match_facts GROUP BY ALL)
+  USING (hero_played)
+UNION ALL SELECT 'map_results', map_name, NULL, count(*), NULL, NULL, NULL,
+  round(avg(match_duration_seconds::DOUBLE), 2), count(DISTINCT match_id), NULL, NULL
+  FROM match_facts GROUP BY map_name
+UNION ALL SELECT 'player_leaderboard', account_name, NULL, facts, NULL, NULL, NULL, NULL, NULL,
+  wins, kd
+  FROM ({_LEADERS}) JOIN (SELECT account_name, count(*) AS facts FROM match_facts GROUP BY ALL)
+  USING (account_name)
+UNION ALL SELECT 'rank_as_of_mix', rank_tier_at_match_start,
+  CAST(rank_division_at_match_start AS VARCHAR), count(*), {_NO_FIGURES}
+  FROM match_facts GROUP BY rank_tier_at_match_start, rank_division_at_match_start
+UNION ALL SELECT 'rank_vs_result', rank_tier_at_match_start, result, count(*), {_NO_FIGURES}
+  FROM match_facts GROUP BY rank_tier_at_match_start, result"""
     ),
     "derive_rank": _with(
         MATCHES,
@@ -691,6 +718,15 @@ FROM (SELECT coalesce(r.n, 0) AS n, e.id IS NOT NULL AS has_event
 FROM (SELECT *, CASE WHEN gauge <> 0 THEN counter / gauge WHEN counter > 0
                      THEN CAST('inf' AS DOUBLE) END AS ratio FROM hourly) WHERE ratio > 0.8""",
     ),
+    "metric_or_zero": f"""
+WITH {RAW_SAMPLES},
+sampled AS (SELECT ms, CAST({_turn(40, '12000 + n', 'n')} AS DOUBLE) AS v FROM raw WHERE i = 8),
+ticks AS (SELECT unnest(range(0, max(ms) + 960000, 15000)) AS t FROM raw),
+seen AS (
+  SELECT t.t, x.v FROM ticks t ASOF JOIN sampled x ON t.t >= x.ms WHERE t.t - x.ms <= 300000)
+SELECT make_timestamp((1704067200000 + t.t) * 1000) AS ts, coalesce(seen.v, 0) AS value
+FROM ticks t LEFT JOIN seen ON seen.t = t.t
+WHERE t.t BETWEEN (SELECT min(t) FROM seen) AND (SELECT max(t) FROM seen)""",
     "alert_lag_climbing": _with(
         SAMPLES,
         then="SELECT event_type, ts, round(value, 4) AS value, round(m, 8) AS slope FROM ("

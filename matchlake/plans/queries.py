@@ -288,6 +288,11 @@ def dataset_row_counts(t: Inputs) -> DataFrame:
     return reports.dataset_row_counts(facts_of(t))
 
 
+@query
+def dashboard_reports(t: Inputs) -> DataFrame:
+    return reports.all_reports(facts_of(t))
+
+
 # --- ranks and quality -------------------------------------------------------
 
 
@@ -424,6 +429,18 @@ def metric_deriv(t: Inputs) -> DataFrame:
     return _labelled(fitted, F.round("slope", 8).alias("slope"))
 
 
+@query
+def metric_or_zero(t: Inputs) -> DataFrame:
+    """The checkpoint durations of a job whose samples are held up at times, or zero."""
+    durations = metrics.with_series(
+        metrics.select(t.alert_samples, name="flink_jobmanager_job_lastCheckpointDuration")
+    )
+    summed = metrics.sum_by(metrics.on_grid(durations), [])
+    return metrics.or_zero_on_grid(summed).select(
+        wall_clock(F.timestamp_micros("pos")).alias("ts"), "value"
+    )
+
+
 def _hourly(t: Inputs, name: str) -> DataFrame:
     return metrics.on_grid(_series(t, name), HOUR, 6 * HOUR)
 

@@ -125,6 +125,77 @@ def dashboard(facts: DataFrame) -> dict[str, DataFrame]:
     return {name: ordered_report(facts, name) for name in REPORTS}
 
 
+def all_reports(facts: DataFrame) -> DataFrame:
+    """All six reports as one table, from one read of the facts by grouping sets.
+
+    A row per report and group: (report, key_1, key_2, facts, ...) with the figures of its report
+    and nulls for those of others. Maps are grouped by match first, so that matches are counted by
+    adding up groups; everything else is added up before the shuffle as well. An empty table has
+    no groups and gives no rows.
+    """
+    sets = {
+        "facts_landed": [],
+        "hero_win_rate": ["hero_played"],
+        "map_results": ["map_name", "match_id"],
+        "player_leaderboard": ["account_name"],
+        "rank_as_of_mix": ["rank_tier_at_match_start", "rank_division_at_match_start"],
+        "rank_vs_result": ["rank_tier_at_match_start", "result"],
+    }
+    columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    # The number of a grouping set: a bit per column that it leaves out, the last one lowest.
+    numbers = {
+        name: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys)
+        for name, keys in sets.items()
+    }
+    won = F.col("won")
+    per_death = F.col("kills").cast("double") / F.nullif(F.col("deaths"), F.lit(0))
+    measured = facts.select(
+        *columns,
+        F.when(F.col("result") == "win", 1).otherwise(0).alias("won"),
+        "kills",
+        "deaths",
+        per_death.alias("per_death"),
+        F.col("match_duration_seconds").alias("duration"),
+    )
+    totals = {"facts": F.count(F.lit(1)), "wins": F.sum(won)}
+    for name in ("kills", "deaths", "per_death", "duration"):
+        totals |= {f"{name}_sum": F.sum(F.col(name).cast("double")), f"{name}_n": F.count(name)}
+    grouped = measured.groupingSets(
+        [[F.col(c) for c in keys] for keys in sets.values()], *columns
+    ).agg(*[v.alias(n) for n, v in totals.items()], F.grouping_id().alias("number"))
+    report = F.coalesce(*[F.when(F.col("number") == n, F.lit(r)) for r, n in numbers.items()])
+    keys = {"key_1": None, "key_2": None}
+    for name, chosen in sets.items():
+        for i, column in enumerate([c for c in chosen if c != "match_id"], 1):
+            value = F.when(F.col("report") == name, F.col(column).cast("string"))
+            keys[f"key_{i}"] = value if keys[f"key_{i}"] is None else F.coalesce(keys[f"key_{i}"], value)
+    by_key = (
+        grouped.withColumn("report", report)
+        .groupBy("report", *[v.alias(k) for k, v in keys.items()])
+        .agg(*[F.sum(n).alias(n) for n in totals], F.count(F.lit(1)).alias("parts"))
+    )
+
+    def only(name: str, value: Column) -> Column:
+        return F.when(F.col("report") == name, value)
+
+    def mean(name: str) -> Column:
+        return F.round(F.col(f"{name}_sum") / F.nullif(F.col(f"{name}_n"), F.lit(0)), 2)
+
+    rate = F.round(F.col("wins") / F.col("facts") * 100, 1)
+    return by_key.select(
+        "report",
+        *keys,
+        "facts",
+        only("hero_win_rate", rate).alias("win_rate"),
+        only("hero_win_rate", mean("kills")).alias("avg_kills"),
+        only("hero_win_rate", mean("deaths")).alias("avg_deaths"),
+        only("map_results", mean("duration")).alias("avg_duration_seconds"),
+        only("map_results", F.col("parts")).alias("matches"),
+        only("player_leaderboard", F.col("wins")).alias("wins"),
+        only("player_leaderboard", mean("per_death")).alias("kd"),
+    )
+
+
 def dataset_row_counts(facts: DataFrame) -> DataFrame:
     """How many rows each report has, in one pass: a report has a row per group.
 

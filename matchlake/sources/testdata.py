@@ -306,7 +306,8 @@ class Inputs:
         """Series scraped about every 15 seconds, one event to a scrape of a series.
 
         Every series has a second of its own within the scrape, and each scrape drifts by less
-        than another one. Series ``GAPPY`` misses 25 scrapes of each 97.
+        than another one. Series ``GAPPY`` is held up for 25 scrapes of each 97: their samples
+        come 25 scrapes and a second later, which leaves a gap above the lookback.
         """
         n = len(ALERT_SERIES)
         scrape = floor_div(F.col("event_id"), n)
@@ -328,11 +329,11 @@ class Inputs:
         for i in range(1, n):
             value = value.when(which == i, values[i])
         drift = which * 7 % 15 * 1000 + F.col("event_id") * 137 % 900
-        at = F.lit(1_704_067_200_000) + scrape * 15_000 + drift
-        missed = (which == GAPPY) & (scrape % 97).between(50, 74)
+        held_up = (which == GAPPY) & (scrape % 97).between(50, 74)
+        delay = F.when(held_up, 25 * 15_000 + 1000).otherwise(0)
+        at = F.lit(1_704_067_200_000) + scrape * 15_000 + drift + delay
         return (
-            self.events.where(~missed)
-            .select(
+            self.events.select(
                 F.get(table, which.cast("int")).alias("s"),
                 F.timestamp_millis(at).alias("ts"),
                 value.alias("value"),

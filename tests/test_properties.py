@@ -227,11 +227,13 @@ def test_trailing_sum_and_increase(spark, split):
             assert got[name, at] == (pytest.approx(sum(window)) if window else None)
 
 
-@pytest.mark.parametrize("level", [0.0, 1e9, 1e11, 1e12])
-def test_slopes_do_not_depend_on_the_plan(spark, level):
-    """A series far above zero, whole and cut into pieces."""
+@pytest.mark.parametrize("partitions", [1, 8, 16])
+@pytest.mark.parametrize("level", [0.0, 1e9, 1e12])
+def test_slopes_do_not_depend_on_the_plan(spark, level, partitions):
+    """A series far above zero, whole and cut into pieces, from any number of partitions."""
     rows = [("m", "s", i * 15 * metrics.SECOND, level + i) for i in range(4000)]
-    df = spark.createDataFrame(rows, SAMPLE)
+    random.Random(partitions).shuffle(rows)
+    df = spark.createDataFrame(rows, SAMPLE).repartition(partitions)
     for rows_per_task in (skew.ROWS_PER_TASK, 300):
         hot = find_hot_keys(df, metrics.SERIES, rows_per_task)
         assert bool(hot) == (rows_per_task == 300)

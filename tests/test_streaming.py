@@ -24,6 +24,7 @@ from matchlake.streaming.job import (
 )
 
 LIMIT = 150
+LANES = 16
 
 
 class Run:
@@ -61,7 +62,7 @@ class Run:
 
     def start(self, flush_ms=6000, **options):
         log = heartbeat(self.spark, cdc.replay_log(self.spark, self.log, files_per_trigger=1))
-        facts = facts_stream(log, flush_ms=flush_ms, **options)
+        facts = facts_stream(log, flush_ms=flush_ms, lanes=LANES, **options)
         return append_files(facts, self.out, self.checkpoint, "500 milliseconds")
 
     def facts(self):
@@ -129,7 +130,7 @@ def test_one_stream_per_topic(spark, log):
         run.deliver([r for r in rows if r[0] == cdc.topic(table)], folder)
     logs = heartbeat(spark, cdc.replay_logs(spark, run.log))
     query = append_files(
-        facts_stream(logs, flush_ms=6000), run.out, run.checkpoint, "500 milliseconds"
+        facts_stream(logs, flush_ms=6000, lanes=LANES), run.out, run.checkpoint, "500 milliseconds"
     )
     try:
         assert wait(query, lambda: run.rows() >= expected.count())
@@ -145,7 +146,7 @@ def test_append_to_a_table_and_print(spark):
     run = Run(spark)
     run.deliver(match_records(1, 12))
     lake.ensure_table(spark, "demo.streamed")
-    facts = facts_stream(heartbeat(spark, cdc.replay_log(spark, run.log)), flush_ms=1000)
+    facts = facts_stream(heartbeat(spark, cdc.replay_log(spark, run.log)), flush_ms=1000, lanes=LANES)
     query = append_table(facts, "demo.streamed", run.checkpoint, "500 milliseconds")
     try:
         assert wait(query, lambda: lake.read_facts(spark, "demo.streamed").count() == 12)

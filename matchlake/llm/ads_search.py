@@ -170,8 +170,9 @@ def search(
     null, zero, of an odd length or hold null or non-finite parts take no part, nor do rows
     without id. Equal vectors are one to the search and keep only their ``nearest`` + 1 lowest
     ids, as no answer can name another; equal queries are asked once. Lists are cut into chunks
-    and queries into blocks, so no task holds a whole list or all queries. Rows that repeat an
-    id are ranked each.
+    and queries into blocks, so no task holds a whole list or all queries. A query for which the
+    probed lists hold too few rows goes on through all lists, so it gets ``nearest`` rows, or all
+    there are. Rows that repeat an id are ranked each.
     """
     spark = table.sparkSession
     scratch = Scratch(spark, "ads-search")
@@ -204,29 +205,25 @@ def search(
         return pa.array(index.near_lists(index.turned(matrix(vectors))).tolist(), pa.list_(pa.int32()))
 
     placed = scratch.put(
-        nodes.select("c", "vector", "h1", "h2", lists_of("vector").alias("near")).select(
-            "c", "vector", "h1", "h2", F.slice("near", 1, index.probes).alias("near")
-        ),
-        "placed",
+        nodes.select("c", "vector", lists_of("vector")[0].alias("list")), "placed"
     )
     asking = rows.where(F.pmod("vec_id", F.lit(query_step)) == 0).select(
         F.col("vec_id").alias("query_id"), "h1", "h2"
     )
     asked = scratch.put(
-        placed.join(asking.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select(
-            F.col("c").alias("q"), "vector", "near"
+        nodes.join(asking.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").select(
+            F.col("c").alias("q"), "vector", lists_of("vector").alias("near")
         ),
         "asked",
     )
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    listed = placed.select("c", "vector", F.col("near")[0].alias("list"))
-    sizes = listed.groupBy("list").agg(
+    sizes = placed.groupBy("list").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(CHUNK_ROWS)).cast("int").alias("chunks")
     )
     chunks = F.broadcast(spark.createDataFrame(sizes.collect(), "list int, chunks int"))
     spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     key = ["list", "chunk", "block"]
-    shelves = listed.join(chunks, "list").select(
+    shelves = placed.join(chunks, "list").select(
         "c", "vector", "list", F.pmod(F.xxhash64("c"), "chunks").cast("int").alias("chunk"), spread
     )
 
@@ -250,8 +247,22 @@ def search(
         bound = first.where(F.col("k") == keep).select("q", F.col("score").alias("worst"))
         rest = probe(2, index.probes - 1, asked.join(bound, "q", "left"))
         found = first.select("q", "c", "score").unionByName(rest)
+    found = scratch.put(_best(found.select("q", "c", "score"), keep), "found")
+    # Where the probed lists hold too few rows, all others are scanned as well.
+    held = found.groupBy("q").agg(F.count(F.lit(1)).alias("n"))
+    short = scratch.put(
+        asked.join(held, "q", "left").where(F.coalesce("n", F.lit(0)) < min(keep, total)).drop("n"),
+        "short",
+    )
+    lists = len(index.centres)
+    if lists > index.probes and short.head(1):
+        every = short.withColumn("worst", F.lit(None).cast("double"))
+        more = probe(index.probes + 1, lists - index.probes, every)
+        found = scratch.put(
+            _best(found.select("q", "c", "score").unionByName(more), keep), "completed"
+        )
     named = (
-        _best(found.select("q", "c", "score"), keep)
+        found.select("q", "c", "score")
         .join(nodes.select("c", "ids"), "c")
         .select("q", "score", F.explode("ids").alias("vec_id"))
     )

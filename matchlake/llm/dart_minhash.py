@@ -531,11 +531,11 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The documents with one row of each class: that of the lowest id; repeated rows once."""
+    """The documents with one of each class: that of the lowest id; rows of one id and text once."""
     lasting = near_duplicates(docs, text, id_col).where("kept and doc_id is not null")
     key = F.col(f"`{id_col}`")
     none = docs.where(key.isNull())
     ids = lasting.select(F.col("doc_id").alias("_kept_id")).distinct().hint("merge")
     kept = docs.join(ids, key.cast("long") == F.col("_kept_id"), "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(none)
+    return kept.dropDuplicates([id_col, text]).unionByName(none)
 

@@ -114,11 +114,25 @@ class Notice:
             if not self.edits:
                 continue
             for s, e in [*exact, (b, b)]:
-                for m in self.fuzzy.finditer(line, taken, min(len(line), s + 1)):
-                    if not m.group().startswith(b" ") and not m.group().endswith(b" "):
-                        yield m.start(), m.end(), sum(m.fuzzy_counts)
+                yield from self.edited(line, taken, min(len(line), s + 1))
                 taken = max(taken, e)
 
+    def edited(self, line: bytes, a: int, b: int) -> Iterator[tuple[int, int, int]]:
+        """The closest edited place from a to b, then the closest on either side of it, and so on.
+
+        The best match comes first, wherever it stands; what lies before it is searched again.
+        """
+        open_ = [(a, b)]
+        while open_:
+            a, b = open_.pop()
+            m = self.fuzzy.search(line, a, b) if a < b else None
+            if m is None:
+                continue
+            if not m.group().startswith(b" ") and not m.group().endswith(b" "):
+                yield m.start(), m.end(), sum(m.fuzzy_counts)
+            # A word's space ends one place and begins another.
+            open_ += [(max(a, m.end()), b), (a, min(b - 1, m.start()))]
+
 
 def notices() -> list[Notice]:
     exact = [Notice(p, label, 0, True) for p, label in BASE.items()]

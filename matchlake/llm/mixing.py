@@ -80,6 +80,21 @@ def apportion(shares: Sequence[float], limits: Sequence[int], seats: int) -> lis
     return given
 
 
+def source_quotas(shares: Sequence[float], limits: Sequence[int], block: int) -> list[int]:
+    """Words each source gives: whole blocks by the highest quotients, then a last, partial block.
+
+    No source gets a block that its share does not fill. What all of them are short of their
+    shares is given word by word, again by the highest quotients, so that a source smaller than a
+    block has its part too.
+    """
+    whole = [min(int(s // block), limit // block) for s, limit in zip(shares, limits)]
+    given = apportion(shares, whole, sum(whole))
+    left = [s - block * g for s, g in zip(shares, given)]
+    most = [limit - block * g for limit, g in zip(limits, given)]
+    words = apportion(left, most, round(sum(shares)) - block * sum(given))
+    return [block * g + w for g, w in zip(given, words)]
+
+
 def take_blocks(
     sizes: np.ndarray, quota: int, block: int, draw: np.random.Generator
 ) -> tuple[int, np.ndarray, np.ndarray]:
@@ -130,12 +145,11 @@ def mix_shard(rows: pa.Table, plan: Mix) -> Taken:
     names, at = np.unique(source, return_index=True)
     sums = np.add.reduceat(size, at)
     shares = [plan.targets[int(s)] * int(n) / plan.sizes[int(s)] for s, n in zip(names, sums)]
-    limits = [int(plan.max_repeats * int(n) // plan.block) for n in sums]
-    given = apportion(shares, limits, round(sum(shares) / plan.block))
+    quotas = source_quotas(shares, [int(plan.max_repeats * int(n)) for n in sums], plan.block)
     taken, repeats, ranges = np.zeros(len(size), np.int64), np.zeros(len(size), np.int32), []
-    for name, low, high, blocks in zip(names, at, [*at[1:], len(size)], given):
+    for name, low, high, quota in zip(names, at, [*at[1:], len(size)], quotas):
         draw = np.random.default_rng([plan.seed, int(columns["_shard"][0]), int(name)])
-        passes, starts, ends = take_blocks(size[low:high], blocks * plan.block, plan.block, draw)
+        passes, starts, ends = take_blocks(size[low:high], quota, plan.block, draw)
         last = np.cumsum(size[low:high])
         first = last - size[low:high]
         begin, end = np.searchsorted(ends, first, "right"), np.searchsorted(starts, last, "left")

@@ -68,6 +68,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(base).alias("base_labels"),
         joined(F.col("s.hits")).alias("labels"),
         F.coalesce(closest, F.lit(0.0)).alias("score"),
+        F.transform(
+            "s.hits",
+            lambda h: F.struct(*[h[c].alias(c) for c in ("label", "word", "words", "edits", "found")]),
+        ).alias("spans"),
     )
 
 

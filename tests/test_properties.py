@@ -337,3 +337,24 @@ def test_binary_search(spark):
         count_before(F.col("xs"), 33, lambda v: v <= F.col("x")).alias("n")
     ).collect()
     assert [r.n for r in found] == [bisect_right(xs, x) for xs, x in cases]
+
+
+def test_absent_groups_read_as_zero(spark):
+    """Each group has every tick of the grid, in one row, and zero where it has no value."""
+    step = 15 * metrics.SECOND
+    rng = random.Random(4)
+    kept = {(g, t): float(rng.randrange(9)) for g in "ab" for t in range(700) if rng.random() < 0.5}
+    kept |= {(None, 5): 2.0, ("c", 699): 1.0, ("a", 0): 3.0}
+    ticks = spark.createDataFrame(
+        [(g, t * step, v) for (g, t), v in kept.items()], "topic string, pos bigint, value double"
+    )
+    filled = metrics.or_zero_on_grid(ticks, labels=["topic"]).collect()
+    assert {(r.topic, r.pos // step): r.value for r in filled} == {
+        (g, t): kept.get((g, t), 0.0) for g in ("a", "b", "c", None) for t in range(700)
+    }
+    assert len(filled) == 4 * 700
+    alone = ticks.where("topic = 'a'").select("pos", "value")
+    got = {r.pos // step: r.value for r in metrics.or_zero_on_grid(alone).collect()}
+    last = max(t for g, t in kept if g == "a")
+    assert got == {t: kept.get(("a", t), 0.0) for t in range(last + 1)}
+    assert metrics.or_zero_on_grid(ticks.where("false"), labels=["topic"]).collect() == []

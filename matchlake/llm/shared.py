@@ -66,9 +66,12 @@ class Remembered(dict):
         self.room = room
         self.old: dict = {}
 
-    def missing(self, keys: set) -> set:
-        """The keys that are in neither generation; those in the old one are moved."""
-        if len(self) >= self.room:
+    def missing(self, keys: set, turn: bool = True) -> set:
+        """The keys that are in neither generation; those in the old one are moved.
+
+        Without ``turn`` no generation ends, so keys that were found before stay at hand.
+        """
+        if turn and len(self) >= self.room:
             self.old = dict(self)
             self.clear()
         absent = keys.difference(self)

@@ -24,8 +24,10 @@ from matchlake.llm.shared import Remembered
 
 #: Fixed: the pattern that cuts text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Entries of a generation of remembered words, and documents of a batch.
-REMEMBERED = 200_000
+#: Entries of a generation of remembered pieces, their characters at most, and documents of a batch.
+REMEMBERED = 250_000
+LONGEST = 48
+PAIRS = 200_000
 BATCH = 512
 BYTES = 256
 END = -1
@@ -119,11 +121,15 @@ class Vocabulary:
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes, with earlier words remembered up to a bound."""
+    """Ids of texts as little-endian 32-bit bytes, with earlier pieces remembered up to a bound.
+
+    A piece is a word, or a chunk of several words without white space inside. Long pieces are
+    known for their batch only, so what is remembered is bounded in bytes as well.
+    """
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.words, self.chunks = Remembered(REMEMBERED), Remembered(REMEMBERED)
+        self.pieces = Remembered(REMEMBERED)
         self._apart: dict[int, bool] = {}
         self._word = regex.compile(WORDS)
         # Words never cross from other characters to a space or line feed, so a text whose only
@@ -133,7 +139,7 @@ class Encoder:
         names = sorted(self.vocabulary.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
-    def _walk(self, words: Iterable[str]) -> None:
+    def _walk(self, words: Iterable[str], into: dict[str, bytes]) -> None:
         """Encode new distinct words in one depth-first traversal of their trie.
 
         The trie is its words in order, which is the order of the traversal: a word shares with
@@ -148,7 +154,7 @@ class Encoder:
             pair = before << PAIR_BITS | token
             fits = lookup(pair)
             if fits is None:
-                if len(known) >= REMEMBERED:
+                if len(known) >= PAIRS:
                     known.clear()
                 fits = known[pair] = vocabulary.apart(before, token)
             return fits
@@ -171,7 +177,7 @@ class Encoder:
                         if token is not None and (not begin or follows(states[begin], token)):
                             break
                 states.append(token)
-            self.words[word] = self._ids(states)
+            into[word] = self._ids(states)
             last = data
 
     def _ids(self, states: list[int]) -> bytes:
@@ -183,13 +189,19 @@ class Encoder:
             depth -= sizes[token]
         return array("I", reversed(out)).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Ids of new chunks, from those of their words."""
-        cut = {c: self._word.findall(c) for c in chunks}
-        self._walk(self.words.missing({w for words in cut.values() for w in words}))
-        ids = self.words.__getitem__
-        for chunk, words in cut.items():
-            self.chunks[chunk] = b"".join(map(ids, words))
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Know the ids of chunks: the new ones from those of their words. Names the long ones."""
+        absent = self.pieces.missing(chunks)
+        cut = {c: self._word.findall(c) for c in absent}
+        words = self.pieces.missing({w for found in cut.values() for w in found}, turn=False)
+        fresh: dict[str, bytes] = {}
+        self._walk(words, fresh)
+        known = self.pieces
+        for chunk, found in cut.items():
+            if chunk not in fresh:
+                fresh[chunk] = b"".join([fresh[w] if w in fresh else known[w] for w in found])
+        known.update(fresh)
+        return [p for p in fresh if len(p) > LONGEST]
 
     def _chunks(self, text: str) -> list[str]:
         if self._odd_space.search(text):
@@ -205,10 +217,8 @@ class Encoder:
             pieces.append(
                 [p if i % 2 else self._chunks(p) for i, p in enumerate(parts) if i % 2 or p]
             )
-        self._learn(
-            self.chunks.missing({c for parts in pieces for p in parts if isinstance(p, list) for c in p})
-        )
-        ids = self.chunks.__getitem__
+        long = self._learn({c for parts in pieces for p in parts if isinstance(p, list) for c in p})
+        ids = self.pieces.__getitem__
         out = []
         for parts in pieces:
             data = [
@@ -218,6 +228,8 @@ class Encoder:
                 for p in parts
             ]
             out.append(np.frombuffer(b"".join(data), np.uint32))
+        for piece in long:
+            del self.pieces[piece]
         return out
 
     def decode(self, ids: np.ndarray) -> str:

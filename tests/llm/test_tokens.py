@@ -61,7 +61,10 @@ def test_memory_of_words_is_bounded(library, monkeypatch):
     for i in range(30):
         text = " ".join(f"w{i}x{j}" for j in range(15))
         assert small.encode([text, text])[1].tolist() == library.encode(text).ids
-        assert len(small.words) + len(small.words.old) <= 80
+        assert len(small.pieces) + len(small.pieces.old) <= 120
+    long = "abc" * 40 + " " + "z" * 200
+    assert small.encode([long, None, long])[2].tolist() == library.encode(long).ids
+    assert max(map(len, [*small.pieces, *small.pieces.old])) <= trie_bpe.LONGEST
 
 
 def test_query_over_documents(spark, medium, library):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake.schemas import NULLABLE, TABLES, struct
+from matchlake.sources.offsets import topic_segments
 
 # Topic prefix and the published tables, which are all of TABLES.
 TOPIC_PREFIX = "dbserver1.public."
@@ -118,6 +119,27 @@ def kafka_logs(
     return {t: kafka_log(spark, [t], **options) for t in tables}
 
 
+def segment_log(
+    spark: SparkSession,
+    path: str,
+    tables: Sequence[str] = PUBLISHED,
+    streaming: bool = True,
+    **options,
+) -> DataFrame:
+    """The change topics as segments with offsets, from a group's committed positions on.
+
+    ``options`` are those of ``topic_segments``: group, starting and offsets_per_trigger.
+    """
+    return topic_segments(spark, path, [topic(t) for t in tables], streaming, **options)
+
+
+def segment_logs(
+    spark: SparkSession, path: str, tables: Sequence[str] = PUBLISHED, **options
+) -> dict[str, DataFrame]:
+    """``segment_log`` with a stream of its own for every table."""
+    return {t: segment_log(spark, path, [t], **options) for t in tables}
+
+
 def published(log: DataFrame, tables: Sequence[str] = PUBLISHED) -> DataFrame:
     """Only the records of the given published tables."""
     return log.where(F.col("topic").isin([topic(t) for t in tables]))

@@ -176,6 +176,11 @@ def unwrap(log: DataFrame, table: str) -> DataFrame:
     or not, that is no value of the field's type. The row image is taken from the payload, or
     from the top level where the log was written without a payload.
     """
+    return _unwrapped(log, table).drop("_typed")
+
+
+def _unwrapped(log: DataFrame, table: str) -> DataFrame:
+    """``unwrap`` with the typed row in ``_typed``, so that each value is typed once."""
     fields = struct(TABLES[table]).fieldNames()
     image = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     schema = T.StructType(
@@ -188,10 +193,12 @@ def unwrap(log: DataFrame, table: str) -> DataFrame:
     parsed = F.from_json(
         "value", schema, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
     )
-    # The one-element explode keeps later filters from parsing the text a second time.
+    # The one-element explodes keep later steps from parsing the text or typing a value again.
     opened = log.withColumn("_parsed", F.explode(F.array(parsed)))
     opened = opened.withColumn("after", F.coalesce("_parsed.payload.after", "_parsed.after"))
-    typed = _typed(F.col("after"), table, "null")
+    values = [v.alias(n) for n, v in _typed(F.col("after"), table).items()]
+    opened = opened.withColumn("_typed", F.explode(F.array(F.struct(*values))))
+    typed = F.col("_typed")
     incomplete = _any(F.col("after")[f].isNull() for f in fields if f not in NULLABLE[table])
     unreadable = _any(F.col("after")[f].isNotNull() & typed[f].isNull() for f in fields)
     names = F.json_object_keys("value")
@@ -235,7 +242,7 @@ def decode(
         raise ValueError(f"on_error: {on_error!r}")
     if null_text not in ("null", "literal"):
         raise ValueError(f"null_text: {null_text!r}")
-    unwrapped = drop_deletes(unwrap(log, table))
+    unwrapped = drop_deletes(_unwrapped(log, table))
     good = F.col("fate") == "row"
     if null_text == "literal":
         good = good | (F.col("fate") == "missing_field") & _keyed(table)
@@ -244,9 +251,18 @@ def decode(
             F.concat(F.lit(f"bad {table} record: "), F.coalesce("value", F.lit("")))
         ).cast("boolean")
         good = F.when(good, F.lit(True)).otherwise(stop)
-    typed = _typed(F.col("after"), table, null_text)
+    literal = [
+        f.name
+        for f in struct(TABLES[table]).fields
+        if null_text == "literal" and isinstance(f.dataType, T.StringType) and f.name != "result"
+    ]
+    typed = F.col("_typed")
     return unwrapped.where(good).select(
-        *keep, *[value.alias(name) for name, value in typed.items()]
+        *keep,
+        *[
+            (F.coalesce(typed[f], F.lit("null")) if f in literal else typed[f]).alias(f)
+            for f in struct(TABLES[table]).fieldNames()
+        ],
     )
 
 
@@ -259,18 +275,14 @@ def rejects(log: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _typed(after: Column, table: str, null_text: str) -> dict[str, Column]:
-    return {
-        f.name: _scalar(after[f.name], f, null_text)
-        for f in struct(TABLES[table]).fields
-    }
+def _typed(after: Column, table: str) -> dict[str, Column]:
+    return {f.name: _scalar(after[f.name], f) for f in struct(TABLES[table]).fields}
 
 
-def _scalar(text: Column, f: T.StructField, null_text: str) -> Column:
+def _scalar(text: Column, f: T.StructField) -> Column:
     """Coerce one JSON scalar, whatever its JSON type, to the column type."""
     if isinstance(f.dataType, T.StringType):
-        literal = null_text == "literal" and f.name != "result"
-        return F.coalesce(text, F.lit("null")) if literal else text
+        return text
     if isinstance(f.dataType, T.TimestampType):
         return F.when(text.rlike(INSTANT), text.try_cast("timestamp"))
     flag = F.when(text == "true", 1).when(text == "false", 0)
@@ -282,13 +294,11 @@ def _scalar(text: Column, f: T.StructField, null_text: str) -> Column:
 
 def _keyed(table: str) -> Column:
     """All required fields but text are present."""
-    needed = [
-        f.name
-        for f in struct(TABLES[table]).fields
-        if f.name not in NULLABLE[table] and not isinstance(f.dataType, T.StringType)
-    ]
-    typed = _typed(F.col("after"), table, "literal")
-    present = typed[needed[0]].isNotNull()
-    for name in needed[1:]:
-        present = present & typed[name].isNotNull()
-    return present
+    return reduce(
+        Column.__and__,
+        [
+            F.col("_typed")[f.name].isNotNull()
+            for f in struct(TABLES[table]).fields
+            if f.name not in NULLABLE[table] and not isinstance(f.dataType, T.StringType)
+        ],
+    )

@@ -398,6 +398,20 @@ def test_licences_of_documents(spark, medium):
     assert any(r["n_base"] for r in rows)
 
 
+def test_edited_notices_near_each_other():
+    """The closest of a window is found first, and the others before and after it all the same."""
+    searched = license_scan.notices()
+
+    def edits(text):
+        return [(h["word"], h["edits"]) for h in license_scan.scan(text, searched)[1] if h["label"] == "mit"]
+
+    two, one, none = "undr te mit license", "undr the mit license", "under the mit license"
+    assert edits(f"x {two} and {one} z") == [(1, 2), (6, 1)]
+    assert edits(f"x {one} and {two} z") == [(1, 1), (6, 2)]
+    assert edits(f"{two} {one} {none} {one} {two}") == [(0, 2), (4, 1), (8, 0), (12, 1), (16, 2)]
+    assert edits(" ".join([one, two] * 20)) == [(4 * i, 1 + i % 2) for i in range(40)]
+
+
 def test_licences_with_edits_and_overlaps():
     searched = license_scan.notices()
 

@@ -197,6 +197,23 @@ def test_neighbours_of_few_vectors(spark):
     assert sorted(got) == [(1, 7), (2, 3)]
 
 
+def test_short_answers_go_on_through_all_lists(spark, monkeypatch):
+    """Lists of a few rows each, of which one is probed: five neighbours all the same."""
+    monkeypatch.setattr(ads_search, "COVERED", 0.0)
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(60, 16))
+    rows = [(i * 10, np.float32(centres[i % 60] + rng.normal(size=16) * 0.01).tolist(), 0) for i in range(240)]
+    index = ads_search.fit(np.array([v for _, v, _ in rows]), len(rows))
+    assert index.probes == 1 and len(index.centres) > 1
+    got = ads_search.search(frame(spark, rows)).collect()
+    want = brute_nearest(rows)
+    assert {r["query_id"] for r in got} == set(want)
+    assert len(got) == 5 * len(want)
+    # The three others of a query's cluster are always found.
+    for q, near in want.items():
+        assert {i for i, _ in near[:3]} <= {r["vec_id"] for r in got if r["query_id"] == q}
+
+
 def test_abandoned_candidates_are_no_neighbours():
     rng = np.random.default_rng(2)
     rows = rng.normal(size=(3000, 64))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -47,10 +48,11 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""",
-    re.DOTALL,
+_START = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)""", re.DOTALL
 )
+_ATTRIBUTES = re.compile(r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+(?:>|\Z)""")
+_STOPS = re.compile(r"""[>"']""")
 _NAMED = re.compile(
     r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE
 )
@@ -67,6 +69,63 @@ class Block:
     linked: float
 
 
+class _Tags:
+    """Tags, comments and declarations of a page, in time that grows with its length alone.
+
+    A tag ends at the first ``>`` outside quotes, or with the page; one whose quotes do not close
+    is text. Where a quote opens decides the rest, so that is remembered by quote once a page has
+    such a tag.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.stops: list[int] | None = None
+        self.ends: dict[int, int | None] = {}
+
+    def search(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, slash, name and attributes of the next one; no name but of tags."""
+        while found := _START.search(self.page, at):
+            if not found[2]:
+                return found.start(), found.end(), "", "", ""
+            name = found[2]
+            # A name that holds quotes may also end before one of them.
+            cuts = [len(name), *[i for i in range(len(name) - 1, 0, -1) if name[i] in "'\""]]
+            for cut in cuts:
+                begin = found.start(2) + cut
+                end = self._end(begin)
+                if end is not None:
+                    return found.start(), end, found[1], name[:cut], self.page[begin:end]
+            at = found.start() + 1
+        return None
+
+    def _end(self, at: int) -> int | None:
+        if self.stops is None:
+            found = _ATTRIBUTES.match(self.page, at)
+            if found:
+                return found.end()
+            self.stops = [m.start() for m in _STOPS.finditer(self.page)]
+        page, opened, end = self.page, [], None
+        while True:
+            n = bisect_left(self.stops, at)
+            if n == len(self.stops):
+                end = len(page)
+                break
+            stop = self.stops[n]
+            if page[stop] == ">":
+                end = stop + 1
+                break
+            if stop in self.ends:
+                end = self.ends[stop]
+                break
+            opened.append(stop)
+            closed = page.find(page[stop], stop + 1)
+            if closed < 0:
+                break
+            at = closed + 1
+        self.ends.update(dict.fromkeys(opened, end))
+        return end
+
+
 def _ends_raw(name: str, page: str, at: int) -> tuple[int, int]:
     """Start and end of the end tag of a raw element from ``at`` on; the page's end if none."""
     end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(page, at)
@@ -111,15 +170,17 @@ def leaf_blocks(page: str | None) -> list[Block]:
             if stack[depth][0] in scope:
                 return
 
-    while found := _TAG.search(page, at):
-        take(page[at : found.start()])
-        at = found.end()
-        if not found[2]:
+    tags = _Tags(page)
+    while found := tags.search(at):
+        start, end, slash, name, attributes = found
+        take(page[at:start])
+        at = end
+        if not name:
             continue
-        name = found[2].lower()
+        name = name.lower()
         if name in BLOCK:
             flush()
-        if found[1]:
+        if slash:
             close(HEADINGS if name in HEADINGS else {name}, set())
             continue
         if name == "br":
@@ -133,7 +194,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
             close({"p"}, BLOCK - {"p"})
         if name in CLOSES:
             close(*CLOSES[name])
-        named = " ".join(x for m in _NAMED.findall(found[3]) for x in m if x) if found[3] else ""
+        named = " ".join(x for m in _NAMED.findall(attributes) for x in m if x) if attributes else ""
         stack.append((name, named))
         links += name == "a"
     take(page[at:])

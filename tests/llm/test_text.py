@@ -398,6 +398,33 @@ def test_licences_of_documents(spark, medium):
     assert any(r["n_base"] for r in rows)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<" + "x" * 1_000_000 + " '",
+        '<a "' * 250_001,
+        "<a " * 300_000 + "'",
+        "<a'" * 300_001,
+        "<p title='1'>x" * 60_000,
+    ],
+    ids=["name", "tags", "unclosed", "quotes", "closed"],
+)
+def test_a_megabyte_of_tags_and_quotes(page):
+    begun = time.monotonic()
+    html_crf.leaf_blocks(page)
+    assert time.monotonic() - begun < 20
+
+
+def test_tags_end_outside_quotes():
+    def texts(page):
+        return [b.text for b in html_crf.leaf_blocks(page)]
+
+    assert texts("<p title='a > b'>one<p title=\"it's\">two") == ["one", "two"]
+    assert texts("<p title='open>one<p>two") == ["<p title='open>one", "two"]
+    assert texts("a <b\"c>d") == ["a d"] and texts("x < y <3 <p") == ["x < y <3"]
+    assert texts("<!-- <p>no</p> --><p>yes<!-- open <p>no") == ["yes"]
+
+
 def test_edited_notices_near_each_other():
     """The closest of a window is found first, and the others before and after it all the same."""
     searched = license_scan.notices()

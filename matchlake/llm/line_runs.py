@@ -148,10 +148,10 @@ class LineRuns:
         if not names:
             return self.spark.createDataFrame([], "h1 long, h2 long, n long")
         many = self.spark.table(names[0]).where(F.col("n") >= self.min_docs)
-        return self.spark.table(self._write(many))
+        return self.scratch.put(many, "repeated")
 
     def close(self) -> None:
-        """Forget all runs; the tables of ``repeated`` stay for later plans."""
+        """Forget all runs, so that none stays in the catalog; ``repeated`` keys stay written."""
         for name in self._names():
             self._drop(name)
         self.levels = []

@@ -245,8 +245,9 @@ def _sliced(
         (pos - F.col("_half.slice") * width).alias("_x"),
     )
     slice_keys = [*keys, "_slice"]
-    hot_slices = find_hot_keys(sliced, slice_keys, hot.rows_per_task) if hot else NO_HOT_KEYS
-    return sliced, slice_keys, hot_slices
+    if hot:
+        return sliced, slice_keys, find_hot_keys(sliced, slice_keys, hot.rows_per_task)
+    return sliced, slice_keys, HotKeys(tuple(slice_keys), total=2 * hot.total)
 
 
 def trailing_sum(
@@ -300,7 +301,8 @@ def increments(
     series has neither.
     """
     scans = {"_before": Scan("lag", F.col("value")), "since": Scan("lag", F.col("pos"))}
-    seen = running(samples.withColumn("_tie", F.xxhash64("value")), keys, "pos", "_tie", scans, hot)
+    tied = samples.withColumn("_tie", F.xxhash64("value"))
+    seen = running(tied, keys, "pos", "_tie", scans, hot, spread=True)
     grown = F.col("value") - F.col("_before")
     step = F.when(grown < 0, F.col("value")).otherwise(grown)
     return seen.withColumn("step", step).drop("_before", "_tie")
@@ -332,9 +334,9 @@ def trailing_growth(
         "_came": Scan("sum", F.when(mine & F.col("_inside"), F.col("step"))),
         "_edge": Scan("last", F.when(mine & ~F.col("_inside") & F.col("step").isNotNull(), edge)),
     }
-    came = running(sliced, slice_keys, "_at", None, forward, hot_slices)
+    came = running(sliced, slice_keys, "_at", None, forward, hot_slices, spread=True)
     stays = {"_stays": Scan("sum", F.when(~mine, F.col("step")))}
-    both = running(came, slice_keys, "_back", None, stays, hot_slices)
+    both = running(came, slice_keys, "_back", None, stays, hot_slices, spread=True)
     first = F.when(F.col("_edge.until") >= F.col("pos"), F.col("_edge.step"))
     parts = [F.col("_came"), F.col("_stays"), first]
     some = F.coalesce(*parts).isNotNull()

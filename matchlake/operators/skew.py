@@ -22,6 +22,9 @@ from matchlake.functions.search import count_before
 from matchlake.session import pinned
 
 ROWS_PER_TASK = 2_000_000
+#: Rows a task of a spread scan gets, unless one key has more, and slices the rows are counted in.
+ROWS_AT_ONCE = 64_000
+COUNTED_IN = 16
 #: Quantiles asked of a hot key for every piece it is cut into, at least, and their accuracy.
 STEPS_PER_PIECE = 4
 LEAST_STEPS = 1000
@@ -36,11 +39,15 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Row counts of the hot values of ``keys``, by key hash."""
+    """Row counts of the hot values of ``keys``, by key hash, and ``total`` rows of all keys.
+
+    A total of 0 is not known.
+    """
 
     keys: tuple[str, ...]
     rows: Mapping[int, int] = field(default_factory=dict)
     rows_per_task: int = ROWS_PER_TASK
+    total: int = 0
 
     def __bool__(self) -> bool:
         return bool(self.rows)
@@ -58,6 +65,15 @@ class HotKeys:
         """Into how many pieces each hot key is cut."""
         return {h: -(-n // self.rows_per_task) for h, n in self.rows.items()}
 
+    def spread(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """``df`` by ``keys`` over as many partitions as its rows ask for.
+
+        Rows of one key look alike and compress well, so partitions merged by their bytes hold
+        far more of them than a task should sort.
+        """
+        number = -(-self.total // ROWS_AT_ONCE)
+        return df.repartition(number, *keys) if number > 1 else df
+
 
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
@@ -72,7 +88,8 @@ def find_all_hot_keys(
     """``find_hot_keys`` for several keys of one table, in one pass over the key columns.
 
     Rows are counted before they are shuffled, and the counts are spread over all tasks by the
-    key's hash; only the hot ones, fewer than rows / ``rows_per_task``, reach the driver.
+    key's hash; only the hot ones, fewer than rows / ``rows_per_task``, reach the driver, and the
+    number of all rows in ``COUNTED_IN`` parts.
     """
     hashes = F.array(
         *[
@@ -84,11 +101,20 @@ def find_all_hot_keys(
         df.select(F.explode(hashes).alias("_k"))
         .groupBy("_k.keys", "_k.hash")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > rows_per_task)
+        .groupBy("keys", F.pmod("hash", F.lit(COUNTED_IN)))
+        .agg(
+            F.sum("n").alias("total"),
+            F.collect_list(F.when(F.col("n") > rows_per_task, F.struct("hash", "n"))).alias("hot"),
+        )
         .collect()
     )
     return [
-        HotKeys(tuple(keys), {r["hash"]: r["n"] for r in many if r["keys"] == i}, rows_per_task)
+        HotKeys(
+            tuple(keys),
+            {h["hash"]: h["n"] for r in many if r["keys"] == i for h in r["hot"]},
+            rows_per_task,
+            sum(r["total"] for r in many if r["keys"] == i),
+        )
         for i, keys in enumerate(key_sets)
     ]
 
@@ -292,16 +318,20 @@ def running(
     tie: str | None,
     scans: Scans | Sequence[Scans],
     hot: HotKeys = NO_HOT_KEYS,
+    spread: bool = False,
 ) -> DataFrame:
     """Add running values per key, in the order of the bigint columns ``pos, tie``.
 
     Given several groups of scans, later ones may use the values of earlier ones. Without
     ``tie``, rows of equal ``pos`` are peers and see each other's values. Hot keys are cut
     at quantiles of their own order, scanned piece by piece, and the pieces' summaries (one
-    row each) are scanned and added back.
+    row each) are scanned and added back. With ``spread`` the other keys go to as many tasks as
+    their rows ask for.
     """
     steps = [scans] if isinstance(scans, Mapping) else list(scans)
     light = df.where(~hot.is_hot()) if hot else df
+    if spread:
+        light = hot.spread(light, keys)
     for step in steps:
         light = _scan_plain(light, keys, pos, tie, step)
     if not hot:

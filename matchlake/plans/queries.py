@@ -387,6 +387,17 @@ def _series(t: Inputs, name: str) -> DataFrame:
     return metrics.with_series(metrics.select(t.samples, name=name))
 
 
+def _short_rows(series: DataFrame) -> DataFrame:
+    """Samples with the labels that are shown in place of the map, as scans sort whole rows."""
+    shown = [F.col("labels")[label].alias(label) for label in ("event_type", "shard")]
+    return series.select(*metrics.SERIES, *shown, "pos", "value")
+
+
+def _shown(df: DataFrame, *values: Column | str) -> DataFrame:
+    ts = F.timestamp_micros("pos")
+    return df.select("event_type", "shard", wall_clock(ts).alias("ts"), *values)
+
+
 def _hot_series(t: Inputs, series: DataFrame) -> HotKeys:
     return find_hot_keys(series, metrics.SERIES, t.rows_per_task)
 
@@ -410,9 +421,9 @@ def metric_select(t: Inputs) -> DataFrame:
 
 @query
 def metric_increase(t: Inputs) -> DataFrame:
-    counter = _series(t, COUNTER)
+    counter = _short_rows(_series(t, COUNTER))
     grown = metrics.increase(counter, DAY, hot=_hot_series(t, counter))
-    return _labelled(grown, "value", "increase")
+    return _shown(grown, "value", "increase")
 
 
 @query

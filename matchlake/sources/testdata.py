@@ -278,6 +278,7 @@ class Inputs:
             "one",
             {"n": Scan("sum", F.col("one"))},
             self.hot_series,
+            spread=True,
         )
         pair = F.array(
             F.struct(F.lit(GAUGE).alias("name"), F.col("value").alias("value")),

@@ -1,6 +1,7 @@
 """Operators against plain Python on random input, with and without hot keys."""
 
 import random
+import re
 from bisect import bisect_right
 from datetime import datetime, timedelta
 
@@ -227,6 +228,32 @@ def test_trailing_sum_and_increase(spark, split):
             assert got[name, at] == (pytest.approx(sum(window)) if window else None)
 
 
+def test_all_rows_are_counted(spark):
+    df = spark.createDataFrame([(0,)] * 50 + [(i,) for i in range(1, 40)] + [(None,)], "k int")
+    for rows_per_task in (10, 50):
+        assert find_hot_keys(df, ["k"], rows_per_task).total == 90
+    assert find_hot_keys(df.where("false"), ["k"], 10).total == 0
+
+
+def spread_over(df, key):
+    """The numbers of partitions that shuffles by ``key`` go to."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {int(n) for n in re.findall(rf"hashpartitioning\([^)]*{key}#\d+L?, (\d+)\)", plan)}
+
+
+def test_growth_is_spread_by_rows(spark, monkeypatch):
+    """Steps by series, then sums by slice, in as many tasks as the rows ask for."""
+    rows = sample_rows(13)
+    df = spark.createDataFrame(rows, SAMPLE)
+    hot = find_hot_keys(df, metrics.SERIES)
+    whole = metrics.increase(df, 300, hot=hot)
+    monkeypatch.setattr(skew, "ROWS_AT_ONCE", 40)
+    spread = metrics.increase(df, 300, hot=hot)
+    assert spread_over(spread, "series") == {-(-len(rows) // 40)}
+    assert spread_over(spread, "_slice") == {-(-2 * len(rows) // 40)}
+    assert sorted(spread.collect()) == sorted(whole.collect())
+
+
 @pytest.mark.parametrize("partitions", [1, 8, 16])
 @pytest.mark.parametrize("level", [0.0, 1e9, 1e12])
 def test_slopes_do_not_depend_on_the_plan(spark, level, partitions):

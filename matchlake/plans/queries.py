@@ -428,9 +428,9 @@ def metric_increase(t: Inputs) -> DataFrame:
 
 @query
 def metric_rate(t: Inputs) -> DataFrame:
-    counter = _series(t, COUNTER)
+    counter = _short_rows(_series(t, COUNTER))
     grown = metrics.increase(counter, HOUR, hot=_hot_series(t, counter))
-    return _labelled(grown, F.round("rate", 9).alias("rate"))
+    return _shown(grown, F.round("rate", 9).alias("rate"))
 
 
 @query

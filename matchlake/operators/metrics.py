@@ -207,8 +207,9 @@ def _trailing(
         samples, keys, width, F.lit(True), F.col("pos"), hot
     )
     steps = [s for s in (whole, {"_came": scan(mine)}) if s]
-    came = running(sliced, slice_keys, "_at", None, steps, hot_slices)
-    stays = running(came, slice_keys, "_back", None, {"_stays": scan(~mine)}, hot_slices)
+    came = running(sliced, slice_keys, "_at", None, steps, hot_slices, spread=True)
+    stays = {"_stays": scan(~mine)}
+    stays = running(came, slice_keys, "_back", None, stays, hot_slices, spread=True)
     return stays.where(mine).select(*samples.columns, "_came", "_stays")
 
 

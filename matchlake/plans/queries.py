@@ -435,9 +435,9 @@ def metric_rate(t: Inputs) -> DataFrame:
 
 @query
 def metric_deriv(t: Inputs) -> DataFrame:
-    gauge = _series(t, GAUGE)
+    gauge = _short_rows(_series(t, GAUGE))
     fitted = metrics.deriv(gauge, 2 * DAY, hot=_hot_series(t, gauge))
-    return _labelled(fitted, F.round("slope", 8).alias("slope"))
+    return _shown(fitted, F.round("slope", 8).alias("slope"))
 
 
 @query

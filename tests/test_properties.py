@@ -254,6 +254,20 @@ def test_growth_is_spread_by_rows(spark, monkeypatch):
     assert sorted(spread.collect()) == sorted(whole.collect())
 
 
+def test_slopes_are_spread_by_rows(spark, monkeypatch):
+    rows = sample_rows(14)
+    df = spark.createDataFrame(rows, SAMPLE)
+    hot = find_hot_keys(df, metrics.SERIES)
+    whole = {(r.name, r.pos): r.slope for r in metrics.deriv(df, 300, hot=hot).collect()}
+    monkeypatch.setattr(skew, "ROWS_AT_ONCE", 40)
+    spread = metrics.deriv(df, 300, hot=hot)
+    assert spread_over(spread, "_slice") == {-(-2 * len(rows) // 40)}
+    got = {(r.name, r.pos): r.slope for r in spread.collect()}
+    assert got.keys() == whole.keys()
+    for k in got:
+        assert got[k] == (whole[k] if whole[k] is None else pytest.approx(whole[k]))
+
+
 @pytest.mark.parametrize("partitions", [1, 8, 16])
 @pytest.mark.parametrize("level", [0.0, 1e9, 1e12])
 def test_slopes_do_not_depend_on_the_plan(spark, level, partitions):

@@ -113,8 +113,8 @@ def token_digests(docs: DataFrame) -> DataFrame:
     """Digests of the ids of whole texts, and of the texts the ids decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return (
-        docs.select("doc_id", trie_bpe.token_ids(F.col("text"), path).alias("ids"))
-        .withColumn("decoded", trie_bpe.token_text(F.col("ids"), path))
+        docs.select("doc_id", trie_bpe.token_ids_and_text(F.col("text"), path).alias("t"))
+        .select("doc_id", "t.*")
         .select(
             "doc_id",
             F.size("ids").cast("long").alias("n_tokens"),

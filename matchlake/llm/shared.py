@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import filterfalse
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from matchlake.session import ensure_checkpoint_dir
 
+#: Letters for sure, whatever the version of Unicode; for sets in patterns.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,7 +78,9 @@ class Remembered(dict):
         if turn and len(self) >= self.room:
             self.old = dict(self)
             self.clear()
-        absent = keys.difference(self)
-        for key in absent.intersection(self.old):
+        # Each key is looked up; set operations would go through all that is remembered.
+        absent = set(filterfalse(self.__contains__, keys))
+        again = list(filter(self.old.__contains__, absent))
+        for key in again:
             self[key] = self.old[key]
-        return absent.difference(self)
+        return absent.difference(again)

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchlake.llm.shared import Remembered
+from matchlake.llm.shared import LETTERS, Remembered
 
 #: Fixed: the pattern that cuts text into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -35,6 +35,7 @@ END = -1
 TAIL = 4
 #: Bits of a token's number in a pair of tokens held as one integer.
 PAIR_BITS = 32
+MASK = (1 << PAIR_BITS) - 1
 
 
 def byte_letters() -> dict[str, int]:
@@ -133,8 +134,12 @@ class Encoder:
         self._apart: dict[int, bool] = {}
         self._word = regex.compile(WORDS)
         # Words never cross from other characters to a space or line feed, so a text whose only
-        # white space is those may be cut before each run of them.
-        self._chunk = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+        # white space is those may be cut before each run of them, and also after letters, before
+        # ASCII that is no letter. What is left of a chunk then are mostly whole words.
+        self._chunk = re.compile(
+            rf"[ \n]*[{LETTERS}]++(?=[\0-@\[-`{{-\x7f]|\Z)|[ \n]*[^ \n]+|[ \n]+"
+        )
+        self._one_word = re.compile(f" ?[{LETTERS}]+").fullmatch
         self._odd_space = re.compile(r"[^\S \n]|[\x1c-\x1f]")
         names = sorted(self.vocabulary.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
@@ -150,13 +155,10 @@ class Encoder:
         reached, longest = vocabulary.reached.get, vocabulary.longest_by_tail.get
         sizes, lookup = vocabulary.sizes, known.get
 
-        def follows(before: int, token: int) -> bool:
-            pair = before << PAIR_BITS | token
-            fits = lookup(pair)
-            if fits is None:
-                if len(known) >= PAIRS:
-                    known.clear()
-                fits = known[pair] = vocabulary.apart(before, token)
+        def follows(pair: int) -> bool:
+            if len(known) >= PAIRS:
+                known.clear()
+            fits = known[pair] = vocabulary.apart(pair >> PAIR_BITS, pair & MASK)
             return fits
 
         states, last = [END], b""
@@ -170,11 +172,22 @@ class Encoder:
                 # One token that ends here may follow the state where it starts. Often it is
                 # the last one grown by a byte, else they are tried by falling length.
                 token = reached(data[begin:depth])
-                if token is None or begin and not follows(states[begin], token):
+                if token is not None and begin:
+                    pair = states[begin] << PAIR_BITS | token
+                    fits = lookup(pair)
+                    if not (follows(pair) if fits is None else fits):
+                        token = None
+                if token is None:
                     room = longest(data[depth - TAIL : depth], TAIL - 1) if depth >= TAIL else depth
-                    for begin in range(max(0, depth - room), depth):
+                    for begin in range(depth - room if depth > room else 0, depth):
                         token = reached(data[begin:depth])
-                        if token is not None and (not begin or follows(states[begin], token)):
+                        if token is None:
+                            continue
+                        if not begin:
+                            break
+                        pair = states[begin] << PAIR_BITS | token
+                        fits = lookup(pair)
+                        if follows(pair) if fits is None else fits:
                             break
                 states.append(token)
             into[word] = self._ids(states)
@@ -192,8 +205,10 @@ class Encoder:
     def _learn(self, chunks: set[str]) -> list[str]:
         """Know the ids of chunks: the new ones from those of their words. Names the long ones."""
         absent = self.pieces.missing(chunks)
-        cut = {c: self._word.findall(c) for c in absent}
-        words = self.pieces.missing({w for found in cut.values() for w in found}, turn=False)
+        whole = set(filter(self._one_word, absent))
+        cut = {c: self._word.findall(c) for c in absent.difference(whole)}
+        words = {w for found in cut.values() for w in found}.difference(whole)
+        words = self.pieces.missing(words, turn=False) | whole
         fresh: dict[str, bytes] = {}
         self._walk(words, fresh)
         known = self.pieces
@@ -217,8 +232,10 @@ class Encoder:
             pieces.append(
                 [p if i % 2 else self._chunks(p) for i, p in enumerate(parts) if i % 2 or p]
             )
-        long = self._learn({c for parts in pieces for p in parts if isinstance(p, list) for c in p})
-        ids = self.pieces.__getitem__
+        distinct = set().union(*[p for parts in pieces for p in parts if isinstance(p, list)])
+        long = self._learn(distinct)
+        # The batch's own pieces are few beside all that is known, and so found sooner.
+        ids = dict(zip(distinct, map(self.pieces.__getitem__, distinct))).__getitem__
         out = []
         for parts in pieces:
             data = [
@@ -267,6 +284,28 @@ def token_ids(text: Column, path: str) -> Column:
     return encode(text)
 
 
+def token_ids_and_text(text: Column, path: str) -> Column:
+    """``struct(ids, decoded)``: the ids of a whole text and the text these ids decode to.
+
+    Both come from one worker, so ids are not handed back to Python to be decoded.
+    """
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(path)
+        for part in parts:
+            ids, decoded = [], []
+            for i in range(0, len(part), BATCH):
+                made = encoder.encode(part.slice(i, BATCH).to_pylist())
+                ids.extend(made)
+                decoded.extend(map(encoder.decode, made))
+            yield pa.StructArray.from_arrays(
+                [as_lists(ids), pa.array(decoded, pa.string())], ["ids", "decoded"]
+            )
+
+    return encode(text)
+
+
 def token_text(ids: Column, path: str) -> Column:
     """Text of ids; null ids give null."""
 

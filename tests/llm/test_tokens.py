@@ -1,6 +1,7 @@
 """Trie BPE and Simple-8b against the tokenizers library and exact round trips."""
 
 import hashlib
+import re
 import sys
 import unicodedata
 import zlib
@@ -55,6 +56,31 @@ def test_every_character_in_context(library, encoder):
         assert ids.tolist() == library.encode(text).ids
 
 
+#: Letters beside what may and may not end a word.
+EDGES = st.text(alphabet="abZéßÿÀ×÷ªµıſKǅʰ中́̈ͅ0²'\"sStTreEvVmMlLdD.,-_<|>!\t\n \u00a0\u2028", max_size=40)
+
+
+@settings(max_examples=1000, deadline=None)
+@given(EDGES)
+def test_cuts_after_letters_as_the_library(library, encoder, text):
+    [ids] = encoder.encode([text])
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_remembered_without_what_follows(library):
+    fresh = trie_bpe.Encoder(BYTE_PATH)
+    text = "house house, house. house's house-boat (house) naïve; naïve\n\nhouse"
+    assert fresh.encode([text])[0].tolist() == library.encode(text).ids
+    assert {" house", " naïve"} <= set(fresh.pieces)
+    assert not {" house,", " house.", " house's", " naïve;"} & set(fresh.pieces)
+
+
+def test_ids_and_text_come_from_one_python_step(spark, medium):
+    """Ids are not handed to a second worker to be decoded."""
+    plan = queries.op9_trie_bpe(spark, medium)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython \[", plan)) == 1
+
+
 def test_memory_of_words_is_bounded(library, monkeypatch):
     monkeypatch.setattr(trie_bpe, "REMEMBERED", 20)
     small = trie_bpe.Encoder(BYTE_PATH)

@@ -8,7 +8,9 @@ its own, and its first word is recorded, so blocks are decoded alone and all at
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -19,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.shared import Remembered
+from matchlake.llm.shared import LETTERS, Remembered
 
 #: Fixed: (ids, bits of each) of selectors 2 to 15.
 PACKS = [
@@ -134,11 +136,18 @@ def unpack(words: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     return out
 
 
+def _steps(normalizer: dict | None) -> list[dict]:
+    """The normaliser's parts, or itself where it has none."""
+    return (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])
+
+
 class ChunkIds:
     """Ids of texts from the tokenizers library, each distinct stretch between spaces once.
 
     The vocabulary's words never hold white space and its normaliser works within them, so the
-    ids of a text are those of its stretches one after another.
+    ids of a text are those of its stretches one after another. Letters that begin a stretch are
+    one of their own before ASCII that is no letter: words end there, and such a character never
+    joins the letter before it. So most stretches are single words, whatever follows them.
     """
 
     def __init__(self, path: str):
@@ -151,17 +160,46 @@ class ChunkIds:
         self.tokenizer.no_padding()
         # Added tokens are found before normalising; stretches with one are encoded alone.
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.folds = '"type":"Lowercase"' in self.tokenizer.to_str()
+        spec = json.loads(self.tokenizer.to_str())
+        self.folds = any(n["type"] == "Lowercase" for n in _steps(spec["normalizer"]))
+        self._stretch = re.compile(rf"[{LETTERS}]++(?=[\0-@\[-`{{-\x7f]|\Z)|[^ ]+")
+        self._marked = re.compile("[A-Z][^\\0-\u02ff]").search
+        self._word = re.compile(f"[{LETTERS}]+").fullmatch
+        # The ids that end a word, of which the last character carries a suffix.
+        suffix = spec["model"].get("end_of_word_suffix") or "\0"
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
 
     def _folded(self, text: str) -> str:
         """The text with A-Z lower-cased, as the vocabulary does anyway, so words come together.
 
         Other letters are left to the library, and so is a text that would hold an added token,
-        as these are told by case.
+        as these are told by case, or a capital before what may be a mark: the library composes
+        the two before it lower-cases, and a small letter may compose where the capital does not.
         """
+        if not text.isascii() and self._marked(text):
+            return text
         low = text.encode("utf-8", "replace").lower().decode()
         return text if any(mark in low for mark in self.marks) else low
 
+    def _stretches(self, text: str) -> list[str]:
+        text = text.replace("\n", " ")
+        if any(mark in text for mark in self.marks):
+            return text.split(" ")
+        return self._stretch.findall(text)
+
+    def _learn_words(self, new: list[str]) -> None:
+        """Encode many stretches of letters in one call; each is a word and has one last id."""
+        [done] = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+        ids = np.array(done.ids, "<u4")
+        cuts = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+        if len(cuts) != len(new):
+            return self._learn(new)
+        data = ids.tobytes()
+        for chunk, a, b in zip(new, [0, *cuts], cuts):
+            self.known[chunk] = data[a:b]
+
     def _learn(self, new: list[str]) -> None:
         """Encode many stretches in one call, a space between them.
 
@@ -180,19 +218,23 @@ class ChunkIds:
         texts = [t or "" for t in texts]
         if self.folds:
             texts = [self._folded(t) for t in texts]
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self.known.missing(set().union(*pieces))
+        pieces = list(map(self._stretches, texts))
+        distinct = set().union(*pieces)
+        new = self.known.missing(distinct)
         odd = {c for c in new if any(mark in c for mark in self.marks)}
         for chunk in odd:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             self.known[chunk] = np.array(ids, "<u4").tobytes()
-        new = list(new.difference(odd))
-        for i in range(0, len(new), JOINED):
-            self._learn(new[i : i + JOINED])
+        words = list(filter(self._word, new.difference(odd)))
+        others = list(new.difference(odd, words))
+        for i in range(0, len(words), JOINED):
+            self._learn_words(words[i : i + JOINED])
+        for i in range(0, len(others), JOINED):
+            self._learn(others[i : i + JOINED])
         last = np.array([end], "<u4").tobytes()
-        return [
-            np.frombuffer(b"".join(map(self.known.__getitem__, p)) + last, "<u4") for p in pieces
-        ]
+        # The batch's own stretches are few beside all that is known, and so found sooner.
+        ids = dict(zip(distinct, map(self.known.__getitem__, distinct))).__getitem__
+        return [np.frombuffer(b"".join(map(ids, p)) + last, "<u4") for p in pieces]
 
 
 @lru_cache(maxsize=2)

@@ -156,6 +156,36 @@ def expected_files(rows):
     return out
 
 
+@pytest.fixture(scope="module")
+def word_library():
+    library = Tokenizer.from_file(WORD_PATH)
+    library.no_truncation()
+    return library
+
+
+@pytest.fixture(scope="module")
+def chunk_ids():
+    return simple8b.ChunkIds(WORD_PATH)
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.one_of(EDGES, st.text(max_size=30)), max_size=3))
+def test_stretches_as_the_library(word_library, chunk_ids, texts):
+    texts = [*texts, "a<|endoftext|>b C<|ENDOFTEXT|>d"]
+    for text, ids in zip(texts, chunk_ids.encode(texts, queries.END_ID)):
+        want = word_library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == [*want, queries.END_ID]
+
+
+def test_stretches_are_words_without_what_follows(word_library):
+    fresh = simple8b.ChunkIds(WORD_PATH)
+    text = "House house, house. house's house-boat naïve; Naïve"
+    want = word_library.encode(text, add_special_tokens=False).ids
+    assert fresh.encode([text], 2)[0].tolist() == [*want, 2]
+    assert {"house", "naïve", ",", ".", "'s", "-boat"} <= set(fresh.known)
+    assert not {"house,", "house.", "house's", "naïve;"} & set(fresh.known)
+
+
 def test_files_over_documents(spark, medium):
     got = [tuple(r) for r in queries.op8_simple8b(spark, medium).collect()]
     texts = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import filterfalse
 from uuid import uuid4
 
@@ -70,7 +71,7 @@ class Remembered(dict):
         self.room = room
         self.old: dict = {}
 
-    def missing(self, keys: set, turn: bool = True) -> set:
+    def missing(self, keys: Iterable, turn: bool = True) -> set:
         """The keys that are in neither generation; those in the old one are moved.
 
         Without ``turn`` no generation ends, so keys that were found before stay at hand.

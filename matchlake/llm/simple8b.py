@@ -52,19 +52,23 @@ def _fitting(values: np.ndarray) -> np.ndarray:
     top = int(values.max(initial=0))
     if top < 1 << 32:
         values = values.astype(np.uint32)
-    # From many small ids to few large ones backwards, so that the first to fit stays.
-    for number, (count, bits) in [*reversed([*enumerate(PACKS, 2)]), (RUN_SELECTOR, (RUN, 0))]:
-        if top >> bits == 0:
-            best[room >= count] = number
-            continue
-        over = values >= values.dtype.type(1 << bits)
-        # A run without a larger id has one of every ``count`` places in it.
-        if n < count or over[count - 1 :: count].all():
-            continue
-        larger = np.zeros(n + 1, np.int32)
-        np.cumsum(over, out=larger[1:], dtype=np.int32)
-        fits = larger[count:] == larger[: n + 1 - count]
-        best[: n + 1 - count][fits & (room[: n + 1 - count] >= count)] = number
+    # From few large ids to many small ones, so that the last to fit stays.
+    packs = [*reversed([*enumerate(PACKS, 2)]), (RUN_SELECTOR, (RUN, 0))]
+    # Of how many packs an id is too large for the places.
+    large = np.zeros(n, np.uint8)
+    for _, (_, bits) in packs:
+        if top >> bits:
+            large += values >= values.dtype.type(1 << bits)
+    # The largest of as many places from each on as ``wide``, a power of two, doubled as counts grow.
+    wide, largest = 1, large
+    for allowed, (number, (count, _)) in zip(range(len(packs) - 1, -1, -1), packs):
+        if n < count:
+            break
+        while 2 * wide <= count:
+            largest, wide = np.maximum(largest[:-wide], largest[wide:]), 2 * wide
+        last = n + 1 - count
+        most = np.maximum(largest[:last], largest[count - wide :][:last])
+        np.putmask(best[:last], (most <= allowed) & (room[:last] >= count), np.uint8(number))
     return best
 
 
@@ -77,13 +81,14 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = values.astype(np.uint64)
     n = len(values)
     selector = _fitting(values)
-    step = _COUNT[selector].tolist()
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
-        at += step[at]
-    starts = np.array(starts, np.int64)
-    chosen = selector[starts] if n else selector
+    # No word goes beyond its block, so all blocks are gone through side by side.
+    step, begins, at = _COUNT[selector], np.zeros(n, bool), np.arange(0, n, BLOCK)
+    while len(at):
+        begins[at] = True
+        at = at + step[at]
+        at = at[(at % BLOCK > 0) & (at < n)]
+    starts = np.flatnonzero(begins)
+    chosen = selector[starts]
     slots = 1 + (chosen == ESCAPE_SELECTOR)
     place = np.cumsum(slots) - slots
     words = np.zeros(int(slots.sum()), np.uint64)
@@ -92,9 +97,11 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mine = np.flatnonzero(chosen == number)
         if not len(mine):
             continue
-        rows = values[starts[mine][:, None] + np.arange(count)]
-        shifts = (np.arange(count) * bits).astype(np.uint64)
-        words[place[mine]] |= np.bitwise_or.reduce(rows << shifts, axis=1)
+        first = starts[mine]
+        packed = words[place[mine]]
+        for i in range(count):
+            packed |= values[first + i] << np.uint64(i * bits)
+        words[place[mine]] = packed
     escaped = np.flatnonzero(chosen == ESCAPE_SELECTOR)
     words[place[escaped] + 1] = values[starts[escaped]]
     blocks = place[np.searchsorted(starts, np.arange(0, n, BLOCK))]
@@ -141,13 +148,31 @@ def _steps(normalizer: dict | None) -> list[dict]:
     return (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])
 
 
+#: What a byte is to the cutting of texts; 0 is a byte of a character beyond ASCII.
+SPACE, LETTER, SIGN = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[:128] = SIGN
+_KIND[[*b"\t\n\r "]] = SPACE
+_KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Second bytes, after C3, of the letters of two bytes in ``LETTERS``: without U+00D7 and U+00F7.
+_LATIN = np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+
 class ChunkIds:
     """Ids of texts from the tokenizers library, each distinct stretch between spaces once.
 
     The vocabulary's words never hold white space and its normaliser works within them, so the
-    ids of a text are those of its stretches one after another. Letters that begin a stretch are
-    one of their own before ASCII that is no letter: words end there, and such a character never
-    joins the letter before it. So most stretches are single words, whatever follows them.
+    ids of a text are those of its stretches one after another. A stretch also ends at a letter
+    before ASCII that is no letter: words end there, and such a character never joins the letter
+    before it. So most stretches are single words, whatever follows them. Added tokens are found
+    before normalising and are stretches of their own.
+
+    A batch's stretches are marked in its bytes and told apart by Arrow's dictionary encoding, so
+    Python looks up each distinct one of a batch once.
     """
 
     def __init__(self, path: str):
@@ -158,12 +183,18 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # Added tokens are found before normalising; stretches with one are encoded alone.
-        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.marks = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        longest = sorted(map(str.encode, self.marks), key=len, reverse=True)
+        self._mark = re.compile(b"|".join(map(re.escape, longest)) or rb"(?!)")
         spec = json.loads(self.tokenizer.to_str())
-        self.folds = any(n["type"] == "Lowercase" for n in _steps(spec["normalizer"]))
-        self._stretch = re.compile(rf"[{LETTERS}]++(?=[\0-@\[-`{{-\x7f]|\Z)|[^ ]+")
-        self._marked = re.compile("[A-Z][^\\0-\u02ff]").search
+        # Added tokens are told by case; those with a sign after a letter are cut there, so that no
+        # lower-cased stretch is one.
+        cut = re.compile(r"[A-Za-z][!-@\[-`{-\x7f]").search
+        self.folds = any(n["type"] == "Lowercase" for n in _steps(spec["normalizer"])) and all(
+            map(cut, self.marks)
+        )
+        self._plain = re.compile("[a-z]+").fullmatch
         self._word = re.compile(f"[{LETTERS}]+").fullmatch
         # The ids that end a word, of which the last character carries a suffix.
         suffix = spec["model"].get("end_of_word_suffix") or "\0"
@@ -171,23 +202,54 @@ class ChunkIds:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
 
-    def _folded(self, text: str) -> str:
-        """The text with A-Z lower-cased, as the vocabulary does anyway, so words come together.
+    def _folded(self, data: np.ndarray) -> np.ndarray:
+        """The bytes with A-Z lower-cased, as the vocabulary does anyway, so words come together.
 
-        Other letters are left to the library, and so is a text that would hold an added token,
-        as these are told by case, or a capital before what may be a mark: the library composes
-        the two before it lower-cases, and a small letter may compose where the capital does not.
+        Other letters are left to the library, and so is a capital before what may be a mark: the
+        library composes the two before it lower-cases, and a small letter may compose where the
+        capital does not.
         """
-        if not text.isascii() and self._marked(text):
-            return text
-        low = text.encode("utf-8", "replace").lower().decode()
-        return text if any(mark in low for mark in self.marks) else low
-
-    def _stretches(self, text: str) -> list[str]:
-        text = text.replace("\n", " ")
-        if any(mark in text for mark in self.marks):
-            return text.split(" ")
-        return self._stretch.findall(text)
+        low = _LOWER[data]
+        # The first byte of U+0300 and all after it.
+        before = np.flatnonzero(data[1:] >= 0xCC)
+        low[before] = data[before]
+        return low
+
+    def _stretches(self, data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Stretches of joined texts with ``bounds``, and how many are before each bound."""
+        kind = _KIND[data]
+        kept, letter = kind != SPACE, kind == LETTER
+        # Latin letters of two bytes, told by the second.
+        second = np.flatnonzero(data == 0xC3) + 1
+        letter[second] = _LATIN[data[second]]
+        begins = np.ones(len(data), bool)
+        begins[1:] = ~kept[:-1] | letter[:-1] & (kind[1:] == SIGN)
+        begins[bounds[bounds < len(data)]] = True
+        low = self._folded(data) if self.folds else data.copy()
+        whole = data.tobytes()
+        if self._mark.search(whole):
+            for text, text_end in zip(bounds.tolist(), bounds[1:].tolist()):
+                for hit in self._mark.finditer(whole, text, text_end):
+                    a, b = hit.span()
+                    low[a:b], kept[a:b], begins[a + 1 : b] = data[a:b], True, False
+                    begins[a] = True
+                    begins[b : b + 1] = True
+        begins &= kept
+        before = np.searchsorted(np.flatnonzero(begins), bounds)
+        low = low[kept]
+        offsets = np.append(np.flatnonzero(begins[kept]), len(low)).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(low)]
+        return pa.Array.from_buffers(pa.string(), len(offsets) - 1, buffers), before
+
+    def _learn_plain(self, new: list[str]) -> None:
+        """Words of a to z, which normalising and cutting leave as they are, by the model itself."""
+        ids, cuts = [], [0]
+        for chunk in new:
+            ids += [token.id for token in self.model.tokenize(chunk)]
+            cuts.append(len(ids) * 4)
+        data = np.array(ids, "<u4").tobytes()
+        for chunk, a, b in zip(new, cuts, cuts[1:]):
+            self.known[chunk] = data[a:b]
 
     def _learn_words(self, new: list[str]) -> None:
         """Encode many stretches of letters in one call; each is a word and has one last id."""
@@ -213,28 +275,47 @@ class ChunkIds:
         for chunk, a, b in zip(new, [0, *cuts], cuts):
             self.known[chunk] = data[a:b]
 
-    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
-        """Ids of each text with the end id after them; a null text has the end id alone."""
-        texts = [t or "" for t in texts]
-        if self.folds:
-            texts = [self._folded(t) for t in texts]
-        pieces = list(map(self._stretches, texts))
-        distinct = set().union(*pieces)
-        new = self.known.missing(distinct)
-        odd = {c for c in new if any(mark in c for mark in self.marks)}
+    def _learn_all(self, new: set[str]) -> None:
+        plain = list(filter(self._plain, new)) if self.folds else []
+        odd = new.intersection(self.marks)
         for chunk in odd:
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             self.known[chunk] = np.array(ids, "<u4").tobytes()
-        words = list(filter(self._word, new.difference(odd)))
-        others = list(new.difference(odd, words))
-        for i in range(0, len(words), JOINED):
-            self._learn_words(words[i : i + JOINED])
-        for i in range(0, len(others), JOINED):
-            self._learn(others[i : i + JOINED])
-        last = np.array([end], "<u4").tobytes()
-        # The batch's own stretches are few beside all that is known, and so found sooner.
-        ids = dict(zip(distinct, map(self.known.__getitem__, distinct))).__getitem__
-        return [np.frombuffer(b"".join(map(ids, p)) + last, "<u4") for p in pieces]
+        rest = new.difference(plain, odd)
+        words = list(filter(self._word, rest))
+        others = list(rest.difference(words))
+        self._learn_plain(plain)
+        for learn, some in ((self._learn_words, words), (self._learn, others)):
+            for i in range(0, len(some), JOINED):
+                learn(some[i : i + JOINED])
+
+    def encode_column(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with the end id after it, and where each text's ids end."""
+        texts = texts.fill_null("")
+        first, n = texts.offset, len(texts)
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[first : first + n + 1].astype(np.int64)
+        data = np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+        stretches, before = self._stretches(data, bounds - bounds[0])
+        stretches = stretches.dictionary_encode()
+        distinct = stretches.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn_all(self.known.missing(distinct))
+        ids = [*map(self.known.__getitem__, distinct), np.array([end], "<u4").tobytes()]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ids = np.frombuffer(b"".join(ids), "<u4")
+        # The end id follows the stretches of each text.
+        which = np.insert(stretches.indices.to_numpy(), before[1:], len(distinct))
+        sizes = counts[which]
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(counts) - counts)[which] - (ends - sizes)
+        return ids[np.arange(sizes.sum()) + np.repeat(shift, sizes)], ends[before[1:] + np.arange(n)]
+
+    def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
+        """Ids of each text with the end id after them; a null text has the end id alone."""
+        if not texts:
+            return []
+        ids, ends = self.encode_column(pa.array(texts, pa.string()), end)
+        return np.split(ids, ends[:-1])
 
 
 @lru_cache(maxsize=2)
@@ -248,12 +329,11 @@ def _segments(
 ) -> Iterator[pa.RecordBatch]:
     """Sorted documents of one partition as segments, packed as they fill."""
     encoder, shard = _chunk_ids(path), TaskContext.get().partitionId()
-    start, docs, parts, size = 0, [], [], 0
+    start, size, docs, parts, doc_ends = 0, 0, [], [], []
 
     def segment() -> pa.RecordBatch:
         words, blocks = pack(np.concatenate(parts))
-        ends = np.cumsum([len(p) for p in parts])
-        row = [shard, docs[0], start, size, words.tobytes(), blocks, docs, ends]
+        row = [shard, docs[0], start, size, words.tobytes(), blocks, docs, np.concatenate(doc_ends)]
         return pa.RecordBatch.from_arrays(
             [pa.array([x], field.type) for x, field in zip(row, schema)], schema=schema
         )
@@ -261,14 +341,20 @@ def _segments(
     for batch in batches:
         ids, texts = batch.column("doc_id"), batch.column("text")
         for i in range(0, len(texts), BATCH):
-            made = encoder.encode(texts.slice(i, BATCH).to_pylist(), end)
-            for doc, values in zip(ids.slice(i, BATCH).to_pylist(), made):
-                docs.append(doc)
-                parts.append(values)
-                size += len(values)
+            made, ends = encoder.encode_column(texts.slice(i, BATCH), end)
+            at, begin = 0, 0
+            while at < len(ends):
+                # Up to the document that fills the segment, or the last.
+                full = int(np.searchsorted(ends, begin + SEGMENT_IDS - size)) + 1
+                until = int(ends[at:full][-1])
+                docs += ids.slice(i + at, len(ends[at:full])).to_pylist()
+                parts.append(made[begin:until])
+                doc_ends.append(ends[at:full] - begin + size)
+                size += until - begin
+                at, begin = full, until
                 if size >= SEGMENT_IDS:
                     yield segment()
-                    start, docs, parts, size = start + size, [], [], 0
+                    start, size, docs, parts, doc_ends = start + size, 0, [], [], []
     if docs:
         yield segment()
 

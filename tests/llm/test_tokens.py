@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -186,6 +187,47 @@ def test_stretches_are_words_without_what_follows(word_library):
     assert not {"house,", "house.", "house's", "naïve;"} & set(fresh.known)
 
 
+def test_words_are_stretches_without_what_is_before_and_after(word_library):
+    fresh = simple8b.ChunkIds(WORD_PATH)
+    text = "(house, house) HOUSE-boats,\tT\u0308 (naïve)[Naïve] x1y2 don't'sam"
+    want = word_library.encode(text, add_special_tokens=False).ids
+    assert fresh.encode([text], 2)[0].tolist() == [*want, 2]
+    # Signs stay with the word after them, never with the one before, and capitals of a text that
+    # also holds a mark are folded.
+    assert {"(house", "house", ",", "-boats", "(naïve", ")[naïve"} <= set(fresh.known)
+    assert not [c for c in fresh.known if re.search(r"[a-zï][^a-zï\u0308]", c)]
+
+
+def test_stretches_end_with_their_text(word_library):
+    fresh = simple8b.ChunkIds(WORD_PATH)
+    texts = ["<|endof", "text|>T", "\u0308 it'", None, "s", "", "<|endoftext|><|startoftext|>A"]
+    column = pa.array(["left out", *texts]).slice(1)
+    ids, ends = fresh.encode_column(column, 2)
+    want = [[*word_library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ends.tolist() == np.cumsum([len(w) for w in want]).tolist()
+    assert ids.tolist() == sum(want, [])
+    assert fresh.encode([None, ""], 2) == [[2], [2]] and fresh.encode([], 2) == []
+
+
+def test_segments_end_with_the_document_that_fills_them(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "ids")
+    rows = [(i, "one two three " * (i % 7 * 40), "en", "s") for i in range(300)]
+    rows.append((300, "four " * 140_000, "en", "s"))
+    simple8b.write_ids(documents(spark, rows), folder, WORD_PATH, queries.END_ID, partitions=1)
+    ends = [len(t.split()) + 1 for _, t, _, _ in rows]
+    size, want = 0, []
+    for n in ends:
+        size += n
+        if size >= simple8b.SEGMENT_IDS:
+            want.append(size)
+            size = 0
+    found = spark.read.parquet(folder).orderBy("start").collect()
+    assert [r["n_ids"] for r in found] == want + [size] * (size > 0)
+    assert sum((r["doc_ids"] for r in found), []) == list(range(301))
+    got = [tuple(r) for r in simple8b.read_ids(spark, folder, simple8b.crc32, "long").collect()]
+    assert sorted(got) == expected_files([r[:2] for r in rows])
+
+
 def test_files_over_documents(spark, medium):
     got = [tuple(r) for r in queries.op8_simple8b(spark, medium).collect()]
     texts = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "text").collect()

@@ -17,7 +17,7 @@ from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
 def test_every_operator_is_registered():
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert queries()["pipeline"] is corpus_pipeline.run
     assert set(oracle_sql()) <= set(queries())
 
